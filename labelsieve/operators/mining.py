@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import exact_sum, hash_order_key, in_band, video_key
 from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED, SENTINEL_CLASS
 from ..session import checked_broadcast, materialize
-from .positions import average_rank, ordered_position
+from .positions import average_ranks, ordered_position
 
 # Budgets up to this size take the ``TakeOrderedAndProject`` top-k path; larger
 # ones number every capped candidate with ``ordered_position`` instead.
@@ -48,10 +48,7 @@ def frame_signals(pred: DataFrame, frame_col: str = "frame_id", class_col: str =
 
 def percentile_norm(df: DataFrame, columns: list[str], suffix: str = "_norm") -> DataFrame:
     """``average rank / N`` for each column (range (0, 1], ties averaged)."""
-    out = df
-    for c in columns:
-        out = average_rank(out, c, c + suffix, normalise=True)
-    return out
+    return average_ranks(df, columns, suffix=suffix, normalise=True)
 
 
 def combine(df: DataFrame, weights: dict[str, float], out: str = "combined",

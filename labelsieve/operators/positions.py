@@ -25,6 +25,10 @@ _PID = "__pid"
 _CNT = "__cnt"
 _OFF = "__off"
 
+# Distinct-value tables up to this size are ranked in one window per column
+# (after the count proves the bound); larger ones use range partitions.
+SMALL_DISTINCT = 2_000_000
+
 
 def _partition_offsets(counts: DataFrame) -> DataFrame:
     """``(pid, cnt)`` -> ``(pid, off)`` with ``off`` = rows in earlier partitions.
@@ -79,6 +83,47 @@ def value_ranks(df: DataFrame, value: str, partitions: int | None = None) -> Dat
                     F.col("__total").alias("total")))
 
 
+def _avg_rank_expr(before: str, cnt: str, total: str, normalise: bool) -> Column:
+    expr = F.col(before) + (F.col(cnt) + F.lit(1)) / F.lit(2.0)
+    return expr / F.col(total) if normalise else expr
+
+
+def average_ranks(df: DataFrame, columns: list[str], suffix: str = "_norm",
+                  normalise: bool = True, small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+    """Average rank of several columns at once (``col + suffix`` for each).
+
+    All columns are stacked into one ``(signal, value)`` frequency table (one
+    aggregation, ties collapsed, hot values become one row).  If that table
+    has at most ``small_distinct`` rows (checked by counting it), the prefix
+    sums run in one window per signal and the rank table is broadcast: both
+    bounded by the count.  Otherwise each column takes the range-partitioned
+    path of ``average_rank``.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__sig"), F.col(c).cast("double").alias("__v")) for c in columns
+    ])).alias("__s")).select("__s.*")
+    freq = materialize(stacked.groupBy("__sig", "__v").agg(F.count(F.lit(1)).alias(_CNT)), "freq")
+    if freq.count() > small_distinct:
+        out = df
+        for c in columns:
+            out = average_rank(out, c, c + suffix, normalise=normalise)
+        return out
+    run = (Window.partitionBy("__sig").orderBy(F.col("__v").asc_nulls_first())
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranks = freq.select(
+        "__sig", "__v", F.col(_CNT),
+        (F.sum(_CNT).over(run) - F.col(_CNT)).alias("__before"),
+        F.sum(_CNT).over(Window.partitionBy("__sig")).alias("__total"),
+    ).select("__sig", "__v", _avg_rank_expr("__before", _CNT, "__total", normalise).alias("__rank"))
+    out = df
+    for c in columns:
+        r = F.broadcast(ranks.filter(F.col("__sig") == c)
+                        .select(F.col("__v").alias(f"__v_{c}"), F.col("__rank").alias(c + suffix)))
+        out = (out.join(r, F.col(c).cast("double").eqNullSafe(F.col(f"__v_{c}")), "left")
+                  .drop(f"__v_{c}"))
+    return out
+
+
 def average_rank(df: DataFrame, value: str, out: str, normalise: bool = True,
                  partitions: int | None = None,
                  broadcast_rows: int | None = None) -> DataFrame:
@@ -90,10 +135,7 @@ def average_rank(df: DataFrame, value: str, out: str, normalise: bool = True,
     that holds a hot value).
     """
     ranks = value_ranks(df, value, partitions)
-    rank_expr = F.col("before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0)
-    if normalise:
-        rank_expr = rank_expr / F.col("total")
-    ranks = ranks.select(value, rank_expr.alias(out))
+    ranks = ranks.select(value, _avg_rank_expr("before", "cnt", "total", normalise).alias(out))
     kwargs = {} if broadcast_rows is None else {"max_rows": broadcast_rows}
     ranks, _ = checked_broadcast(ranks, **kwargs)
     return df.join(ranks, on=df[value].eqNullSafe(ranks[value]), how="left").drop(ranks[value])

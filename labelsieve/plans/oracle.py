@@ -114,3 +114,54 @@ picked_{arm} as (
   from capped_{arm} where vr <= {cap}
   qualify pick <= {budget}
 )"""
+
+
+LABEL_BOXES = f"""
+label_lines as (
+  select {FRAME_KEY} as frame_id, l_returnflag,
+         cast(row_number() over (partition by l_orderkey
+           order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 as int) as box_pos,
+         cast(p_size % 13 as int) as class_id,
+         (l_partkey % 40) / 50e0 + 0.05e0 as xc, (l_suppkey % 40) / 50e0 + 0.05e0 as yc,
+         0.1e0 + l_quantity / 500e0 as w, 0.1e0 + l_quantity / 500e0 as h
+  from orders join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey
+),
+label_px as (
+  select frame_id, box_pos, class_id, l_returnflag,
+         (xc - w / 2e0) * 1280e0 as x1, (yc - h / 2e0) * 720e0 as y1,
+         (xc + w / 2e0) * 1280e0 as x2, (yc + h / 2e0) * 720e0 as y2
+  from label_lines
+),
+label_boxes as (
+  select frame_id, box_pos, class_id,
+         (x1 + x2) / 2e0 / 1280e0 as x_center, (y1 + y2) / 2e0 / 720e0 as y_center,
+         (x2 - x1) / 1280e0 as width, (y2 - y1) / 720e0 as height
+  from label_px where l_returnflag <> 'R'
+)"""
+
+CONVERT_COUNTERS = """
+select cast(count(*) filter (where has_lines) as bigint) as converted,
+       cast(count(*) filter (where not has_lines) as bigint) as skipped
+from (select o_orderkey, exists (select 1 from lineitem where l_orderkey = o_orderkey) as has_lines from orders)
+"""
+
+
+def split_manifest(seed_fraction: float, unlabeled_fraction: float, seed: int = SEED) -> str:
+    return f"""
+inv as (select distinct frame_id from inventory_v),
+numbered as (
+  select frame_id, cast(row_number() over (order by md5(concat('{seed}:split:', frame_id)), frame_id) - 1 as bigint) as g,
+         count(*) over () as n
+  from inv
+),
+cuts as (
+  select frame_id, g, cast(floor(n * {seed_fraction!r}e0) as bigint) as seed_end,
+         cast(floor(n * {seed_fraction!r}e0) as bigint) + cast(floor(n * {unlabeled_fraction!r}e0) as bigint) as unl_end
+  from numbered
+),
+split_manifest as (
+  select frame_id,
+         case when g < seed_end then 'seed' when g < unl_end then 'unlabeled' else 'val' end as split,
+         cast(g - case when g < seed_end then 0 when g < unl_end then seed_end else unl_end end as bigint) as pos
+  from cuts
+)"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import mining
+from ..operators import ingest, mining
 from ..params import Params
 from ..sources import testdata as td
 from . import oracle as O
@@ -57,6 +57,38 @@ def q_select_random(spark, sf):
     return mining.random_capped(_scores(spark, sf), BUDGET, CAP)
 
 
+def _label_boxes(spark, sf):
+    return ingest.label_boxes(td.annotations_v(spark, sf), td.categories_df(spark))
+
+
+def q_label_boxes(spark, sf):
+    return _label_boxes(spark, sf)
+
+
+def q_convert_counters(spark, sf):
+    return ingest.convert_counters(td.annotations_v(spark, sf))
+
+
+def q_yolo_lines(spark, sf):
+    return ingest.yolo_lines(_label_boxes(spark, sf))
+
+
+def _split(spark, sf):
+    return ingest.split_frames(td.inventory_v(spark, sf), P)
+
+
+def q_split_manifest(spark, sf):
+    return _split(spark, sf)
+
+
+def q_split_sizes(spark, sf):
+    return ingest.split_sizes(_split(spark, sf))
+
+
+def q_split_invariants(spark, sf):
+    return ingest.split_invariants(_split(spark, sf), td.inventory_v(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "uncertainty": q_uncertainty,
@@ -65,8 +97,16 @@ QUERIES: dict[str, Query] = {
     "score_summary": q_score_summary,
     "select_mined": q_select_mined,
     "select_random": q_select_random,
+    "label_boxes": q_label_boxes,
+    "convert_counters": q_convert_counters,
+    "yolo_lines": q_yolo_lines,
+    "split_manifest": q_split_manifest,
+    "split_sizes": q_split_sizes,
+    "split_invariants": q_split_invariants,
 }
 
+_SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
+
 ORACLE: dict[str, str] = {
     "class_counts": O.with_(O.PREDICTIONS_V, O.CLASS_COUNTS) + "select class_id, class_count from class_counts",
     "uncertainty": O.with_(O.PREDICTIONS_V, O.CLASS_COUNTS, O.SIGNALS) + "select frame_id, uncertainty from signals",
@@ -76,6 +116,19 @@ ORACLE: dict[str, str] = {
                                  "median(combined) as median_combined from scored"),
     "select_mined": O.SCORED + "," + O.selected(BUDGET, CAP, "mined") + "select * from picked_mined",
     "select_random": O.SCORED + "," + O.selected(BUDGET, CAP, "random") + "select * from picked_random",
+    "label_boxes": O.with_(O.LABEL_BOXES) + "select * from label_boxes",
+    "convert_counters": O.CONVERT_COUNTERS,
+    "yolo_lines": O.with_(O.LABEL_BOXES) + ("select frame_id, box_pos, printf('%d %.6f %.6f %.6f %.6f', class_id, "
+                                            "x_center, y_center, width, height) as line from label_boxes"),
+    "split_manifest": O.with_(O.INVENTORY_V, _SPLIT) + "select * from split_manifest",
+    "split_sizes": O.with_(O.INVENTORY_V, _SPLIT) + ("select split, count(*) as n_frames "
+                                                    "from split_manifest group by split"),
+    "split_invariants": O.with_(O.INVENTORY_V, _SPLIT) + (
+        "select (select count(distinct frame_id) from split_manifest) as n_assigned, "
+        "(select count(*) from (select frame_id from split_manifest group by frame_id having count(*) > 1)) "
+        "as n_overlapping, "
+        "(select count(*) from (select distinct frame_id from inventory_v) i "
+        "where i.frame_id not in (select frame_id from split_manifest)) as n_missing"),
 }
 
 

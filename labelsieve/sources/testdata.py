@@ -101,3 +101,47 @@ def detections_v(spark: SparkSession, sf_dir: str, drop_mod: int = 11) -> DataFr
     return j.select(F.col("l_orderkey").alias("image_id"), class_of(F.col("p_size")).alias("class_id"),
                     detection_id().alias("det_id"), confidence_of(F.col("l_quantity")).alias("confidence"),
                     x.alias("x_center"), y.alias("y_center"), wd.alias("width"), ht.alias("height"))
+
+
+def categories_df(spark: SparkSession) -> DataFrame:
+    """A2: the 13-row category dimension."""
+    from ..params import CATEGORY_IDS
+    from ..schemas import CATEGORY
+    return spark.createDataFrame([(i, n) for n, i in CATEGORY_IDS.items()], CATEGORY)
+
+
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
+def annotations_v(spark: SparkSession, sf_dir: str, width: int = 1280, height: int = 720) -> DataFrame:
+    """Nested annotation records, one per order (the shape of the raw label JSON).
+
+    ``labels`` is null for an order without lines; a returned line ('R') has a
+    null ``box2d``.  Boxes are pixel corners of the adapter's normalised boxes.
+    ``seq`` stands for the position of the record in the file.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", *LINE_ORDER)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    cats = categories_df(spark)
+    xc, yc, w, h = _raw_box(F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey"))
+    box = F.struct(((xc - w / F.lit(2.0)) * F.lit(float(width))).alias("x1"),
+                   ((yc - h / F.lit(2.0)) * F.lit(float(height))).alias("y1"),
+                   ((xc + w / F.lit(2.0)) * F.lit(float(width))).alias("x2"),
+                   ((yc + h / F.lit(2.0)) * F.lit(float(height))).alias("y2"))
+    label = F.struct(F.col("class_name").alias("category"),
+                     F.when(F.col("l_returnflag") != "R", box).alias("box2d"),
+                     F.lit(None).cast("struct<occluded:boolean,truncated:boolean>").alias("attributes"))
+    lines = (l.join(p, F.col("l_partkey") == F.col("p_partkey"))
+              .join(F.broadcast(cats), class_of(F.col("p_size")) == F.col("class_id"))
+              .select("l_orderkey", F.struct(*[F.col(c) for c in LINE_ORDER], label.alias("label")).alias("e")))
+    # One image's labels: the record's array, ordered by line.
+    per_order = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("e")).alias("es"))
+    rec = o.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    key = frame_key(F.col("o_custkey"), F.col("o_orderkey"))
+    return rec.select(
+        key.alias("videoName"), F.concat(key, F.lit(".jpg")).alias("name"),
+        F.transform("es", lambda e: e["label"]).alias("labels"),
+        F.lit(None).cast("struct<weather:string,timeofday:string,scene:string>").alias("attributes"),
+        F.col("o_orderkey").alias("seq"),
+    )
