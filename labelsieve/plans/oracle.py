@@ -165,3 +165,30 @@ split_manifest as (
          cast(g - case when g < seed_end then 0 when g < unl_end then seed_end else unl_end end as bigint) as pos
   from cuts
 )"""
+
+
+def unlabeled_shards(shard_size: int) -> str:
+    return f"""
+unl as (
+  select frame_id, pos, cast(pos // {shard_size} as bigint) as shard_id,
+         cast(split_part(frame_id, '-', 2) as bigint) as okey
+  from split_manifest where split = 'unlabeled'
+)"""
+
+
+TOY_SCORED = """
+toy_raw as (
+  select frame_id, shard_id, okey, unnest(range(okey % 4)) as j from unl
+),
+toy_kept as (
+  select frame_id, cast((okey + j) % 13 as int) as class_id, ((okey * 7 + j * 13) % 100) / 100e0 as confidence,
+         ((okey + j) % 50) / 50e0 + 0.01e0 as x_center, ((okey * 3 + j) % 50) / 50e0 + 0.01e0 as y_center,
+         0.1e0 as width, 0.1e0 as height, shard_id
+  from toy_raw where ((okey * 7 + j * 13) % 100) / 100e0 >= 0.25e0
+),
+toy_scored as (
+  select * from toy_kept
+  union all
+  select frame_id, -1, 0e0, 0e0, 0e0, 0e0, 0e0, shard_id from unl
+  where frame_id not in (select frame_id from toy_kept)
+)"""

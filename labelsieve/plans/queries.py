@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ingest, mining
+from ..operators import ingest, mining, scoring
+from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
 from . import oracle as O
@@ -89,6 +90,34 @@ def q_split_invariants(spark, sf):
     return ingest.split_invariants(_split(spark, sf), td.inventory_v(spark, sf))
 
 
+def _unlabeled_shards(spark, sf):
+    unl = _split(spark, sf).filter(F.col("split") == "unlabeled")
+    return scoring.assign_shards(unl.select("frame_id", "pos"), P.batch)
+
+
+def q_shard_assignment(spark, sf):
+    return _unlabeled_shards(spark, sf)
+
+
+def q_pending_shards(spark, sf):
+    """Resume after a run that committed the first half of the shards."""
+    assigned = _unlabeled_shards(spark, sf)
+    half = assigned.agg(F.max("shard_id")).first()[0] // 2
+    done = assigned.filter(F.col("shard_id") <= half).select("shard_id").distinct()
+    return scoring.pending_shards(assigned, done).select("frame_id", "shard_id")
+
+
+def q_predictions_with_sentinels(spark, sf):
+    unl = _split(spark, sf).filter(F.col("split") == "unlabeled")
+    dets = td.predictions_v(spark, sf).filter(F.col("class_id") >= 0)
+    return scoring.with_sentinels(unl, dets)
+
+
+def q_score_frames(spark, sf):
+    frames = _unlabeled_shards(spark, sf).withColumn("path", image_path("/images/train", "frame_id"))
+    return scoring.score_frames(frames, td.toy_model_factory, batch=P.batch, conf_threshold=P.conf_threshold)
+
+
 QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "uncertainty": q_uncertainty,
@@ -103,9 +132,14 @@ QUERIES: dict[str, Query] = {
     "split_manifest": q_split_manifest,
     "split_sizes": q_split_sizes,
     "split_invariants": q_split_invariants,
+    "shard_assignment": q_shard_assignment,
+    "pending_shards": q_pending_shards,
+    "predictions_with_sentinels": q_predictions_with_sentinels,
+    "score_frames": q_score_frames,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
+_UNL = O.unlabeled_shards(P.batch)
 
 ORACLE: dict[str, str] = {
     "class_counts": O.with_(O.PREDICTIONS_V, O.CLASS_COUNTS) + "select class_id, class_count from class_counts",
@@ -129,6 +163,16 @@ ORACLE: dict[str, str] = {
         "as n_overlapping, "
         "(select count(*) from (select distinct frame_id from inventory_v) i "
         "where i.frame_id not in (select frame_id from split_manifest)) as n_missing"),
+    "shard_assignment": O.with_(O.INVENTORY_V, _SPLIT, _UNL) + "select frame_id, pos, shard_id from unl",
+    "pending_shards": O.with_(O.INVENTORY_V, _SPLIT, _UNL) + (
+        "select frame_id, shard_id from unl where shard_id > (select max(shard_id) // 2 from unl)"),
+    "predictions_with_sentinels": O.with_(O.PREDICTIONS_V, O.INVENTORY_V, _SPLIT) + (
+        "select m.frame_id, coalesce(d.class_id, -1) as class_id, coalesce(d.confidence, 0e0) as confidence, "
+        "coalesce(d.x_center, 0e0) as x_center, coalesce(d.y_center, 0e0) as y_center, "
+        "coalesce(d.width, 0e0) as width, coalesce(d.height, 0e0) as height "
+        "from split_manifest m left join (select * from predictions_v where class_id >= 0) d "
+        "on m.frame_id = d.frame_id where m.split = 'unlabeled'"),
+    "score_frames": O.with_(O.INVENTORY_V, _SPLIT, _UNL, O.TOY_SCORED) + "select * from toy_scored",
 }
 
 

@@ -145,3 +145,21 @@ def annotations_v(spark: SparkSession, sf_dir: str, width: int = 1280, height: i
         F.lit(None).cast("struct<weather:string,timeofday:string,scene:string>").alias("attributes"),
         F.col("o_orderkey").alias("seq"),
     )
+
+
+def toy_model_factory():
+    """A deterministic stand-in detector for tests and registered queries.
+
+    It reads the order key from the image file name and returns
+    ``order_key % 4`` boxes; the same rule is written in SQL for the oracle.
+    """
+    def predict(paths: list[str]) -> list[list[tuple]]:
+        out = []
+        for path in paths:
+            stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+            okey = int(stem.split("-")[1])
+            out.append([((okey + j) % 13, ((okey * 7 + j * 13) % 100) / 100.0,
+                         ((okey + j) % 50) / 50.0 + 0.01, ((okey * 3 + j) % 50) / 50.0 + 0.01, 0.1, 0.1)
+                        for j in range(okey % 4)])
+        return out
+    return predict
