@@ -130,14 +130,15 @@ def split_sizes(manifest: DataFrame) -> DataFrame:
 
 
 def split_invariants(manifest: DataFrame, inventory: DataFrame, id_col: str = "frame_id") -> DataFrame:
-    """G3 as data: frames, frames in two splits, inventory frames not assigned."""
+    """G3 as data: frames assigned, frames in two splits, inventory frames not
+    assigned -- one full outer join and one aggregation."""
     train = manifest.filter(F.col("split") != "test")
     per_frame = train.groupBy("frame_id").agg(F.count(F.lit(1)).alias("__k"))
-    inv = inventory.select(F.col(id_col).alias("frame_id")).distinct()
-    missing = inv.join(train.select("frame_id"), "frame_id", "left_anti")
-    stats = per_frame.agg(F.count(F.lit(1)).alias("n_assigned"),
-                          F.count_if(F.col("__k") > 1).cast("long").alias("n_overlapping"))
-    return stats.crossJoin(missing.agg(F.count(F.lit(1)).alias("n_missing")))
+    inv = inventory.select(F.col(id_col).alias("frame_id")).distinct().withColumn("__inv", F.lit(True))
+    j = inv.join(per_frame, "frame_id", "full")
+    return j.agg(F.count_if(F.col("__k").isNotNull()).cast("long").alias("n_assigned"),
+                 F.count_if(F.col("__k") > 1).cast("long").alias("n_overlapping"),
+                 F.count_if(F.col("__k").isNull()).cast("long").alias("n_missing"))
 
 
 def image_inventory(spark, directory: str, source_set: str, extension: str = "jpg") -> DataFrame:

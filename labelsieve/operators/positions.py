@@ -60,6 +60,43 @@ def ordered_position(df: DataFrame, order: list[Column], name: str = "pos",
             .drop(_MID, _PID, _OFF))
 
 
+def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str] | None = None,
+            maxes: dict[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums / maxima per ``group`` in ``order``, skew-safe.
+
+    ``sums`` / ``maxes`` map output name -> input column.  Rows are range
+    partitioned on ``group + order``, so one group may span many partitions
+    (a hot group is split).  Each partition computes local running values;
+    a small table of per-(partition, group) totals gives the carry-in from
+    earlier partitions of the same group.
+    """
+    sums, maxes = sums or {}, maxes or {}
+    n = partitions or default_parallelism(df.sparkSession)
+    keys = [F.col(g).asc_nulls_first() for g in group] + list(order)
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn(_MID, F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "running").withColumn(_PID, F.shiftright(F.col(_MID), 33))
+    local_w = (Window.partitionBy(_PID, *group).orderBy(_MID)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"__ls_{o}") for o, c in sums.items()],
+                          *[F.max(c).over(local_w).alias(f"__lm_{o}") for o, c in maxes.items()])
+    totals = ranged.groupBy(_PID, *group).agg(*[F.sum(c).alias(f"__ts_{o}") for o, c in sums.items()],
+                                              *[F.max(c).alias(f"__tm_{o}") for o, c in maxes.items()])
+    before = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(_PID, *group,
+                          *[F.coalesce(F.sum(f"__ts_{o}").over(before), F.lit(0)).alias(f"__cs_{o}")
+                            for o in sums],
+                          *[F.max(f"__tm_{o}").over(before).alias(f"__cm_{o}") for o in maxes])
+    carry, _ = checked_broadcast(carry)  # one row per (partition, group) pair
+    joined = local.join(carry, [_PID, *group], "left")
+    out = joined.select(
+        *[c for c in df.columns],
+        *[(F.col(f"__cs_{o}") + F.col(f"__ls_{o}")).alias(o) for o in sums],
+        *[F.greatest(F.col(f"__cm_{o}"), F.col(f"__lm_{o}")).alias(o) for o in maxes],
+    )
+    return out
+
+
 def value_ranks(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
     """One row per distinct ``value``: ``(value, cnt, before, total)``.
 
@@ -73,8 +110,8 @@ def value_ranks(df: DataFrame, value: str, partitions: int | None = None) -> Dat
                   .withColumn(_PID, F.spark_partition_id()))
     ranged = materialize(ranged, "ranks")
     per_part = ranged.groupBy(_PID).agg(F.sum(_CNT).alias(_CNT))
-    offsets = F.broadcast(_partition_offsets(per_part)
-                          .crossJoin(per_part.agg(F.sum(_CNT).alias("__total"))))  # <= n rows
+    offsets = F.broadcast(_partition_offsets(per_part).join(per_part, _PID)
+                          .select(_PID, _OFF, F.sum(_CNT).over(Window.partitionBy()).alias("__total")))
     w = (Window.partitionBy(_PID).orderBy(F.col(value).asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (ranged.join(offsets, _PID)

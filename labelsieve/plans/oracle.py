@@ -192,3 +192,89 @@ toy_scored as (
   select frame_id, -1, 0e0, 0e0, 0e0, 0e0, 0e0, shard_id from unl
   where frame_id not in (select frame_id from toy_kept)
 )"""
+
+
+THRESHOLDS_SQL = "[0.5e0, 0.55e0, 0.6e0, 0.65e0, 0.7e0, 0.75e0, 0.8e0, 0.85e0, 0.9e0, 0.95e0]"
+
+_IOU = """greatest(0e0, least(d.x_center + d.width / 2e0, g.x_center + g.width / 2e0)
+               - greatest(d.x_center - d.width / 2e0, g.x_center - g.width / 2e0))
+     * greatest(0e0, least(d.y_center + d.height / 2e0, g.y_center + g.height / 2e0)
+               - greatest(d.y_center - d.height / 2e0, g.y_center - g.height / 2e0))"""
+
+
+def detection_ap(det: str, prefix: str) -> str:
+    """CTEs ``{prefix}_flags`` (per detection TP flags) and ``{prefix}_ap``
+    (class_id, t, ap) for detections in CTE ``det`` against ``ground_truth_v``."""
+    p = prefix
+    flags = ", ".join(f"max(case when ti = {i} then 1 else 0 end) as tp_{i}" for i in range(10))
+    return f"""
+{p}_inter as (
+  select d.image_id, d.class_id, d.det_id, d.confidence, g.gt_id,
+         {_IOU} as inter,
+         d.width * d.height + g.width * g.height as area_sum
+  from {det} d join ground_truth_v g on d.image_id = g.image_id and d.class_id = g.class_id
+  where d.width > 0 and d.height > 0 and g.width > 0 and g.height > 0
+),
+{p}_pairs as (
+  select *, case when area_sum - inter > 0 then inter / (area_sum - inter) else 0e0 end as iou from {p}_inter
+),
+{p}_best as (
+  select * from {p}_pairs where iou >= 0.5e0
+  qualify row_number() over (partition by det_id order by iou desc, gt_id) = 1
+),
+{p}_thr as (select unnest(range(10)) as ti, unnest({THRESHOLDS_SQL}) as t),
+{p}_claims as (select b.*, ti, t from {p}_best b join {p}_thr on b.iou >= t),
+{p}_win as (
+  select det_id, ti from {p}_claims
+  qualify row_number() over (partition by ti, image_id, class_id, gt_id order by confidence desc, det_id) = 1
+),
+{p}_flags as (
+  select d.class_id, d.det_id, d.confidence, {flags}
+  from {det} d left join {p}_win w on d.det_id = w.det_id
+  group by d.class_id, d.det_id, d.confidence
+),
+{p}_ranked as (
+  select f.*, t.ti, t.t,
+         case {" ".join(f"when t.ti = {i} then tp_{i}" for i in range(10))} end as tp,
+         row_number() over (partition by f.class_id, t.ti order by f.confidence desc, f.det_id) as rnk
+  from {p}_flags f, {p}_thr t
+),
+{p}_cum as (
+  select class_id, t, rnk, tp, sum(tp) over (partition by class_id, t order by rnk) as ctp from {p}_ranked
+),
+{p}_env as (
+  select class_id, t, ctp,
+         max(ctp / rnk) over (partition by class_id, t order by ctp desc rows between unbounded preceding and current row) as env
+  from {p}_cum where tp = 1
+),
+{p}_ngt as (select class_id, count(*) as n_gt from ground_truth_v group by class_id),
+{p}_apt as (
+  select e.class_id, e.t,
+         cast(sum(cast(env * ((100 * ctp) // n_gt - (100 * (ctp - 1)) // n_gt + case when ctp = 1 then 1 else 0 end)
+                       as decimal(38,12))) as double) / 101e0 as ap
+  from {p}_env e join {p}_ngt n on e.class_id = n.class_id
+  group by e.class_id, e.t
+),
+{p}_ap as (
+  select n.class_id, t.t, coalesce(a.ap, 0e0) as ap
+  from {p}_ngt n cross join {p}_thr t left join {p}_apt a on a.class_id = n.class_id and a.t = t.t
+),
+{p}_per_class as (
+  select a.class_id, coalesce(c.class_name, 'class_' || cast(a.class_id as varchar)) as class_name,
+         max(case when t = 0.5e0 then ap end) as ap50,
+         cast(sum(cast(ap as decimal(38,12))) as double) / count(*) as ap50_95
+  from {p}_ap a left join categories c on a.class_id = c.class_id
+  group by a.class_id, c.class_name
+),
+{p}_map as (
+  select cast(sum(cast(ap50 as decimal(38,12))) as double) / count(*) as map50,
+         cast(sum(cast(ap50_95 as decimal(38,12))) as double) / count(*) as map50_95
+  from {p}_per_class
+)"""
+
+
+def categories_cte() -> str:
+    from ..params import CATEGORY_IDS
+    rows = ", ".join(f"({i}, '{n}')" for n, i in CATEGORY_IDS.items())
+    return f"""
+categories as (select * from (values {rows}) v(class_id, class_name))"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ingest, mining, scoring
+from ..operators import evaluation, ingest, mining, scoring
 from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
@@ -118,6 +118,40 @@ def q_score_frames(spark, sf):
     return scoring.score_frames(frames, td.toy_model_factory, batch=P.batch, conf_threshold=P.conf_threshold)
 
 
+# Two detectors of the fixture: the "mined" arm misses the boxes of every 11th
+# supplier, the "random" arm those of every 7th.
+MINED_DROP, RANDOM_DROP = 11, 7
+
+
+def _ap(spark, sf, drop=MINED_DROP):
+    return evaluation.ap_by_threshold(td.detections_v(spark, sf, drop), td.ground_truth_v(spark, sf))
+
+
+def _per_class(spark, sf, drop=MINED_DROP, arm=None):
+    return evaluation.per_class_ap(_ap(spark, sf, drop), td.categories_df(spark), arm=arm)
+
+
+def q_detection_matches(spark, sf):
+    return evaluation.detection_matches(td.detections_v(spark, sf), td.ground_truth_v(spark, sf))
+
+
+def q_per_class_ap(spark, sf):
+    return _per_class(spark, sf)
+
+
+def q_map_summary(spark, sf):
+    return evaluation.map_summary(_per_class(spark, sf))
+
+
+def q_compare_arms(spark, sf):
+    return evaluation.compare_arms(_per_class(spark, sf, MINED_DROP), _per_class(spark, sf, RANDOM_DROP))
+
+
+def q_compare_summary(spark, sf):
+    per = _per_class(spark, sf, MINED_DROP, "mined").unionByName(_per_class(spark, sf, RANDOM_DROP, "random"))
+    return evaluation.compare_summary(evaluation.map_summary(per))
+
+
 QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "uncertainty": q_uncertainty,
@@ -136,10 +170,17 @@ QUERIES: dict[str, Query] = {
     "pending_shards": q_pending_shards,
     "predictions_with_sentinels": q_predictions_with_sentinels,
     "score_frames": q_score_frames,
+    "detection_matches": q_detection_matches,
+    "per_class_ap": q_per_class_ap,
+    "map_summary": q_map_summary,
+    "compare_arms": q_compare_arms,
+    "compare_summary": q_compare_summary,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
 _UNL = O.unlabeled_shards(P.batch)
+_EVAL = O.with_(O.categories_cte(), O.GROUND_TRUTH_V, O.detections_v("det_m", MINED_DROP),
+                O.detections_v("det_r", RANDOM_DROP), O.detection_ap("det_m", "m"), O.detection_ap("det_r", "r"))
 
 ORACLE: dict[str, str] = {
     "class_counts": O.with_(O.PREDICTIONS_V, O.CLASS_COUNTS) + "select class_id, class_count from class_counts",
@@ -173,6 +214,18 @@ ORACLE: dict[str, str] = {
         "from split_manifest m left join (select * from predictions_v where class_id >= 0) d "
         "on m.frame_id = d.frame_id where m.split = 'unlabeled'"),
     "score_frames": O.with_(O.INVENTORY_V, _SPLIT, _UNL, O.TOY_SCORED) + "select * from toy_scored",
+    "detection_matches": _EVAL + "select * from m_flags",
+    "per_class_ap": _EVAL + "select * from m_per_class",
+    "map_summary": _EVAL + "select * from m_map",
+    "compare_arms": _EVAL + ("select m.class_id, coalesce(m.class_name, r.class_name) as class_name, "
+                             "m.ap50_95 as mined_ap, r.ap50_95 as random_ap, m.ap50_95 - r.ap50_95 as delta_ap "
+                             "from m_per_class m full join r_per_class r on m.class_id = r.class_id"),
+    "compare_summary": _EVAL + (
+        "select m.map50 as mined_map50, r.map50 as random_map50, m.map50_95 as mined_map50_95, "
+        "r.map50_95 as random_map50_95, m.map50 - r.map50 as delta_map50, "
+        "m.map50_95 - r.map50_95 as delta_map50_95, "
+        "case when m.map50 > r.map50 then 'mined' when m.map50 < r.map50 then 'random' else 'tie' end as verdict "
+        "from m_map m, r_map r"),
 }
 
 
