@@ -278,3 +278,37 @@ def categories_cte() -> str:
     rows = ", ".join(f"({i}, '{n}')" for n, i in CATEGORY_IDS.items())
     return f"""
 categories as (select * from (values {rows}) v(class_id, class_name))"""
+
+
+def arms_ctes(budget: int, cap: int, seed_fraction: float, unlabeled_fraction: float, seed: int = SEED) -> str:
+    """Split, scores over the unlabeled pool, both selections, and the arm manifest."""
+    pred_all = PREDICTIONS_V.replace("predictions_v as (", "predictions_all as (", 1)
+    pred_unl = """
+predictions_v as (
+  select * from predictions_all
+  where frame_id in (select frame_id from split_manifest where split = 'unlabeled')
+)"""
+    manifest = f"""
+labeled as (
+  select distinct {FRAME_KEY} as frame_id from orders join lineitem on o_orderkey = l_orderkey
+),
+members as (
+  select arm, 'train' as subset, frame_id from split_manifest, (values ('mined'), ('random')) a(arm)
+  where split = 'seed'
+  union
+  select arm, 'train' as subset, frame_id from picked_mined
+  union
+  select arm, 'train' as subset, frame_id from picked_random
+  union all
+  select arm, 'val' as subset, frame_id from split_manifest, (values ('mined'), ('random')) a(arm)
+  where split = 'val'
+),
+arm_manifest as (
+  select m.arm, m.subset, m.frame_id, '/images/train/' || m.frame_id || '.jpg' as image_path,
+         true as has_image, l.frame_id is not null as has_label
+  from members m left join labeled l on m.frame_id = l.frame_id
+)"""
+    return (with_(INVENTORY_V, split_manifest(seed_fraction, unlabeled_fraction, seed), pred_all, pred_unl,
+                  CLASS_COUNTS, SIGNALS, SCORES)
+            + "," + selected(budget, cap, "mined", seed) + "," + selected(budget, cap, "random", seed)
+            + "," + manifest)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, ingest, mining, scoring
+from ..operators import arms, evaluation, ingest, mining, scoring
 from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
@@ -152,6 +152,33 @@ def q_compare_summary(spark, sf):
     return evaluation.compare_summary(evaluation.map_summary(per))
 
 
+def _arm_manifest(spark, sf):
+    split = _split(spark, sf)
+    unl = split.filter(F.col("split") == "unlabeled").select("frame_id")
+    pred = td.predictions_v(spark, sf).join(unl, "frame_id", "left_semi")
+    sel = mining.selections(mining.frame_scores(pred), BUDGET, CAP, P.seed)
+    inventory = td.inventory_v(spark, sf).withColumn("path", image_path("/images/train", "frame_id"))
+    labeled = ingest.labeled_frames(td.annotations_v(spark, sf))
+    return arms.arm_manifest(split, sel, inventory, labeled)
+
+
+def q_arm_manifest(spark, sf):
+    return _arm_manifest(spark, sf)
+
+
+def q_arm_summary(spark, sf):
+    return arms.arm_summary(_arm_manifest(spark, sf))
+
+
+def q_revealed_boxes(spark, sf):
+    return arms.reveal_boxes(_arm_manifest(spark, sf), _label_boxes(spark, sf))
+
+
+def q_class_distribution(spark, sf):
+    revealed = arms.reveal_boxes(_arm_manifest(spark, sf), _label_boxes(spark, sf))
+    return arms.class_distribution(revealed.filter(F.col("subset") == "train"), _label_boxes(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "uncertainty": q_uncertainty,
@@ -175,10 +202,15 @@ QUERIES: dict[str, Query] = {
     "map_summary": q_map_summary,
     "compare_arms": q_compare_arms,
     "compare_summary": q_compare_summary,
+    "arm_manifest": q_arm_manifest,
+    "arm_summary": q_arm_summary,
+    "revealed_boxes": q_revealed_boxes,
+    "class_distribution": q_class_distribution,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
 _UNL = O.unlabeled_shards(P.batch)
+_ARMS = O.arms_ctes(BUDGET, CAP, P.seed_fraction, P.unlabeled_fraction, P.seed)
 _EVAL = O.with_(O.categories_cte(), O.GROUND_TRUTH_V, O.detections_v("det_m", MINED_DROP),
                 O.detections_v("det_r", RANDOM_DROP), O.detection_ap("det_m", "m"), O.detection_ap("det_r", "r"))
 
@@ -226,6 +258,22 @@ ORACLE: dict[str, str] = {
         "m.map50_95 - r.map50_95 as delta_map50_95, "
         "case when m.map50 > r.map50 then 'mined' when m.map50 < r.map50 then 'random' else 'tie' end as verdict "
         "from m_map m, r_map r"),
+    "arm_manifest": _ARMS + "select * from arm_manifest",
+    "arm_summary": _ARMS + ("select arm, subset, count(*) as n_frames, count(*) filter (where has_image) as n_images, "
+                            "count(*) filter (where has_label) as n_labels from arm_manifest group by arm, subset"),
+    "revealed_boxes": _ARMS + "," + O.LABEL_BOXES + (
+        " select m.arm, m.subset, b.* from label_boxes b join arm_manifest m on b.frame_id = m.frame_id "
+        "where m.has_label"),
+    "class_distribution": _ARMS + "," + O.LABEL_BOXES + """,
+revealed as (select m.arm, b.class_id from label_boxes b join arm_manifest m on b.frame_id = m.frame_id
+             where m.has_label and m.subset = 'train'),
+corpus as (select class_id, count(*) as corpus_n from label_boxes group by class_id),
+corpus_s as (select class_id, corpus_n, corpus_n / sum(corpus_n) over () as corpus_share from corpus),
+sel as (select arm, class_id, count(*) as selected_n from revealed group by arm, class_id),
+sel_s as (select *, selected_n / sum(selected_n) over (partition by arm) as selected_share from sel)
+select s.arm, s.class_id, s.selected_n, c.corpus_n, s.selected_share, c.corpus_share,
+       s.selected_share / c.corpus_share as share_ratio
+from sel_s s join corpus_s c on s.class_id = c.class_id""",
 }
 
 
