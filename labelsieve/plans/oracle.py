@@ -312,3 +312,67 @@ arm_manifest as (
                   CLASS_COUNTS, SIGNALS, SCORES)
             + "," + selected(budget, cap, "mined", seed) + "," + selected(budget, cap, "random", seed)
             + "," + manifest)
+
+
+def signal_ablation(budget: int, cap: int) -> str:
+    variants = {"both": "0.5e0 * uncertainty_norm + 0.5e0 * rare_class_norm",
+                "uncertainty": "1.0e0 * uncertainty_norm + 0.0e0 * rare_class_norm",
+                "rare_class": "0.0e0 * uncertainty_norm + 1.0e0 * rare_class_norm"}
+    union = " union all ".join(f"select '{k}' as variant, frame_id, {v} as score from scored"
+                               for k, v in variants.items())
+    return f"""
+abl as ({union}),
+abl_capped as (
+  select *, split_part(frame_id, '-', 1) as video_id,
+         row_number() over (partition by variant, split_part(frame_id, '-', 1) order by score desc, frame_id) as vr
+  from abl
+),
+abl_picked as (
+  select variant, cast(row_number() over (partition by variant order by score desc, frame_id) as bigint) as pick,
+         frame_id, video_id, score
+  from abl_capped where vr <= {cap}
+  qualify pick <= {budget}
+)"""
+
+
+def seed_spread(budget: int, cap: int, seeds=(42, 43, 44, 45, 46)) -> str:
+    vals = ", ".join(f"({x})" for x in seeds)
+    return f"""
+ss as (
+  select s.seed, frame_id, combined as score, md5(concat(cast(s.seed as varchar), ':random:', frame_id)) as h
+  from scored, (values {vals}) s(seed)
+),
+ss_capped as (
+  select *, row_number() over (partition by seed, split_part(frame_id, '-', 1) order by h, frame_id) as vr from ss
+),
+ss_picked as (
+  select seed, score, row_number() over (partition by seed order by h, frame_id) as pick
+  from ss_capped where vr <= {cap}
+  qualify pick <= {budget}
+),
+ss_per as (
+  select seed, count(*) as n_selected,
+         cast(sum(cast(score as decimal(38,12))) as double) / count(*) as mean_score
+  from ss_picked group by seed
+)"""
+
+
+def scene_split(seed_fraction: float, unlabeled_fraction: float, seed: int = SEED) -> str:
+    return f"""
+sc_frames as (select distinct frame_id, split_part(frame_id, '-', 1) as video_id from inventory_v),
+sc_videos as (
+  select video_id, count(*) as n, md5(concat('{seed}:scene:', video_id)) as h from sc_frames group by video_id
+),
+sc_cum as (
+  select video_id, n, sum(n) over (order by h, video_id rows between unbounded preceding and current row) as c,
+         sum(n) over () as total
+  from sc_videos
+),
+sc_assign as (
+  select video_id,
+         case when c - n < cast(floor(total * {seed_fraction!r}e0) as bigint) then 'seed'
+              when c - n < cast(floor(total * {seed_fraction!r}e0) as bigint)
+                           + cast(floor(total * {unlabeled_fraction!r}e0) as bigint) then 'unlabeled'
+              else 'val' end as split
+  from sc_cum
+)"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import arms, evaluation, ingest, mining, scoring
+from ..operators import arms, evaluation, extensions, ingest, mining, scoring
 from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
@@ -179,6 +179,39 @@ def q_class_distribution(spark, sf):
     return arms.class_distribution(revealed.filter(F.col("subset") == "train"), _label_boxes(spark, sf))
 
 
+BUDGETS = (250, 500, 1000, 2000)
+SEEDS = (42, 43, 44, 45, 46)
+MIN_GAP_DAYS = 60.0
+
+
+def q_signal_ablation(spark, sf):
+    return extensions.signal_ablation(_scores(spark, sf), BUDGET, CAP)
+
+
+def q_seed_spread(spark, sf):
+    return extensions.seed_spread(_scores(spark, sf), BUDGET, CAP, SEEDS)
+
+
+def q_budget_curve(spark, sf):
+    return extensions.budget_curve(q_select_mined(spark, sf), BUDGETS)
+
+
+def q_scene_split(spark, sf):
+    return extensions.scene_split(td.inventory_v(spark, sf), P)
+
+
+def q_spaced_select(spark, sf):
+    """S2 with the order date as the frame time (days)."""
+    o = td.table(spark, sf, "orders")
+    times = o.select(td.frame_key(F.col("o_custkey"), F.col("o_orderkey")).alias("frame_id"),
+                     F.datediff(F.col("o_orderdate"), F.lit("1970-01-01")).alias("t"))
+    return extensions.spaced_select(_scores(spark, sf), times, BUDGET, CAP, MIN_GAP_DAYS)
+
+
+def q_cluster_diverse(spark, sf):
+    return extensions.cluster_diverse(td.table(spark, sf, "embeddings"), budget=100, cap=5, k=8)
+
+
 QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "uncertainty": q_uncertainty,
@@ -206,6 +239,12 @@ QUERIES: dict[str, Query] = {
     "arm_summary": q_arm_summary,
     "revealed_boxes": q_revealed_boxes,
     "class_distribution": q_class_distribution,
+    "signal_ablation": q_signal_ablation,
+    "seed_spread": q_seed_spread,
+    "budget_curve": q_budget_curve,
+    "scene_split": q_scene_split,
+    "spaced_select": q_spaced_select,
+    "cluster_diverse": q_cluster_diverse,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
@@ -274,6 +313,17 @@ sel_s as (select *, selected_n / sum(selected_n) over (partition by arm) as sele
 select s.arm, s.class_id, s.selected_n, c.corpus_n, s.selected_share, c.corpus_share,
        s.selected_share / c.corpus_share as share_ratio
 from sel_s s join corpus_s c on s.class_id = c.class_id""",
+    "signal_ablation": O.SCORED + "," + O.signal_ablation(BUDGET, CAP) + "select * from abl_picked",
+    "seed_spread": O.SCORED + "," + O.seed_spread(BUDGET, CAP, SEEDS) + (
+        "select seed, n_selected, mean_score, round(avg(mean_score) over (), 10) as seeds_mean, "
+        "round(stddev_samp(mean_score) over (), 10) as seeds_stddev from ss_per"),
+    "budget_curve": O.SCORED + "," + O.selected(BUDGET, CAP, "mined") + (
+        ", b as (select unnest([" + ", ".join(str(x) for x in BUDGETS) + "]) as budget) "
+        "select budget, count(*) as n_frames, count(distinct video_id) as n_videos, "
+        "cast(sum(cast(score as decimal(38,12))) as double) / count(*) as mean_score "
+        "from picked_mined join b on pick <= budget group by budget"),
+    "scene_split": O.with_(O.INVENTORY_V, O.scene_split(P.seed_fraction, P.unlabeled_fraction, P.seed)) + (
+        "select f.frame_id, f.video_id, a.split from sc_frames f join sc_assign a on f.video_id = a.video_id"),
 }
 
 
