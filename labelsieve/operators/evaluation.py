@@ -80,21 +80,22 @@ def detection_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS)
     pairs = candidate_pairs(det, gt, min(thresholds))
     # best gt per detection: max of (iou, -gt_id) -- an aggregate, not a window
     best = pairs.groupBy("det_id").agg(
-        F.max_by(F.struct("image_id", "class_id", "gt_id", "iou", "confidence"),
-                 F.struct(F.col("iou"), (-F.col("gt_id")).alias("__ng"))).alias("b"))
-    best = best.select("det_id", "b.*")
-    thr = F.explode(F.array(*[F.struct(F.lit(i).alias("ti"), F.lit(float(t)).alias("t"))
-                              for i, t in enumerate(thresholds)]))
-    claims = best.select("*", thr.alias("__t")).select("*", "__t.*").filter(F.col("iou") >= F.col("t"))
+        F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "image_id", "class_id", "gt_id",
+                       "confidence")).alias("b"))
+    best = best.select("det_id", "b.iou", "b.image_id", "b.class_id", "b.gt_id", "b.confidence")
+    # only the thresholds this IoU reaches: a claim exists at t iff iou >= t
+    thr = F.filter(F.array(*[F.struct(F.lit(i).alias("ti"), F.lit(float(t)).alias("t"))
+                             for i, t in enumerate(thresholds)]), lambda x: x["t"] <= F.col("iou"))
+    claims = best.select("det_id", "image_id", "class_id", "gt_id", "confidence", F.explode(thr).alias("__t"))
     # the most confident claimant of each (threshold, gt box) wins
-    winners = (claims.groupBy("ti", "image_id", "class_id", "gt_id")
+    winners = (claims.groupBy(F.col("__t.ti").alias("ti"), "image_id", "class_id", "gt_id")
                      .agg(F.min_by("det_id", F.struct((-F.col("confidence")).alias("__nc"),
-                                                      F.col("det_id"))).alias("det_id"))
-                     .select("det_id", "ti"))
-    flags = winners.groupBy("det_id").pivot("ti", list(range(len(thresholds)))).agg(F.lit(1))
+                                                      F.col("det_id"))).alias("det_id")))
+    flags = winners.groupBy("det_id").agg(*[F.max(F.when(F.col("ti") == i, 1)).alias(f"__w{i}")
+                                            for i in range(len(thresholds))])
     out = det.select("class_id", "det_id", "confidence").join(flags, "det_id", "left")
     return out.select("class_id", "det_id", "confidence",
-                      *[F.coalesce(F.col(str(i)), F.lit(0)).cast("int").alias(f"tp_{i}")
+                      *[F.coalesce(F.col(f"__w{i}"), F.lit(0)).cast("int").alias(f"tp_{i}")
                         for i in range(len(thresholds))])
 
 

@@ -15,6 +15,7 @@ from ..operators import arms, evaluation, extensions, ingest, mining, scoring
 from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
+from ..session import materialize
 from . import oracle as O
 
 P = Params()
@@ -26,8 +27,13 @@ CAP = P.max_per_scene
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+    # The prediction table is written by the inference stage; write the view once.
+    return materialize(td.predictions_v(spark, sf), "predictions")
+
+
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    return mining.frame_scores(td.predictions_v(spark, sf))
+    return mining.frame_scores(_predictions(spark, sf))
 
 
 def q_class_counts(spark, sf):
@@ -123,32 +129,40 @@ def q_score_frames(spark, sf):
 MINED_DROP, RANDOM_DROP = 11, 7
 
 
-def _ap(spark, sf, drop=MINED_DROP):
-    return evaluation.ap_by_threshold(td.detections_v(spark, sf, drop), td.ground_truth_v(spark, sf))
+def _gt(spark, sf):
+    # The evaluation tables are stored tables in the pipeline: write the views once.
+    return materialize(td.ground_truth_v(spark, sf), "ground_truth")
+
+
+def _det(spark, sf, drop=MINED_DROP):
+    return materialize(td.detections_v(spark, sf, drop), "detections")
 
 
-def _per_class(spark, sf, drop=MINED_DROP, arm=None):
-    return evaluation.per_class_ap(_ap(spark, sf, drop), td.categories_df(spark), arm=arm)
+def _per_class(spark, sf, gt, drop=MINED_DROP, arm=None):
+    ap = evaluation.ap_by_threshold(_det(spark, sf, drop), gt)
+    return evaluation.per_class_ap(ap, td.categories_df(spark), arm=arm)
 
 
 def q_detection_matches(spark, sf):
-    return evaluation.detection_matches(td.detections_v(spark, sf), td.ground_truth_v(spark, sf))
+    return evaluation.detection_matches(_det(spark, sf), _gt(spark, sf))
 
 
 def q_per_class_ap(spark, sf):
-    return _per_class(spark, sf)
+    return _per_class(spark, sf, _gt(spark, sf))
 
 
 def q_map_summary(spark, sf):
-    return evaluation.map_summary(_per_class(spark, sf))
+    return evaluation.map_summary(_per_class(spark, sf, _gt(spark, sf)))
 
 
 def q_compare_arms(spark, sf):
-    return evaluation.compare_arms(_per_class(spark, sf, MINED_DROP), _per_class(spark, sf, RANDOM_DROP))
+    gt = _gt(spark, sf)
+    return evaluation.compare_arms(_per_class(spark, sf, gt, MINED_DROP), _per_class(spark, sf, gt, RANDOM_DROP))
 
 
 def q_compare_summary(spark, sf):
-    per = _per_class(spark, sf, MINED_DROP, "mined").unionByName(_per_class(spark, sf, RANDOM_DROP, "random"))
+    gt = _gt(spark, sf)
+    per = _per_class(spark, sf, gt, MINED_DROP, "mined").unionByName(_per_class(spark, sf, gt, RANDOM_DROP, "random"))
     return evaluation.compare_summary(evaluation.map_summary(per))
 
 
