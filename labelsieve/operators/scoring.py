@@ -47,12 +47,12 @@ def _score_batches(model_factory: ModelFactory, batch: int, conf_threshold: floa
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = model_factory()  # once per task
         for pdf in frames:
+            rows = []  # one output batch per input Arrow batch
             for start in range(0, len(pdf), batch):
                 chunk = pdf.iloc[start:start + batch]
-                results = predict(chunk[path_col].tolist())
+                results = predict(chunk[path_col].tolist())  # one model call per `batch` frames
                 if len(results) != len(chunk):
                     raise ValueError("predict returned a different number of results than paths")
-                rows = []
                 for fid, sid, dets in zip(chunk["frame_id"], chunk["shard_id"], results):
                     kept = [d for d in dets if float(d[1]) >= conf_threshold]  # H2
                     if not kept:  # H3: keep a row so the frame counts as processed
@@ -60,7 +60,7 @@ def _score_batches(model_factory: ModelFactory, batch: int, conf_threshold: floa
                     for d in kept:  # H4: k boxes -> k rows
                         rows.append((fid, int(d[0]), float(d[1]), float(d[2]), float(d[3]),
                                      float(d[4]), float(d[5]), sid))
-                yield pd.DataFrame(rows, columns=["frame_id", *_DET_COLS, "shard_id"])
+            yield pd.DataFrame(rows, columns=["frame_id", *_DET_COLS, "shard_id"])
     return run
 
 
