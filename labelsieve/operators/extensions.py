@@ -14,7 +14,6 @@ from ..functions.columns import exact_sum, hash_order_key, video_key
 from ..params import SEED, Params
 from ..session import checked_broadcast, materialize
 from .ingest import cut_points
-from .mining import combine
 from .positions import running
 
 ABLATION = {
@@ -171,4 +170,4 @@ def cluster_diverse(items: DataFrame, budget: int, cap: int, k: int = 8, seed: i
 
 
 __all__ = ["ABLATION", "signal_ablation", "seed_spread", "budget_curve", "scene_split",
-           "spaced_select", "cluster_diverse", "combine"]
+           "spaced_select", "cluster_diverse"]

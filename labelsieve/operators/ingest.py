@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_order_key, normalised_box
-from ..params import IMAGE_HEIGHT, IMAGE_WIDTH, SEED, Params
+from ..params import IMAGE_HEIGHT, IMAGE_WIDTH, Params
 from .positions import ordered_position
 
 
@@ -153,5 +153,5 @@ def image_inventory(spark, directory: str, source_set: str, extension: str = "jp
 __all__ = [
     "latest_entries", "labeled_frames", "label_boxes", "label_rejects", "convert_counters",
     "yolo_lines", "yolo_text", "cut_points", "split_frames", "split_sizes", "split_invariants",
-    "image_inventory", "SEED",
+    "image_inventory",
 ]

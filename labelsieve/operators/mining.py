@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import exact_sum, hash_order_key, in_band, video_key
-from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED, SENTINEL_CLASS
+from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED
 from ..session import checked_broadcast, materialize
 from .positions import average_ranks, ordered_position
 
@@ -147,5 +147,5 @@ def selections(scores: DataFrame, budget: int, cap: int, seed: int = SEED) -> Da
 
 __all__ = [
     "class_counts", "frame_signals", "percentile_norm", "combine", "frame_scores",
-    "score_summary", "select_capped", "random_capped", "selections", "SENTINEL_CLASS",
+    "score_summary", "select_capped", "random_capped", "selections",
 ]

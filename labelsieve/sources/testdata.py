@@ -84,7 +84,7 @@ def ground_truth_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                     x.alias("x_center"), y.alias("y_center"), wd.alias("width"), ht.alias("height"))
 
 
-def detection_id(l: str = "l_") -> Column:
+def detection_id() -> Column:
     return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
                        F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"),
                        F.col("l_quantity").cast("int").cast("string"),
