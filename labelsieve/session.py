@@ -10,9 +10,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,18 +68,64 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under this application's table folder, removed when the application ends."""
+    root = os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_remove, spark.sparkContext, root)
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+_ROOTS: set[str] = set()
+
+
+def _remove(sc, root: str) -> None:
+    try:
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(sc._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM is already gone at exit
+        pass
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
     Used wherever a result is read twice and must not be recomputed (global
     positions, ranks joined back on values, scored detections).  Unlike an
     eager RDD checkpoint, this computes ``df`` once, and the re-read gets
-    column pruning and filter pushdown.  The table survives executor loss.
+    column pruning and filter pushdown.  The table survives executor loss and
+    is removed when the application ends.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, name)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers then import it wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="labelsieve-zip-")
+    target = os.path.join(folder, "labelsieve.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for at, dirs, names in os.walk(root):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    out.write(full, os.path.join("labelsieve", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -95,9 +143,3 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def scratch_table_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint folder for tables written between jobs."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name)
