@@ -11,3 +11,48 @@ g as (select t, max(doc_id) as keep_id, count(*) as group_size from d group by t
 select d.doc_id, g.keep_id, g.group_size, coalesce(d.doc_id = g.keep_id, false) as kept, sha256(d.t) as text_sha256
 from d join g on d.t = g.t
 """
+
+# Sorting sources by size over weight shows at once which of them stop at three times their size.
+ORACLE["op7_source_mix"] = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         md5(concat_ws(':', '42', doc_id::varchar)) as k
+  from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+p as (select *, case (row_number() over (order by source nulls last) - 1) % 3
+                when 0 then 5 when 1 then 2 else 1 end as w from s),
+o as (select *, sum(source_size) over () as total,
+             coalesce(sum(3 * source_size) over (order by source_size::double / w, source nulls last
+                      rows between unbounded preceding and 1 preceding), 0) as full_before,
+             sum(w) over (order by source_size::double / w, source nulls last
+                          rows between current row and unbounded following) as w_left
+      from p),
+r as (select coalesce(arg_min((total - full_before)::double / w_left, (source_size::double / w, coalesce(source, chr(1114111)))), 0)
+             as rate from o where (total - full_before)::double / w_left * w <= 3 * source_size),
+t as (select source, source_size, least((3 * source_size)::double, rate * w) as target,
+             round(least((3 * source_size)::double, rate * w))::bigint as budget
+      from o, r),
+x as (select d.*, t.source_size, t.target, t.budget,
+             coalesce(sum(size) over (partition by d.source order by k, doc_id, size
+                      rows between unbounded preceding and 1 preceding), 0)::bigint as start
+      from d join t on d.source is not distinct from t.source),
+e as (select *, case when source_size > 0 then budget // source_size else 0 end as epochs from x)
+select doc_id, size, source_size, target,
+       (epochs * size + least(greatest(budget - epochs * source_size - start, 0), size))::bigint as taken
+from e
+"""
+
+ORACLE["op9_pivot_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x::double) or isinf(x::double))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(range(1, 1 + least(len(q.v), len(c.v))), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
+"""

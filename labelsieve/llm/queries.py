@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grace_dedup, secret_scan, zstd_quality
+from . import bpe, grace_dedup, mixing, pivot_topk, secret_scan, zstd_quality
 from .common import docs_of, table
 
 QUALITY_FOLDS = 5
 QUALITY_THRESHOLD = 0.3
+SCALE, QUERY_EVERY, TOP_K = 256, 50, 5
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +30,20 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = pivot_topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", SCALE)
+    return pivot_topk.top_k(vectors, vectors.filter(F.col("vec_id") % QUERY_EVERY == 0), TOP_K)
+
+
 def op10_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -41,6 +51,8 @@ def op10_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_compression_quality": op2_compression_quality,
+    "op7_source_mix": op7_source_mix,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_pivot_topk": op9_pivot_topk,
     "op10_grace_dedup": op10_grace_dedup,
 }
