@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grace_dedup, mixing, pivot_topk, secret_scan, zstd_quality
+from . import bpe, grace_dedup, mixing, pivot_topk, secret_scan, superminhash, zstd_quality
 from .common import docs_of, table
 
 QUALITY_FOLDS = 5
@@ -30,6 +30,10 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -51,6 +55,7 @@ def op10_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_compression_quality": op2_compression_quality,
+    "op4_superminhash": op4_superminhash,
     "op7_source_mix": op7_source_mix,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pivot_topk": op9_pivot_topk,
