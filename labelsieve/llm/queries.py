@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grace_dedup, mixing, pivot_topk, secret_scan, superminhash, zstd_quality
+from . import bpe, grace_dedup, kneser_ney, mixing, pivot_topk, secret_scan, superminhash, zstd_quality
 from .common import docs_of, table
 
 QUALITY_FOLDS = 5
 QUALITY_THRESHOLD = 0.3
+LM_FOLDS, LM_HELD_OUT = 7, 2
 SCALE, QUERY_EVERY, TOP_K = 256, 50, 5
 
 
@@ -34,6 +35,15 @@ def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = docs_of(table(spark, sf_dir, "documents"))
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % LM_FOLDS, F.lit(0))
+    model = kneser_ney.train(docs.filter(fold != LM_HELD_OUT))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", (fold == LM_HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,6 +66,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_compression_quality": op2_compression_quality,
     "op4_superminhash": op4_superminhash,
+    "op5_kneser_ney": op5_kneser_ney,
     "op7_source_mix": op7_source_mix,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pivot_topk": op9_pivot_topk,
