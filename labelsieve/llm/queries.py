@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grace_dedup, kneser_ney, mixing, pivot_topk, secret_scan, superminhash, zstd_quality
+from . import bpe, grace_dedup, kneser_ney, mixing, pivot_topk, recompression, secret_scan, superminhash, zstd_quality
 from .common import docs_of, table
 
 QUALITY_FOLDS = 5
@@ -31,6 +31,10 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.strip_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -65,6 +69,7 @@ def op10_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_compression_quality": op2_compression_quality,
+    "op3_recompression": op3_recompression,
     "op4_superminhash": op4_superminhash,
     "op5_kneser_ney": op5_kneser_ney,
     "op7_source_mix": op7_source_mix,
