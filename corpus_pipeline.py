@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelsieve.llm import grace_dedup, queries, zstd_quality
+from labelsieve.llm import bpe, grace_dedup, mixing, queries, superminhash, zstd_quality
 from labelsieve.llm.common import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; it learns from the labelled rows of ``documents``."""
     return zstd_quality.keep_good(docs, queries.quality_model(spark, sf_dir), queries.QUALITY_THRESHOLD)
 
 
-STAGES = [("quality", quality)]
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id."""
+    return grace_dedup.keep_one(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by a similarity of 0.8 on five-word shingles, the document with the least id."""
+    return superminhash.keep_one(docs, k=5, percent=80)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed_rows(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, source, n_tokens, ids`` of every row."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN).select(
+        "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixture", mixture),
+          ("tokens", tokens)]
+# A trained classifier and a tokenizer are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -16,8 +16,8 @@
    than one input task.
 
 Defined results: a null text is empty, and all empty texts are one group; rows that
-repeat a ``doc_id`` count as rows and share ``keep_id``; a null ``doc_id`` is never
-kept over another.  An empty table gives an empty table.
+repeat a ``doc_id`` count as rows and share ``keep_id``; a null ``doc_id`` is only kept
+where a text has no other.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -158,6 +158,17 @@ def exact_groups(docs: DataFrame, combine_bytes: int = COMBINE_BYTES, bucket_byt
     groups = (totals.join(found, "rep").groupBy("grp")
               .agg(F.max("max_id").alias("keep_id"), F.sum("n").alias("group_size")))
     answers = found.join(groups, "grp").select("rep", "keep_id", "group_size")
-    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return (stored.select("doc_id", "rep", "sha").join(answers, "rep")
             .select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256")))
+
+
+def keep_one(df: DataFrame, **limits) -> DataFrame:
+    """The rows of ``df`` (doc_id, text, any others) that stay; rows equal in both go down to one."""
+    def key():
+        return (F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
+                F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("sha"))
+    stay = exact_groups(df, **limits).filter("kept").select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *key())
+    return rows.join(stay, ["id", "sha"], "left_semi").dropDuplicates(["id", "sha"]).select("row.*")

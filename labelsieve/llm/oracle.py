@@ -8,7 +8,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["op10_grace_dedup"] = """
 with d as (select doc_id, coalesce(text, '') as t from documents),
 g as (select t, max(doc_id) as keep_id, count(*) as group_size from d group by t)
-select d.doc_id, g.keep_id, g.group_size, coalesce(d.doc_id = g.keep_id, false) as kept, sha256(d.t) as text_sha256
+select d.doc_id, g.keep_id, g.group_size, d.doc_id is not distinct from g.keep_id as kept, sha256(d.t) as text_sha256
 from d join g on d.t = g.t
 """
 

@@ -23,7 +23,8 @@ step can lower them.
 
 Defined results: a null text or a text without words has an empty set, links with
 nothing and keeps itself; fewer words than ``k`` form one shingle; rows that repeat
-an id form one document with the largest of their sets.
+an id form one document with the largest of their sets; a row without an id links
+with nothing, stays, and has no component.
 """
 
 from __future__ import annotations
@@ -148,12 +149,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     Links documents whose sets of ``k``-word shingles have ``100 * intersection >=
     percent * union``; ``component_id`` is the least id that can be reached.
     """
-    docs = docs_of(docs).filter("doc_id is not null")
+    docs = docs_of(docs)
     sketch = arrow_map(docs, _sketch(k, bands, rows),
                        "doc_id long, n long, d1 long, d2 long, bands array<bigint>")
     sketch = materialize(sketch, "sketch")
     # Classes of equal sets; ``u`` is the least id.
-    classes = (sketch.filter("n > 0").groupBy("d1", "d2", "n")
+    classes = (sketch.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n")
                .agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands")))
     classes = materialize(classes, "classes")
     banded = classes.select("u", "n", F.explode("bands").alias("key"))
@@ -183,10 +184,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     found = materialize(found.select("d1", "d2", "n", "size", F.coalesce("component", "u").alias("component_id")),
                         "found")
     total = sketch.count()
-    keyed = sketch.select("doc_id", "n", F.struct("d1", "d2", "n").alias("set"))
+    nameless = sketch.filter("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"),
+                                                      F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    keyed = sketch.filter("doc_id is not null").select("doc_id", "n", F.struct("d1", "d2", "n").alias("set"))
     empty = keyed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     full = heavy_join(keyed.filter("n > 0"), found.select(F.struct("d1", "d2", "n").alias("set"), "size", "component_id"),
                       "set", "size", total).select("doc_id", "n", "component_id")
     out = full.unionByName(empty).groupBy("doc_id").agg(F.max("n").alias("n_shingles"),
                                                         F.min("component_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(nameless)
+
+
+def keep_one(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` (doc_id, text, any others) that stay: one document of each group."""
+    stay = near_duplicates(df, k, percent).filter("kept and doc_id is not null").select(
+        F.col("doc_id").alias("id"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     F.col("doc_id").cast("long").alias("id"))
+    kept = rows.filter("id is not null").join(stay, "id", "left_semi")
+    return kept.select("row.*").unionByName(rows.filter("id is null").select("row.*"))
