@@ -19,6 +19,7 @@ __all__ = ["HEAVY", "Tokens", "arrow_map", "default_parallelism", "docs_of", "he
 SLICE_BYTES = 4 << 20
 # A key with at least 1/HEAVY of all rows is heavy; at most HEAVY keys can be, whatever the data.
 HEAVY = 1000
+LOWER_A = 65  # "A"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, grace_dedup, kneser_ney, mixing, pivot_topk, recompression, secret_scan, superminhash, zstd_quality
+from . import bpe, grace_dedup, kneser_ney, langid, mixing, pivot_topk, recompression, secret_scan, superminhash, zstd_quality
 from .common import docs_of, table
 
 QUALITY_FOLDS = 5
 QUALITY_THRESHOLD = 0.3
 LM_FOLDS, LM_HELD_OUT = 7, 2
+LANG_FOLDS = 5
 SCALE, QUERY_EVERY, TOP_K = 256, 50, 5
 
 
@@ -48,6 +49,28 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op6_evidence_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page (markup, address and host) and of every document (text and source).
+
+    The text model learns from documents outside the held-out fold; ``lang_label`` is for comparison.
+    """
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % LANG_FOLDS, F.lit(0))
+    model = langid.fit_text(docs.filter(fold != 0).select(F.col("doc_id").alias("id"), "text", "lang"))
+    none = F.lit(None)
+    of_docs = langid.text_evidence(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id"),
+        F.col("lang").cast("string").alias("lang_label"), F.col("source").cast("string").alias("host"),
+        F.col("text").cast("string").alias("text")), model, markup=False)
+    of_pages = langid.text_evidence(pages.select(
+        none.cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"),
+        none.cast("string").alias("lang_label"), langid.host_of(F.col("url")).alias("host"),
+        F.col("html").cast("string").alias("text")), model, markup=True)
+    return langid.fuse(of_docs.unionByName(of_pages), model.languages).select(
+        "doc_id", "page_id", "lang", "confidence", "declared", "lang_label",
+        (F.col("doc_id").isNotNull() & (fold == 0)).alias("held_out"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -72,6 +95,7 @@ QUERIES = {
     "op3_recompression": op3_recompression,
     "op4_superminhash": op4_superminhash,
     "op5_kneser_ney": op5_kneser_ney,
+    "op6_evidence_langid": op6_evidence_langid,
     "op7_source_mix": op7_source_mix,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pivot_topk": op9_pivot_topk,
