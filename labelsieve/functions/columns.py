@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ def video_key(frame_id="frame_id") -> Column:
 
 def frame_id_from_path(path="path", extension: str = "jpg") -> Column:
     """File stem of an image path."""
-    return F.regexp_extract(_c(path), r"([^/]+)\." + extension + "$", 1)
+    return F.regexp_extract(_c(path), r"([^/]+)\." + re.escape(extension) + "$", 1)
 
 
 def image_path(directory: str, frame_id="frame_id", extension: str = "jpg") -> Column:
@@ -49,6 +51,11 @@ def hash_order_key(seed: int, salt: str, key="frame_id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:{salt}:"), _c(key)))
 
 
+def hash_rank(key) -> Column:
+    """The first 12 hex digits of an order key as a number that never falls along the key."""
+    return F.conv(F.substring(_c(key), 1, 12), 16, 10).cast("double")
+
+
 def iou(a: dict, b: dict) -> Column:
     """IoU of two centre/size boxes given as dicts of columns (x, y, w, h)."""
     ix = F.greatest(F.lit(0.0),

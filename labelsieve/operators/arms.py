@@ -30,8 +30,12 @@ def arm_manifest(splits: DataFrame, selections: DataFrame, inventory: DataFrame,
     picked = selections.filter(F.col("arm").isin(*arms)).select("arm", F.lit("train").alias("subset"), "frame_id")
     val = splits.filter(F.col("split") == "val").select(each_arm, F.lit("val").alias("subset"), "frame_id")
     members = seed.unionByName(picked).dropDuplicates(["arm", "subset", "frame_id"]).unionByName(val)
-    images = inventory.select("frame_id", F.col("path").alias("image_path")).dropDuplicates(["frame_id"])
-    labels = labeled.select("frame_id").distinct().withColumn("has_label", F.lit(True))
+    # Only the members' images and labels are looked at; the rest of the corpus never shuffles for them.
+    ids, _ = checked_broadcast(members.select("frame_id").distinct())
+    images = (inventory.select("frame_id", F.col("path").alias("image_path")).join(ids, "frame_id", "left_semi")
+              .dropDuplicates(["frame_id"]))
+    labels = (labeled.select("frame_id").join(ids, "frame_id", "left_semi").distinct()
+              .withColumn("has_label", F.lit(True)))
     out = members.join(images, "frame_id", "left").join(labels, "frame_id", "left")
     return out.select("arm", "subset", "frame_id", "image_path",
                       F.col("image_path").isNotNull().alias("has_image"),
@@ -57,18 +61,20 @@ def reveal_boxes(manifest: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def class_distribution(selected_boxes: DataFrame, corpus_boxes: DataFrame,
-                       group: str = "arm") -> DataFrame:
+                       group: str = "arm", groups=ARMS) -> DataFrame:
     """S3: class shares of each selection vs the corpus, and their ratio.
 
-    Both sides are first reduced to one row per class (partial aggregates);
-    the share denominators are windows over those few rows.
+    A class of the corpus that a selection lacks is reported with 0.  Both
+    sides are first reduced to one row per class (partial aggregates); the
+    share denominators are windows over those few rows.
     """
     corpus = corpus_boxes.groupBy("class_id").agg(F.count(F.lit(1)).alias("corpus_n"))
     corpus = corpus.withColumn("corpus_share", F.col("corpus_n") / F.sum("corpus_n").over(Window.partitionBy()))
-    corpus, _ = checked_broadcast(corpus)
     sel = selected_boxes.groupBy(group, "class_id").agg(F.count(F.lit(1)).alias("selected_n"))
-    sel = sel.withColumn("selected_share",
-                         F.col("selected_n") / F.sum("selected_n").over(Window.partitionBy(group)))
-    j = sel.join(corpus, "class_id")
+    # Every one of the given groups with every class of the corpus.
+    grid = corpus.withColumn(group, F.explode(F.array(*[F.lit(g) for g in groups])))
+    j = grid.join(sel, [group, "class_id"], "left").withColumn("selected_n", F.coalesce("selected_n", F.lit(0)))
+    j = j.withColumn("selected_share",
+                     F.col("selected_n") / F.sum("selected_n").over(Window.partitionBy(group)))
     return j.select(group, "class_id", "selected_n", "corpus_n", "selected_share", "corpus_share",
                     (F.col("selected_share") / F.col("corpus_share")).alias("share_ratio"))

@@ -13,19 +13,19 @@ Scale notes:
   cell), not from all pairs of an image: IoU >= t_min bounds the size ratio
   and centre distance, so each detection probes at most 3 levels x 2 x 2
   cells.  The join is exact for every threshold >= t_min.
-* The winning detection of a box is a ``min_by`` aggregate (partial, no group
-  is gathered); the per-class precision curve uses ``positions.running``, which
-  splits a class that holds most detections over many partitions.
+* The winning detections of a box are ten conditional minima in one aggregate
+  (partial, no group is gathered); ranks use ``positions.running``, which
+  splits a class that holds most detections over many partitions; the precision
+  envelope works on at most 101 rows per class and threshold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import class_name, exact_sum, iou
 from ..params import IOU_THRESHOLDS
-from ..session import checked_broadcast
 from .positions import running
 
 _EPS = 1e-9
@@ -35,12 +35,12 @@ def _level(size: Column) -> Column:
     return F.floor(F.log2(size)).cast("int")
 
 
-def candidate_pairs(det: DataFrame, gt: DataFrame, t_min: float = min(IOU_THRESHOLDS)) -> DataFrame:
+def candidate_pairs(det: DataFrame, gt: DataFrame, t_min: float = min(IOU_THRESHOLDS), keys=()) -> DataFrame:
     """All (detection, gt) pairs of the same image and class with IoU >= ``t_min``.
 
-    ``det``: image_id, class_id, det_id, confidence, x_center, y_center, width, height.
+    ``det``: keys, image_id, class_id, det_id, confidence, x_center, y_center, width, height.
     ``gt``: image_id, class_id, gt_id, x_center, y_center, width, height.
-    Output: image_id, class_id, det_id, confidence, gt_id, iou.
+    Output: keys, image_id, class_id, det_id, confidence, gt_id, iou.
     """
     if not 0 < t_min <= 1:
         raise ValueError("t_min must be in (0, 1]")
@@ -68,69 +68,85 @@ def candidate_pairs(det: DataFrame, gt: DataFrame, t_min: float = min(IOU_THRESH
     pairs = d.join(g, ["image_id", "class_id", "__lv", "__cx", "__cy"])
     v = iou({"x": F.col("x_center"), "y": F.col("y_center"), "w": F.col("width"), "h": F.col("height")},
             {"x": F.col("g_x"), "y": F.col("g_y"), "w": F.col("g_w"), "h": F.col("g_h")})
-    return (pairs.select("image_id", "class_id", "det_id", "confidence", "gt_id", v.alias("iou"))
+    return (pairs.select(*keys, "image_id", "class_id", "det_id", "confidence", "gt_id", v.alias("iou"))
                  .filter(F.col("iou") >= F.lit(float(t_min))))
 
 
-def detection_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS) -> DataFrame:
+def detection_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=()) -> DataFrame:
     """One row per detection with a TP flag per threshold (``tp_0``..``tp_k``).
 
-    Output: class_id, det_id, confidence, tp_<i> (int) for each threshold index.
+    A detection is identified by ``(*keys, image_id, class_id, det_id)``; ``keys``
+    (e.g. an arm) are columns of ``det``, the ground truth is shared.
+    Output: keys, image_id, class_id, det_id, confidence, tp_<i> (int) per threshold.
     """
-    pairs = candidate_pairs(det, gt, min(thresholds))
+    pairs = candidate_pairs(det, gt, min(thresholds), keys)
+    own = [*keys, "image_id", "class_id"]
     # best gt per detection: max of (iou, -gt_id) -- an aggregate, not a window
-    best = pairs.groupBy("det_id").agg(
-        F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "image_id", "class_id", "gt_id",
-                       "confidence")).alias("b"))
-    best = best.select("det_id", "b.iou", "b.image_id", "b.class_id", "b.gt_id", "b.confidence")
-    # only the thresholds this IoU reaches: a claim exists at t iff iou >= t
-    thr = F.filter(F.array(*[F.struct(F.lit(i).alias("ti"), F.lit(float(t)).alias("t"))
-                             for i, t in enumerate(thresholds)]), lambda x: x["t"] <= F.col("iou"))
-    claims = best.select("det_id", "image_id", "class_id", "gt_id", "confidence", F.explode(thr).alias("__t"))
-    # the most confident claimant of each (threshold, gt box) wins
-    winners = (claims.groupBy(F.col("__t.ti").alias("ti"), "image_id", "class_id", "gt_id")
-                     .agg(F.min_by("det_id", F.struct((-F.col("confidence")).alias("__nc"),
-                                                      F.col("det_id"))).alias("det_id")))
-    flags = winners.groupBy("det_id").agg(*[F.max(F.when(F.col("ti") == i, 1)).alias(f"__w{i}")
-                                            for i in range(len(thresholds))])
-    out = det.select("class_id", "det_id", "confidence").join(flags, "det_id", "left")
-    return out.select("class_id", "det_id", "confidence",
-                      *[F.coalesce(F.col(f"__w{i}"), F.lit(0)).cast("int").alias(f"tp_{i}")
-                        for i in range(len(thresholds))])
-
-
-def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS) -> DataFrame:
-    """AP per (class, threshold) for classes with ground truth.
-
-    Output: class_id, t, ap (101-point interpolated).
+    best = pairs.groupBy(*own, "det_id").agg(
+        F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "gt_id", "confidence")).alias("b"))
+    best = best.select(*own, "det_id", "b.iou", "b.gt_id", "b.confidence")
+    # the most confident claimant of each box wins, at each threshold its IoU reaches
+    first = F.struct((-F.col("confidence")).alias("__nc"), F.col("det_id").alias("d"))
+    winners = best.groupBy(*own, "gt_id").agg(*[
+        F.min(F.when(F.col("iou") >= F.lit(float(t)), first))["d"].alias(f"__w{i}") for i, t in enumerate(thresholds)])
+    names = [f"__w{i}" for i in range(len(thresholds))]
+    # a detection claims one box only, so these rows are unique
+    flags = winners.select(*own, *names, F.explode(F.array_distinct(F.array(*names))).alias("det_id")) \
+        .filter(F.col("det_id").isNotNull()) \
+        .select(*own, "det_id", *[(F.col(n) == F.col("det_id")).cast("int").alias(n) for n in names])
+    out = det.select(*own, "det_id", "confidence").join(flags, [*own, "det_id"], "left")
+    return out.select(*own, "det_id", "confidence",
+                      *[F.coalesce(F.col(n), F.lit(0)).alias(f"tp_{i}") for i, n in enumerate(names)])
+
+
+def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=()) -> DataFrame:
+    """AP per (keys, class, threshold) for classes with ground truth.
+
+    101-point interpolation needs only the best precision among the true
+    positives of each recall bucket ``floor(100 * tp / n_gt)``: a maximum summed
+    up before the shuffle, then at most 101 rows per class and threshold.
+    ``keys`` evaluates several detection sets (arms) in one pass.
+    Output: keys, class_id, t, ap.
     """
+    if not any(abs(t - 0.5) < 1e-9 for t in thresholds):
+        raise ValueError("the thresholds must hold 0.5")
     k = len(thresholds)
-    flags = detection_matches(det, gt, thresholds).withColumn("__one", F.lit(1))
-    ranked = running(flags, ["class_id"], [F.col("confidence").desc(), F.col("det_id").asc()],
+    flags = detection_matches(det, gt, thresholds, keys).withColumn("__one", F.lit(1))
+    order = [F.col("confidence").desc(), F.col("image_id").asc(), F.col("det_id").asc()]
+    ranked = running(flags, [*keys, "class_id"], order,
                      sums={"rank": "__one", **{f"ctp_{i}": f"tp_{i}" for i in range(k)}})
-    tp_rows = ranked.select("class_id", F.explode(F.array(*[
-        F.when(F.col(f"tp_{i}") == 1, F.struct(F.lit(float(t)).alias("t"), F.col(f"ctp_{i}").alias("ctp"),
-                                               (F.col(f"ctp_{i}") / F.col("rank")).alias("prec")))
-        for i, t in enumerate(thresholds)])).alias("r")).filter(F.col("r").isNotNull()).select("class_id", "r.*")
-    env = running(tp_rows, ["class_id", "t"], [F.col("ctp").desc()], maxes={"env": "prec"})
-    n_gt, _ = checked_broadcast(gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt")))
-    weight = (F.expr("(100 * ctp) div n_gt") - F.expr("(100 * (ctp - 1)) div n_gt")
-              + F.when(F.col("ctp") == 1, 1).otherwise(0))
-    ap = (env.join(n_gt, "class_id")
-             .groupBy("class_id", "t").agg((exact_sum(F.col("env") * weight) / F.lit(101.0)).alias("ap")))
-    grid = n_gt.select("class_id", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("t"))
-    return grid.join(ap, ["class_id", "t"], "left").select(
-        "class_id", "t", F.coalesce(F.col("ap"), F.lit(0.0)).alias("ap"))
+    n_gt = F.broadcast(gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt")))  # a row per class
+    tp_rows = ranked.join(n_gt, "class_id").select(*keys, "class_id", F.explode(F.filter(F.array(*[
+        F.when(F.col(f"tp_{i}") == 1, F.struct(
+            F.lit(float(t)).alias("t"), F.expr(f"(100 * ctp_{i}) div n_gt").alias("bucket"),
+            (F.col(f"ctp_{i}") / F.col("rank")).alias("prec")))
+        for i, t in enumerate(thresholds)]), lambda r: r.isNotNull())).alias("r")).select(*keys, "class_id", "r.*")
+    best = tp_rows.groupBy(*keys, "class_id", "t", "bucket").agg(F.max("prec").alias("prec"))
+    curve = Window.partitionBy(*keys, "class_id", "t")
+    env = best.select(*keys, "class_id", "t",
+                      F.max("prec").over(curve.orderBy(F.col("bucket").desc())).alias("env"),
+                      (F.col("bucket") - F.coalesce(F.lag("bucket").over(curve.orderBy("bucket")), F.lit(-1)))
+                      .alias("levels"))
+    ap = env.groupBy(*keys, "class_id", "t").agg(
+        (exact_sum(F.col("env") * F.col("levels")) / F.lit(101.0)).alias("ap"))
+    every = gt.select("class_id").distinct()
+    if keys:  # a row per detection set and class: both are few
+        sets = det.select(*keys).distinct().withColumn("__j", F.lit(1))
+        every = every.withColumn("__j", F.lit(1)).join(F.broadcast(sets), "__j").drop("__j")
+    grid = every.select(*keys, "class_id", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("t"))
+    return grid.join(F.broadcast(ap), [*keys, "class_id", "t"], "left").select(
+        *keys, "class_id", "t", F.coalesce(F.col("ap"), F.lit(0.0)).alias("ap"))
 
 
 def per_class_ap(ap_t: DataFrame, categories: DataFrame | None = None, arm: str | None = None) -> DataFrame:
-    """Per class AP at .50 and averaged over the thresholds (AP50-95)."""
-    per = ap_t.groupBy("class_id").agg(
-        F.max(F.when(F.col("t") == 0.5, F.col("ap"))).alias("ap50"),
+    """Per class (and arm) AP at .50 and averaged over the thresholds (AP50-95)."""
+    keys = ["arm"] if "arm" in ap_t.columns else []
+    per = ap_t.groupBy(*keys, "class_id").agg(
+        F.max(F.when(F.abs(F.col("t") - 0.5) < 1e-9, F.col("ap"))).alias("ap50"),
         (exact_sum("ap") / F.count(F.lit(1))).alias("ap50_95"))
     if categories is not None:
         per = per.join(F.broadcast(categories), "class_id", "left")
-        per = per.select("class_id", class_name("class_id", "class_name").alias("class_name"), "ap50", "ap50_95")
+        per = per.select(*keys, "class_id", class_name("class_id", "class_name").alias("class_name"), "ap50", "ap50_95")
     if arm is not None:
         per = per.select(F.lit(arm).alias("arm"), *per.columns)
     return per
@@ -145,12 +161,12 @@ def map_summary(per_class: DataFrame) -> DataFrame:
 
 
 def compare_arms(mined: DataFrame, random: DataFrame) -> DataFrame:
-    """J7 per class: AP of both arms, delta, and which arm wins (full outer join)."""
+    """J7 per class, in class order: AP of both arms and delta (full outer join of a row per class)."""
     a = mined.select("class_id", "class_name", F.col("ap50_95").alias("mined_ap"))
     b = random.select("class_id", F.col("class_name").alias("__n"), F.col("ap50_95").alias("random_ap"))
     j = a.join(b, "class_id", "full")
     return j.select("class_id", F.coalesce("class_name", "__n").alias("class_name"), "mined_ap", "random_ap",
-                    (F.col("mined_ap") - F.col("random_ap")).alias("delta_ap"))
+                    (F.col("mined_ap") - F.col("random_ap")).alias("delta_ap")).orderBy("class_id")
 
 
 def compare_summary(maps: DataFrame) -> DataFrame:
@@ -164,3 +180,24 @@ def compare_summary(maps: DataFrame) -> DataFrame:
     return row.select("*", d50.alias("delta_map50"),
                       (F.col("mined_map50_95") - F.col("random_map50_95")).alias("delta_map50_95"),
                       F.when(d50 > 0, "mined").when(d50 < 0, "random").otherwise("tie").alias("verdict"))
+
+
+def ground_truth_of(manifest: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Stored label boxes of a manifest's frames as ground truth."""
+    return (boxes.join(manifest.select("frame_id"), "frame_id", "left_semi")
+            .select(F.col("frame_id").alias("image_id"), "class_id", F.col("box_pos").cast("long").alias("gt_id"),
+                    "x_center", "y_center", "width", "height"))
+
+
+def detections_of(manifest: DataFrame, predictions: DataFrame, keys=()) -> DataFrame:
+    """Stored predictions of a manifest's frames as detections with a stable id.
+
+    The id numbers a frame's boxes by confidence and then position, so it does
+    not depend on the order in which the boxes were read.
+    """
+    order = Window.partitionBy(*keys, "frame_id").orderBy(
+        F.col("confidence").desc(), "class_id", "x_center", "y_center", "width", "height")
+    return (predictions.filter(F.col("class_id") >= 0).join(manifest.select("frame_id"), "frame_id", "left_semi")
+            .select(*keys, F.col("frame_id").alias("image_id"), "class_id",
+                    F.row_number().over(order).cast("long").alias("det_id"), "confidence",
+                    "x_center", "y_center", "width", "height"))

@@ -7,14 +7,15 @@ partial ``WindowGroupLimit``, and the scale-safe running sums.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import exact_sum, hash_order_key, video_key
+from ..functions.columns import exact_sum, hash_order_key, hash_rank, video_key
 from ..params import SEED, Params
 from ..session import checked_broadcast, materialize
 from .ingest import cut_points
-from .positions import running
+from .mining import capped
+from .positions import first_rows, running
 
 ABLATION = {
     "both": {"uncertainty": 1.0, "rare_class": 1.0},
@@ -23,22 +24,6 @@ ABLATION = {
 }
 
 
-def _capped_top(df: DataFrame, keys: list[str], group: Column, order: list[Column],
-                cap: int, budget: int) -> DataFrame:
-    """Per ``keys`` (variant, seed, ...): at most ``cap`` per group, first ``budget``.
-
-    Both limits are ``row_number() <= n`` filters, so Spark runs a partial
-    ``WindowGroupLimit`` before each shuffle: a hot group or a whole variant
-    sends at most ``n`` rows per map task.
-    """
-    wv = Window.partitionBy(*keys, "video_id").orderBy(*order)
-    capped = (df.withColumn("video_id", group).withColumn("__vr", F.row_number().over(wv))
-                .filter(F.col("__vr") <= cap).drop("__vr"))
-    wb = Window.partitionBy(*keys).orderBy(*order)
-    return (capped.withColumn("pick", F.row_number().over(wb).cast("long"))
-                  .filter(F.col("pick") <= budget))
-
-
 def signal_ablation(scores: DataFrame, budget: int, cap: int, variants: dict | None = None) -> DataFrame:
     """The mined selection under several signal weightings, in one job.
 
@@ -55,7 +40,8 @@ def signal_ablation(scores: DataFrame, budget: int, cap: int, variants: dict | N
         rows.append(F.struct(F.lit(name).alias("variant"), expr.alias("score")))
     exploded = scores.select("frame_id", F.explode(F.array(*rows)).alias("__v")).select("frame_id", "__v.*")
     order = [F.col("score").desc(), F.col("frame_id").asc()]
-    return _capped_top(exploded, ["variant"], video_key("frame_id"), order, cap, budget) \
+    few = capped(exploded, order, video_key("frame_id"), cap, ["variant"])
+    return first_rows(few, ["variant"], -F.col("score"), order, budget) \
         .select("variant", "pick", "frame_id", "video_id", "score")
 
 
@@ -66,8 +52,8 @@ def seed_spread(scores: DataFrame, budget: int, cap: int, seeds=(42, 43, 44, 45,
     s = scores.select("frame_id", F.col(score_col).alias("score"),
                       F.explode(F.array(*[F.lit(int(x)) for x in seeds])).alias("seed"))
     s = s.withColumn("__h", F.md5(F.concat(F.col("seed").cast("string"), F.lit(":random:"), F.col("frame_id"))))
-    picked = _capped_top(s, ["seed"], video_key("frame_id"), [F.col("__h").asc(), F.col("frame_id").asc()],
-                         cap, budget)
+    order = [F.col("__h").asc(), F.col("frame_id").asc()]
+    picked = first_rows(capped(s, order, video_key("frame_id"), cap, ["seed"]), ["seed"], hash_rank("__h"), order, budget)
     per_seed = picked.groupBy("seed").agg(F.count(F.lit(1)).alias("n_selected"),
                                           (exact_sum("score") / F.count(F.lit(1))).alias("mean_score"))
     all_seeds = Window.partitionBy()  # over one row per seed
@@ -108,66 +94,77 @@ def scene_split(inventory: DataFrame, params: Params = Params(), id_col: str = "
     seed_end, unl_end = cut_points(total, params)
     start = F.col("__c") - F.col("n")
     split = F.when(start < seed_end, "seed").when(start < unl_end, "unlabeled").otherwise("val")
-    assign, _ = checked_broadcast(cum.select("video_id", split.alias("split")), max_rows=5_000_000)
-    return frames.join(assign, "video_id").select("frame_id", "video_id", "split")
+    return frames.join(cum.select("video_id", split.alias("split")), "video_id").select("frame_id", "video_id", "split")
 
 
 def spaced_select(scores: DataFrame, times: DataFrame, budget: int, cap: int, min_gap: float,
                   score_col: str = "combined", time_col: str = "t") -> DataFrame:
     """Capped selection where two picks of one video are >= ``min_gap`` apart.
 
-    Exact greedy in ``cap`` rounds: each round accepts the best remaining frame
-    of every video (``row_number() = 1``, partial per map task) and removes the
-    frames too close to it (a join against one row per video).  Candidates are
-    written between rounds.  Then the budget takes the first accepted frames
-    in the global order, as the sequential walk would.
+    Exact greedy in at most ``cap`` rounds: a round accepts the best remaining
+    frame of every video (``min_by``, summed up before the shuffle) and keeps the
+    frames far enough from it (a join with one row per video).  Only frames that
+    are still eligible are written again, and the rounds end when none is left.
+    Then the budget takes the first accepted frames in the global order, as
+    the sequential walk would.  Output ``(pick, frame_id, video_id, score, t)``.
     """
     cand = (scores.select("frame_id", F.col(score_col).alias("score"))
                   .join(times.select("frame_id", F.col(time_col).cast("double").alias("t")), "frame_id")
                   .withColumn("video_id", video_key("frame_id")))
     order = [F.col("score").desc(), F.col("frame_id").asc()]
-    accepted = None
-    for _ in range(cap):
-        w = Window.partitionBy("video_id").orderBy(*order)
-        top = materialize(cand.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1).drop("__r"),
-                          "spaced_top")
-        accepted = top if accepted is None else accepted.unionByName(top)
-        block = top.select("video_id", F.col("frame_id").alias("__f"), F.col("t").alias("__t"))
-        cand = (cand.join(block, "video_id", "left")
-                    .filter(F.col("__f").isNull() |
-                            ((F.col("frame_id") != F.col("__f")) & (F.abs(F.col("t") - F.col("__t")) >= min_gap)))
-                    .drop("__f", "__t"))
+    accepted = cand.limit(0)
+    for _ in range(cap if budget > 0 else 0):
         cand = materialize(cand, "spaced_cand")
-    if accepted is None or budget <= 0:
-        return scores.limit(0).select("frame_id")
-    top_b = accepted.orderBy(*order).limit(budget)
-    return top_b.withColumn("pick", F.row_number().over(Window.orderBy(*order)).cast("long")) \
+        if cand.isEmpty():
+            break
+        best = F.struct((-F.col("score")).alias("__ns"), F.col("frame_id").alias("__f"))
+        top = cand.groupBy("video_id").agg(F.min_by(F.struct("frame_id", "score", "t"), best).alias("b"))
+        top = top.select("b.frame_id", "b.score", "b.t", "video_id")
+        accepted = accepted.unionByName(top)
+        block = top.select("video_id", F.col("t").alias("__t"), F.col("frame_id").alias("__f"))
+        cand = (cand.join(block, "video_id")
+                    .filter((F.col("frame_id") != F.col("__f")) & (F.abs(F.col("t") - F.col("__t")) >= min_gap))
+                    .drop("__f", "__t"))
+    return first_rows(accepted, [], -F.col("score"), order, budget) \
         .select("pick", "frame_id", "video_id", "score", "t")
 
 
-def cluster_diverse(items: DataFrame, budget: int, cap: int, k: int = 8, seed: int = SEED,
+def cluster_diverse(items: DataFrame, budget: int, cap: int, group_col: str = "label",
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """KMeans clusters as the diversity group; score = distance to the centre.
+    """Cluster labels as the diversity group; score = distance to the cluster's centre.
 
-    Picks the items farthest from their cluster centre, at most ``cap`` per
-    cluster.  The centres table has ``k`` rows (a parameter), so it is broadcast.
+    Centres are plain averages per cluster and component (a partial aggregate
+    over exploded components, one row per cluster and component), so the result is
+    repeatable on any partitioning; ``kmeans_groups`` makes labels where there are
+    none.  Picks the items farthest from their centre, at most ``cap`` per cluster.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    data = items.select(F.col(id_col).alias("item_id"), F.col(vec_col).alias("emb"),
-                        array_to_vector(F.col(vec_col)).alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
-    centres = data.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
-    assigned = model.transform(data).join(F.broadcast(centres), "cluster")
+    rows = items.select(F.col(id_col).alias("item_id"), F.col(vec_col).cast("array<double>").alias("emb"),
+                        F.col(group_col).cast("string").alias("cluster"))
+    parts = rows.select("item_id", "cluster", F.posexplode("emb").alias("i", "x"))
+    # Sums of integers (2**-40 units) do not depend on the order of rows.
+    mean = F.sum(F.round(F.col("x") * F.lit(float(1 << 40))).cast("decimal(38,0)")).cast("double")
+    centres = (parts.groupBy("cluster", "i").agg((mean / F.lit(float(1 << 40)) / F.count(F.lit(1))).alias("c"))
+               .groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "c"))), lambda e: e["c"])
+                                       .alias("centre")))
+    centres, _ = checked_broadcast(centres)
     dist = F.sqrt(F.aggregate(F.zip_with("emb", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                               lambda acc, x: acc + x))
-    scored = assigned.select("item_id", F.col("cluster").cast("string").alias("__g"), dist.alias("score"))
+    scored = rows.join(centres, "cluster").select("item_id", "cluster", dist.alias("score"))
     order = [F.col("score").desc(), F.col("item_id").asc()]
-    return _capped_top(scored.withColumn("__k", F.lit(0)), ["__k"], F.col("__g"), order, cap, budget) \
-        .select("pick", "item_id", F.col("video_id").alias("cluster"), "score")
+    few = capped(scored, order, F.col("cluster"), cap)
+    return first_rows(few, [], -F.col("score"), order, budget).select("pick", "item_id", "cluster", "score")
+
+
+def kmeans_groups(items: DataFrame, k: int = 8, seed: int = SEED, vec_col: str = "embedding",
+                  out: str = "label") -> DataFrame:
+    """Cluster labels by KMeans (iterative; depends on the partitioning through its start)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    data = items.withColumn("__f", array_to_vector(F.col(vec_col)))
+    model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol=out).fit(data)
+    return model.transform(data).drop("__f")
 
 
 __all__ = ["ABLATION", "signal_ablation", "seed_spread", "budget_curve", "scene_split",
-           "spaced_select", "cluster_diverse"]
+           "spaced_select", "cluster_diverse", "kmeans_groups"]

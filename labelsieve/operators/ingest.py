@@ -14,12 +14,11 @@ def latest_entries(ann: DataFrame, key: str = "videoName", seq: str = "seq") ->
     """Entries with labels, keeping the last one per ``key`` by ``seq``.
 
     A later entry with null labels does not replace an earlier one (it is
-    skipped before it could overwrite).  ``max`` per key is a partial
+    skipped before it could overwrite).  One pass: ``max_by`` is a partial
     aggregate, so a key repeated many times never gathers in one task.
     """
-    with_labels = ann.filter(F.col("labels").isNotNull())
-    last = with_labels.groupBy(key).agg(F.max(seq).alias(seq))
-    return with_labels.join(last, [key, seq], "left_semi")
+    return (ann.filter(F.col("labels").isNotNull()).groupBy(key)
+            .agg(F.max_by("labels", seq).alias("labels"), F.max(seq).alias(seq)))
 
 
 def labeled_frames(ann: DataFrame, key: str = "videoName", seq: str = "seq") -> DataFrame:
@@ -142,7 +141,12 @@ def split_invariants(manifest: DataFrame, inventory: DataFrame, id_col: str = "f
 
 
 def image_inventory(spark, directory: str, source_set: str, extension: str = "jpg") -> DataFrame:
-    """A3: list ``*.jpg`` of a directory (non-recursive); reads only the path column."""
+    """A3: list ``*.jpg`` of a directory (non-recursive); reads only the path column.
+
+    The listing is held by the driver, so this is for folders of up to some
+    millions of files; larger collections come as a Parquet inventory
+    (``frame_id, path``), which every stage takes directly.
+    """
     from ..functions.columns import frame_id_from_path
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}")
              .option("recursiveFileLookup", "false").load(directory).select("path"))

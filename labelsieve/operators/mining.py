@@ -13,15 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import exact_sum, hash_order_key, in_band, video_key
+from ..functions.columns import hash_order_key, hash_rank, in_band, video_key
 from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED
 from ..session import checked_broadcast, materialize
-from .positions import average_ranks, ordered_position
-
-# Budgets up to this size take the ``TakeOrderedAndProject`` top-k path; larger
-# ones number every capped candidate with ``ordered_position`` instead.
-TOP_K_ROWS = 1_000_000
-
+from .positions import average_ranks, first_rows, median
 
 def class_counts(pred: DataFrame, class_col: str = "class_id") -> DataFrame:
     """Detections per class, sentinel class included."""
@@ -31,18 +26,28 @@ def class_counts(pred: DataFrame, class_col: str = "class_id") -> DataFrame:
 def frame_signals(pred: DataFrame, frame_col: str = "frame_id", class_col: str = "class_id",
                   conf_col: str = "confidence", low: float = AMBIGUOUS_LOW,
                   high: float = AMBIGUOUS_HIGH) -> DataFrame:
-    """D2 + D3 + C1-C3 + G1 + B11 in one aggregation.
+    """D2 + D3 + C1-C3 + G1 + B11 behind one shuffle on the frame.
 
     ``uncertainty`` = detections with ``low <= confidence <= high``;
-    ``rare_class`` = sum of 1/class_count over non-sentinel detections.
-    Every frame that has any row (sentinel-only frames too) gets a row.
+    ``rare_class`` = sum of 1/class_count over non-sentinel detections, added as
+    ``k / class_count`` per class in class order: a double sum that depends on
+    neither row order nor the size of the counts.  Every frame that has any row
+    (sentinel-only frames too) gets a row.
     """
     counts, _ = checked_broadcast(class_counts(pred.select(class_col), class_col))
-    joined = pred.select(frame_col, class_col, conf_col).join(counts, class_col)
-    inverse = F.when(F.col(class_col) >= 0, F.lit(1.0) / F.col("class_count"))
-    return joined.groupBy(frame_col).agg(
-        F.count_if(in_band(conf_col, low, high)).cast("long").alias("uncertainty"),
-        F.coalesce(exact_sum(inverse), F.lit(0.0)).alias("rare_class"),
+    per_class = (pred.select(frame_col, class_col, conf_col).repartition(frame_col)
+                 .groupBy(frame_col, class_col)
+                 .agg(F.count(F.lit(1)).alias("__k"), F.count_if(in_band(conf_col, low, high)).alias("__u")))
+    return rare_mass(per_class.join(counts, class_col), frame_col, class_col)
+
+
+def rare_mass(per_class: DataFrame, frame_col: str, class_col: str) -> DataFrame:
+    """D3 + D2 from ``(frame, class, __k, __u, class_count)``, one row per frame and class."""
+    terms = F.array_sort(F.collect_list(F.when(F.col(class_col) >= 0, F.struct(
+        F.col(class_col).alias("c"), (F.col("__k") / F.col("class_count")).alias("x")))))
+    return per_class.groupBy(frame_col).agg(
+        F.sum("__u").cast("long").alias("uncertainty"),
+        F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["x"]).alias("rare_class"),
     )
 
 
@@ -77,41 +82,31 @@ def frame_scores(pred: DataFrame, weights: dict[str, float] | None = None,
 
 
 def score_summary(scores: DataFrame, score_col: str = "combined") -> DataFrame:
-    """Frame count, max and exact median of the combined score."""
-    return scores.agg(
-        F.count(F.lit(1)).alias("n_frames"),
-        F.max(score_col).alias("max_combined"),
-        F.median(score_col).alias("median_combined"),
-    )
+    """Frame count, max and exact median of the combined score.
 
+    The median comes from the counts of distinct values (``positions.median``),
+    not from an aggregate that holds every value in one buffer.
+    """
+    whole = scores.agg(F.count(F.lit(1)).alias("n_frames"), F.max(score_col).alias("max_combined"))
+    middle = median(scores, score_col).withColumnRenamed("median", "median_combined")
+    one = F.lit(1).alias("__one")
+    return (whole.select("*", one).join(F.broadcast(middle.select("*", one)), "__one")
+            .select("n_frames", "max_combined", "median_combined"))
 
-def _capped(df: DataFrame, order: list[Column], group: Column, cap: int) -> DataFrame:
-    """Keep the first ``cap`` rows of each group in ``order``.
+
+def capped(df: DataFrame, order: list[Column], group: Column, cap: int, keys=()) -> DataFrame:
+    """Keep the first ``cap`` rows of each group (and ``keys``) in ``order``.
 
     ``row_number() <= cap`` lets Spark add a partial ``WindowGroupLimit`` before
     the shuffle, so a hot group sends at most ``cap`` rows per map task.
     """
-    w = Window.partitionBy("video_id").orderBy(*order)
+    w = Window.partitionBy(*keys, "video_id").orderBy(*order)
     return (df.withColumn("video_id", group)
               .withColumn("__vr", F.row_number().over(w))
               .filter(F.col("__vr") <= cap)
               .drop("__vr"))
 
 
-def _budgeted(capped: DataFrame, order: list[Column], budget: int) -> DataFrame:
-    """the first ``budget`` rows in ``order`` with a 1-based ``pick``."""
-    if budget <= 0:
-        return capped.limit(0).withColumn("pick", F.lit(0).cast("long"))
-    if budget <= TOP_K_ROWS:
-        # TakeOrderedAndProject: per-partition top-k, one merge of <= budget rows.
-        top = capped.orderBy(*order).limit(budget)
-        w = Window.orderBy(*order)  # over <= budget rows only
-        return top.withColumn("pick", F.row_number().over(w).cast("long"))
-    numbered = ordered_position(capped, order, name="__pos")
-    return (numbered.filter(F.col("__pos") < budget)
-                    .withColumn("pick", (F.col("__pos") + 1).cast("long")).drop("__pos"))
-
-
 def select_capped(scores: DataFrame, budget: int, cap: int, score_col: str = "combined",
                   id_col: str = "frame_id", group: Column | None = None,
                   arm: str = "mined") -> DataFrame:
@@ -123,7 +118,7 @@ def select_capped(scores: DataFrame, budget: int, cap: int, score_col: str = "co
     group = group if group is not None else video_key(id_col)
     order = [F.col(score_col).desc(), F.col(id_col).asc()]
     base = scores.select(F.col(id_col), F.col(score_col))
-    picked = _budgeted(_capped(base, order, group, cap), order, budget)
+    picked = first_rows(capped(base, order, group, cap), [], -F.col(score_col).cast("double"), order, budget)
     return picked.select(F.lit(arm).alias("arm"), "pick", F.col(id_col).alias("frame_id"),
                          "video_id", F.col(score_col).alias("score"))
 
@@ -135,7 +130,7 @@ def random_capped(scores: DataFrame, budget: int, cap: int, seed: int = SEED,
     group = group if group is not None else video_key(id_col)
     order = [F.col("__h").asc(), F.col(id_col).asc()]
     base = scores.select(F.col(id_col), F.col(score_col), hash_order_key(seed, "random", id_col).alias("__h"))
-    picked = _budgeted(_capped(base, order, group, cap), order, budget)
+    picked = first_rows(capped(base, order, group, cap), [], hash_rank("__h"), order, budget)
     return picked.select(F.lit(arm).alias("arm"), "pick", F.col(id_col).alias("frame_id"),
                          "video_id", F.col(score_col).alias("score"))
 

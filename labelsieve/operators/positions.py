@@ -25,11 +25,6 @@ _PID = "__pid"
 _CNT = "__cnt"
 _OFF = "__off"
 
-# Distinct-value tables up to this size are ranked in one window per column
-# (after the count proves the bound); larger ones use range partitions.
-SMALL_DISTINCT = 2_000_000
-
-
 def _partition_offsets(counts: DataFrame) -> DataFrame:
     """``(pid, cnt)`` -> ``(pid, off)`` with ``off`` = rows in earlier partitions.
 
@@ -97,6 +92,47 @@ def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str
     return out
 
 
+BUCKETS = 1024
+
+
+def first_rows(df: DataFrame, keys: list[str], rank: Column, order: list[Column], budget: int,
+               name: str = "pick", partitions: int | None = None) -> DataFrame:
+    """The first ``budget`` rows per ``keys`` in ``order`` with their 1-based ``name``.
+
+    ``rank`` is a double that never falls along ``order``.  Its range per key
+    is cut into ``BUCKETS`` equal parts; the counts per part (a partial
+    aggregate, ``BUCKETS`` rows per key at most) give the part in which the budget
+    is reached, all rows behind it are filtered out, and only the rest is
+    numbered, range partitioned.  No task sees more than its share of rows at
+    any budget.  ``keys`` are few (variants, seeds): their bounds are broadcast.
+    """
+    key = keys or ["__all"]
+    rows = materialize((df if keys else df.withColumn("__all", F.lit(0))).withColumn("__rank", rank), "ranked")
+    bounds = F.broadcast(rows.groupBy(*key).agg(F.min("__rank").alias("__lo"), F.max("__rank").alias("__hi")))
+    span = F.col("__hi") - F.col("__lo")
+    part = F.when(span > 0, F.floor((F.col("__rank") - F.col("__lo")) / span * BUCKETS)).otherwise(0)
+    placed = rows.join(bounds, key).withColumn("__part", part.cast("int")).drop("__lo", "__hi")
+    counts = placed.groupBy(*key, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+              .filter(F.col("__before") < budget).groupBy(*key).agg(F.max("__part").alias("__last")))
+    near = (placed.join(F.broadcast(wanted), key).filter(F.col("__part") <= F.col("__last"))
+            .drop("__last", "__part", "__rank").withColumn("__one", F.lit(1)))
+    out = running(near, key, order, sums={name: "__one"}, partitions=partitions)
+    return out.filter(F.col(name) <= budget).withColumn(name, F.col(name).cast("long")).drop("__one", "__all")
+
+
+def median(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """One row ``(median)``: exact, from the distinct values and the rows before each."""
+    ranks = value_ranks(df.filter(F.col(value).isNotNull()), value, partitions)
+    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
+
+    def at(pos):
+        return F.max(F.when((F.col("before") <= pos) & (pos < F.col("before") + F.col("cnt")), F.col(value)))
+    return ranks.agg(at(low).alias("lo"), at(high).alias("hi")).select(
+        (F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("median"))
+
+
 def value_ranks(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
     """One row per distinct ``value``: ``(value, cnt, before, total)``.
 
@@ -125,45 +161,34 @@ def _avg_rank_expr(before: str, cnt: str, total: str, normalise: bool) -> Column
     return expr / F.col(total) if normalise else expr
 
 
-def average_ranks(df: DataFrame, columns: list[str], suffix: str = "_norm",
-                  normalise: bool = True, small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+def average_ranks(df: DataFrame, columns: list[str], suffix: str = "_norm", normalise: bool = True) -> DataFrame:
     """Average rank of several columns at once (``col + suffix`` for each).
 
     All columns are stacked into one ``(signal, value)`` frequency table (one
-    aggregation, ties collapsed, hot values become one row).  If that table
-    has at most ``small_distinct`` rows (checked by counting it), the prefix
-    sums run in one window per signal and the rank table is broadcast: both
-    bounded by the count.  Otherwise each column takes the range-partitioned
-    path of ``average_rank``.
+    aggregation, ties collapsed, hot values become one row).  Its running counts
+    are range partitioned, and the ranks are joined back on the value: broadcast
+    where the rank table's bytes allow, else by a shuffle.
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("__sig"), F.col(c).cast("double").alias("__v")) for c in columns
     ])).alias("__s")).select("__s.*")
-    freq = materialize(stacked.groupBy("__sig", "__v").agg(F.count(F.lit(1)).alias(_CNT)), "freq")
-    if freq.count() > small_distinct:
-        out = df
-        for c in columns:
-            out = average_rank(out, c, c + suffix, normalise=normalise)
-        return out
-    run = (Window.partitionBy("__sig").orderBy(F.col("__v").asc_nulls_first())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranks = freq.select(
-        "__sig", "__v", F.col(_CNT),
-        (F.sum(_CNT).over(run) - F.col(_CNT)).alias("__before"),
-        F.sum(_CNT).over(Window.partitionBy("__sig")).alias("__total"),
-    ).select("__sig", "__v", _avg_rank_expr("__before", _CNT, "__total", normalise).alias("__rank"))
+    freq = stacked.groupBy("__sig", "__v").agg(F.count(F.lit(1)).alias(_CNT))
+    counted = running(freq, ["__sig"], [F.col("__v").asc_nulls_first()], sums={"__upto": _CNT})
+    counted = (counted.withColumn("__before", F.col("__upto") - F.col(_CNT))
+               .withColumn("__total", F.lit(df.count())))
+    ranks, small = checked_broadcast(counted.select(
+        "__sig", "__v", _avg_rank_expr("__before", _CNT, "__total", normalise).alias("__rank")))
     out = df
     for c in columns:
-        r = F.broadcast(ranks.filter(F.col("__sig") == c)
-                        .select(F.col("__v").alias(f"__v_{c}"), F.col("__rank").alias(c + suffix)))
-        out = (out.join(r, F.col(c).cast("double").eqNullSafe(F.col(f"__v_{c}")), "left")
+        r = ranks.filter(F.col("__sig") == c).select(F.col("__v").alias(f"__v_{c}"), F.col("__rank").alias(c + suffix))
+        out = (out.join(F.broadcast(r) if small else r, F.col(c).cast("double").eqNullSafe(F.col(f"__v_{c}")), "left")
                   .drop(f"__v_{c}"))
     return out
 
 
 def average_rank(df: DataFrame, value: str, out: str, normalise: bool = True,
                  partitions: int | None = None,
-                 broadcast_rows: int | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """Add ``out`` = average rank of ``value`` (ties get the mean of their ranks).
 
     With ``normalise`` the rank is divided by the row count, giving (0, 1].
@@ -173,6 +198,6 @@ def average_rank(df: DataFrame, value: str, out: str, normalise: bool = True,
     """
     ranks = value_ranks(df, value, partitions)
     ranks = ranks.select(value, _avg_rank_expr("before", "cnt", "total", normalise).alias(out))
-    kwargs = {} if broadcast_rows is None else {"max_rows": broadcast_rows}
+    kwargs = {} if broadcast_bytes is None else {"max_bytes": broadcast_bytes}
     ranks, _ = checked_broadcast(ranks, **kwargs)
     return df.join(ranks, on=df[value].eqNullSafe(ranks[value]), how="left").drop(ranks[value])

@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from ..params import SENTINEL_CLASS
 from ..schemas import PREDICTION
-from ..session import checked_broadcast
+from ..session import checked_broadcast, scratch_path, ship_package
 
 # A model factory returns ``predict(paths) -> list of detections per path``,
 # each detection ``(class_id, confidence, x_center, y_center, width, height)``.
 Predict = Callable[[list[str]], list[list[tuple]]]
 ModelFactory = Callable[[], Predict]
 
+# Frames that one task scores, unless that leaves cores idle.
+FRAMES_PER_TASK = 4096
 _DET_COLS = ["class_id", "confidence", "x_center", "y_center", "width", "height"]
 
 
@@ -65,17 +67,25 @@ def _score_batches(model_factory: ModelFactory, batch: int, conf_threshold: floa
 
 
 def score_frames(frames: DataFrame, model_factory: ModelFactory, batch: int = 16,
-                 conf_threshold: float = 0.25, path_col: str = "path") -> DataFrame:
+                 conf_threshold: float = 0.25, path_col: str = "path", tasks: int | None = None) -> DataFrame:
     """H1-H4: run the model over ``(frame_id, shard_id, path)`` rows.
 
-    Rows are hash-partitioned by ``shard_id`` so each shard is scored (and
-    later written) by exactly one task.
+    Rows are dealt by hash to ``tasks`` partitions, a number that follows the
+    frame count (a few bytes of path a row would make adaptive execution merge
+    all of them into one task otherwise).
     """
-    shards = (frames.select("frame_id", "shard_id", path_col).repartition("shard_id")
+    ship_package(frames.sparkSession)
+    tasks = tasks or scoring_tasks(frames.sparkSession, frames.count())
+    shards = (frames.select("frame_id", "shard_id", path_col).repartition(tasks, "frame_id")
                     .sortWithinPartitions("shard_id", path_col))
     return shards.mapInPandas(_score_batches(model_factory, batch, conf_threshold, path_col), PREDICTION)
 
 
+def scoring_tasks(spark: SparkSession, n_frames: int) -> int:
+    """At least one task a core, and no task with much over FRAMES_PER_TASK frames."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_frames // FRAMES_PER_TASK))
+
+
 def with_sentinels(manifest: DataFrame, detections: DataFrame) -> DataFrame:
     """H3 as a join: frames without any detection get one sentinel row."""
     det = detections.select("frame_id", *_DET_COLS)
@@ -89,33 +99,43 @@ def with_sentinels(manifest: DataFrame, detections: DataFrame) -> DataFrame:
 
 
 def manifest_fingerprint(manifest: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a manifest: row count and sum of id hashes."""
+    """Fingerprint of a manifest: row count and sum of hashes of (frame, position)."""
     return manifest.agg(F.count(F.lit(1)).alias("n_frames"),
-                        F.sum(F.xxhash64("frame_id") % F.lit(1 << 31)).alias("id_hash"))
+                        F.sum(F.xxhash64("frame_id", "pos") % F.lit(1 << 31)).alias("id_hash"))
+
+
+META = "n_frames long, id_hash long, shard_size long, conf_threshold double"
 
 
 def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: ModelFactory,
                    out_dir: str, shard_size: int, batch: int = 16, conf_threshold: float = 0.25,
-                   shards_per_wave: int = 256, image_dir: str | None = None) -> dict:
+                   shards_per_wave: int | None = None, image_dir: str | None = None) -> dict:
     """Resumable inference of ``manifest`` (``frame_id, pos[, path]``) into
     ``out_dir/predictions`` (partitioned by ``shard_id``).
 
-    Refuses to resume when ``shard_size`` or the manifest changed, because
-    shard numbers would silently change meaning.  Returns counters (D9).
+    A wave gives every core several tasks; the pending frames are written once,
+    partitioned by wave, so a wave reads its own frames only.  Refuses to resume
+    when the manifest, its positions, ``shard_size`` or ``conf_threshold``
+    changed, because shard numbers or contents would silently change meaning.
+    Returns counters (D9).
     """
     from ..functions.columns import image_path
     meta_dir = os.path.join(out_dir, "meta")
     done_dir = os.path.join(out_dir, "shards_done")
     pred_dir = os.path.join(out_dir, "predictions")
-    fp = manifest_fingerprint(manifest).withColumn("shard_size", F.lit(shard_size).cast("long")).first()
-    meta = {"n_frames": fp["n_frames"], "id_hash": fp["id_hash"], "shard_size": shard_size}
+    fp = manifest_fingerprint(manifest).first()
+    meta = {"n_frames": fp["n_frames"], "id_hash": fp["id_hash"], "shard_size": shard_size,
+            "conf_threshold": float(conf_threshold)}
+    if shards_per_wave is None:
+        # Several tasks a core.
+        frames_per_wave = 4 * spark.sparkContext.defaultParallelism * FRAMES_PER_TASK
+        shards_per_wave = max(1, frames_per_wave // shard_size)
     if _exists(spark, meta_dir):
         old = spark.read.parquet(meta_dir).first().asDict()
         if old != meta:
             raise ValueError(f"predictions in {out_dir} were made for another manifest/shard size: {old}")
     else:
-        spark.createDataFrame([meta], "n_frames long, id_hash long, shard_size long") \
-            .coalesce(1).write.mode("overwrite").parquet(meta_dir)
+        spark.createDataFrame([meta], META).coalesce(1).write.mode("overwrite").parquet(meta_dir)
     frames = manifest
     if "path" not in manifest.columns:
         if image_dir is None:
@@ -131,9 +151,12 @@ def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: Mode
     n_total = assigned.agg(F.countDistinct("shard_id")).first()[0]
     processed = 0
     if waves["n"]:
+        todo = scratch_path(spark, "waves")
+        pending.select("frame_id", "shard_id", "path", "wave").write.partitionBy("wave").parquet(todo)
+        tasks = scoring_tasks(spark, shards_per_wave * shard_size)
         for w in range(waves["lo"], waves["hi"] + 1):
-            wave = pending.filter(F.col("wave") == w)
-            scored = score_frames(wave, model_factory, batch, conf_threshold)
+            wave = spark.read.parquet(todo).filter(F.col("wave") == w).drop("wave")
+            scored = score_frames(wave, model_factory, batch, conf_threshold, tasks=tasks).repartition("shard_id")
             (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("shard_id").parquet(pred_dir))
             wave.select("shard_id").distinct().write.mode("append").parquet(done_dir)
@@ -143,9 +166,6 @@ def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: Mode
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except AnalysisException:
-        return False
+    """Whether there is anything at ``path``; a store that cannot be reached raises."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -32,25 +32,33 @@ AMBIGUOUS_HIGH = 0.7
 SEED = 42
 # Sentinel class id of a frame the model found nothing in.
 SENTINEL_CLASS = -1
-# IoU thresholds .50:.05:.95 of mAP50-95, written out.
-IOU_THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 # Tolerance on the sum of the split fractions.
 FRACTION_TOLERANCE = 0.01
+# Default split fractions, model batch, confidence floor, label budget and cap per group.
+SEED_FRACTION = 0.05
+UNLABELED_FRACTION = 0.90
+VAL_FRACTION = 0.05
+BATCH = 16
+CONF_THRESHOLD = 0.25
+LABEL_BUDGET = 2000
+MAX_PER_SCENE = 5
 # ---------------------------------------------------------------------------
+# The published IoU grid .50:.05:.95 of mAP50-95, written out.
+IOU_THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
 
 @dataclass(frozen=True)
 class Params:
     image_width: int = IMAGE_WIDTH
     image_height: int = IMAGE_HEIGHT
-    seed_fraction: float = 0.05
-    unlabeled_fraction: float = 0.90
-    val_fraction: float = 0.05
+    seed_fraction: float = SEED_FRACTION
+    unlabeled_fraction: float = UNLABELED_FRACTION
+    val_fraction: float = VAL_FRACTION
     seed: int = SEED
-    batch: int = 16
-    conf_threshold: float = 0.25
-    label_budget: int = 2000
-    max_per_scene: int = 5
+    batch: int = BATCH
+    conf_threshold: float = CONF_THRESHOLD
+    label_budget: int = LABEL_BUDGET
+    max_per_scene: int = MAX_PER_SCENE
     band_low: float = AMBIGUOUS_LOW
     band_high: float = AMBIGUOUS_HIGH
     weights: dict = field(default_factory=lambda: {"uncertainty": 1.0, "rare_class": 1.0})

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED
 
-FRAME_KEY = ("concat(lpad(cast(o_custkey as varchar), 8, '0'), '-', "
-             "lpad(cast(o_orderkey as varchar), 8, '0'))")
+def _padded(key: str) -> str:
+    return f"lpad(cast({key} as varchar), greatest(8, length(cast({key} as varchar)))::int, '0')"
+
+
+FRAME_KEY = f"concat({_padded('o_custkey')}, '-', {_padded('o_orderkey')})"
 
 PREDICTIONS_V = f"""
 predictions_v as (
@@ -64,12 +67,13 @@ class_counts as (select class_id, count(*) as class_count from predictions_v gro
 
 SIGNALS = f"""
 signals as (
-  select frame_id,
-         cast(count(*) filter (where confidence between {_num(AMBIGUOUS_LOW)} and {_num(AMBIGUOUS_HIGH)}) as bigint)
-           as uncertainty,
-         cast(coalesce(sum(case when p.class_id >= 0 then cast(1e0 / class_count as decimal(38,12)) end), 0)
-           as double) as rare_class
-  from predictions_v p join class_counts c on p.class_id = c.class_id
+  select frame_id, cast(sum(u) as bigint) as uncertainty,
+         coalesce(list_reduce(list(k / cast(class_count as double) order by f.class_id) filter (where f.class_id >= 0),
+                              lambda a, b: a + b), 0e0) as rare_class
+  from (select frame_id, class_id, count(*) as k,
+               count(*) filter (where confidence between {_num(AMBIGUOUS_LOW)} and {_num(AMBIGUOUS_HIGH)}) as u
+        from predictions_v group by frame_id, class_id) f
+  join class_counts c on f.class_id = c.class_id
   group by frame_id
 )"""
 
@@ -218,42 +222,44 @@ def detection_ap(det: str, prefix: str) -> str:
 {p}_pairs as (
   select *, case when area_sum - inter > 0 then inter / (area_sum - inter) else 0e0 end as iou from {p}_inter
 ),
-{p}_best as (
+{p}_top as (
   select * from {p}_pairs where iou >= 0.5e0
-  qualify row_number() over (partition by det_id order by iou desc, gt_id) = 1
+  qualify row_number() over (partition by image_id, class_id, det_id order by iou desc, gt_id) = 1
 ),
 {p}_thr as (select unnest(range(10)) as ti, unnest({THRESHOLDS_SQL}) as t),
-{p}_claims as (select b.*, ti, t from {p}_best b join {p}_thr on b.iou >= t),
+{p}_claims as (select b.*, ti, t from {p}_top b join {p}_thr on b.iou >= t),
 {p}_win as (
-  select det_id, ti from {p}_claims
+  select image_id, class_id, det_id, ti from {p}_claims
   qualify row_number() over (partition by ti, image_id, class_id, gt_id order by confidence desc, det_id) = 1
 ),
 {p}_flags as (
-  select d.class_id, d.det_id, d.confidence, {flags}
-  from {det} d left join {p}_win w on d.det_id = w.det_id
-  group by d.class_id, d.det_id, d.confidence
+  select d.image_id, d.class_id, d.det_id, d.confidence, {flags}
+  from {det} d left join {p}_win w on d.det_id = w.det_id and d.image_id = w.image_id and d.class_id = w.class_id
+  group by d.image_id, d.class_id, d.det_id, d.confidence
 ),
 {p}_ranked as (
   select f.*, t.ti, t.t,
          case {" ".join(f"when t.ti = {i} then tp_{i}" for i in range(10))} end as tp,
-         row_number() over (partition by f.class_id, t.ti order by f.confidence desc, f.det_id) as rnk
+         row_number() over (partition by f.class_id, t.ti order by f.confidence desc, f.image_id, f.det_id) as rnk
   from {p}_flags f, {p}_thr t
 ),
 {p}_cum as (
   select class_id, t, rnk, tp, sum(tp) over (partition by class_id, t order by rnk) as ctp from {p}_ranked
 ),
+{p}_ngt as (select class_id, count(*) as n_gt from ground_truth_v group by class_id),
+{p}_best as (
+  select c.class_id, t, (100 * ctp) // n_gt as bucket, max(ctp / rnk) as prec
+  from {p}_cum c join {p}_ngt n on c.class_id = n.class_id where tp = 1
+  group by c.class_id, t, bucket
+),
 {p}_env as (
-  select class_id, t, ctp,
-         max(ctp / rnk) over (partition by class_id, t order by ctp desc rows between unbounded preceding and current row) as env
-  from {p}_cum where tp = 1
+  select class_id, t, max(prec) over (partition by class_id, t order by bucket desc) as env,
+         bucket - coalesce(lag(bucket) over (partition by class_id, t order by bucket), -1) as levels
+  from {p}_best
 ),
-{p}_ngt as (select class_id, count(*) as n_gt from ground_truth_v group by class_id),
 {p}_apt as (
-  select e.class_id, e.t,
-         cast(sum(cast(env * ((100 * ctp) // n_gt - (100 * (ctp - 1)) // n_gt + case when ctp = 1 then 1 else 0 end)
-                       as decimal(38,12))) as double) / 101e0 as ap
-  from {p}_env e join {p}_ngt n on e.class_id = n.class_id
-  group by e.class_id, e.t
+  select class_id, t, cast(sum(cast(env * levels as decimal(38,12))) as double) / 101e0 as ap
+  from {p}_env group by class_id, t
 ),
 {p}_ap as (
   select n.class_id, t.t, coalesce(a.ap, 0e0) as ap
@@ -376,3 +382,60 @@ sc_assign as (
               else 'val' end as split
   from sc_cum
 )"""
+
+
+TEST_TABLES = """
+ground_truth_v as (
+  select frame_id as image_id, class_id, cast(box_pos as bigint) as gt_id, x_center, y_center, width, height
+  from label_boxes where frame_id in (select frame_id from split_manifest where split = 'val')
+),
+test_det as (
+  select frame_id as image_id, class_id, confidence, x_center, y_center, width, height,
+         row_number() over (partition by frame_id
+           order by confidence desc, class_id, x_center, y_center, width, height) as det_id
+  from predictions_v
+  where class_id >= 0 and frame_id in (select frame_id from split_manifest where split = 'val')
+)"""
+
+
+def spaced_select(budget: int, cap: int, min_gap: float) -> str:
+    """The greedy rounds one after the other: best frame of each video, then the frames far enough from it."""
+    rounds = ""
+    for r in range(cap):
+        rounds += f"""
+sp_top{r} as materialized (
+  select * from sp_cand{r} qualify row_number() over (partition by video_id order by score desc, frame_id) = 1
+),
+sp_cand{r + 1} as materialized (
+  select c.* from sp_cand{r} c join sp_top{r} p on c.video_id = p.video_id
+  where c.frame_id <> p.frame_id and abs(c.t - p.t) >= {_num(min_gap)}
+),"""
+    union = " union all ".join(f"select * from sp_top{r}" for r in range(cap))
+    return f"""
+sp_cand0 as materialized (
+  select s.frame_id, split_part(s.frame_id, '-', 1) as video_id, combined as score,
+         cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) as double) as t
+  from scored s join (select {FRAME_KEY} as frame_id, o_orderdate from orders) o on s.frame_id = o.frame_id
+),{rounds}
+sp_picked as (
+  select cast(row_number() over (order by score desc, frame_id) as bigint) as pick, frame_id, video_id, score, t
+  from ({union}) qualify pick <= {budget}
+)"""
+
+
+def cluster_diverse(budget: int, cap: int) -> str:
+    unit = _num(float(1 << 40))
+    return f"""
+with v as (select vec_id as item_id, cast(label as varchar) as cluster, cast(embedding as double[]) as e from embeddings),
+x as (select cluster, generate_subscripts(e, 1) as i, unnest(e) as x from v),
+m as (select cluster, i, cast(sum(cast(round(x * {unit}) as hugeint)) as double) / {unit} / count(*) as c
+      from x group by cluster, i),
+k as (select cluster, list(c order by i) as c from m group by cluster),
+s as (
+  select item_id, v.cluster, sqrt(list_reduce(list_prepend(0e0, list_transform(range(1, 1 + len(e)),
+           lambda i: (e[i] - c[i]) * (e[i] - c[i]))), lambda a, b: a + b)) as score
+  from v join k on v.cluster = k.cluster
+),
+r as (select *, row_number() over (partition by cluster order by score desc, item_id) as n from s),
+p as (select *, row_number() over (order by score desc, item_id) as pick from r where n <= {cap})
+select cast(pick as bigint) as pick, item_id, cluster, score from p where pick <= {budget}"""

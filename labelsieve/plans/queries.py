@@ -155,22 +155,28 @@ def q_map_summary(spark, sf):
     return evaluation.map_summary(_per_class(spark, sf, _gt(spark, sf)))
 
 
+def _both_arms(spark, sf):
+    """Per-class AP of both arms, evaluated in one pass with the arm as a key."""
+    det = td.detections_v(spark, sf, MINED_DROP).withColumn("arm", F.lit("mined")).unionByName(
+        td.detections_v(spark, sf, RANDOM_DROP).withColumn("arm", F.lit("random")))
+    ap = evaluation.ap_by_threshold(materialize(det, "detections"), _gt(spark, sf), keys=("arm",))
+    return materialize(evaluation.per_class_ap(ap, td.categories_df(spark)), "per_class")
+
+
 def q_compare_arms(spark, sf):
-    gt = _gt(spark, sf)
-    return evaluation.compare_arms(_per_class(spark, sf, gt, MINED_DROP), _per_class(spark, sf, gt, RANDOM_DROP))
+    per = _both_arms(spark, sf)
+    return evaluation.compare_arms(per.filter("arm = 'mined'"), per.filter("arm = 'random'"))
 
 
 def q_compare_summary(spark, sf):
-    gt = _gt(spark, sf)
-    per = _per_class(spark, sf, gt, MINED_DROP, "mined").unionByName(_per_class(spark, sf, gt, RANDOM_DROP, "random"))
-    return evaluation.compare_summary(evaluation.map_summary(per))
+    return evaluation.compare_summary(evaluation.map_summary(_both_arms(spark, sf)))
 
 
 def _arm_manifest(spark, sf):
     split = _split(spark, sf)
     unl = split.filter(F.col("split") == "unlabeled").select("frame_id")
     pred = td.predictions_v(spark, sf).join(unl, "frame_id", "left_semi")
-    sel = mining.selections(mining.frame_scores(pred), BUDGET, CAP, P.seed)
+    sel = mining.selections(materialize(mining.frame_scores(pred), "scores"), BUDGET, CAP, P.seed)
     inventory = td.inventory_v(spark, sf).withColumn("path", image_path("/images/train", "frame_id"))
     labeled = ingest.labeled_frames(td.annotations_v(spark, sf))
     return arms.arm_manifest(split, sel, inventory, labeled)
@@ -222,8 +228,51 @@ def q_spaced_select(spark, sf):
     return extensions.spaced_select(_scores(spark, sf), times, BUDGET, CAP, MIN_GAP_DAYS)
 
 
+CLUSTER_BUDGET, CLUSTER_CAP = 30, 4
+
+
 def q_cluster_diverse(spark, sf):
-    return extensions.cluster_diverse(td.table(spark, sf, "embeddings"), budget=100, cap=5, k=8)
+    """S5 with the table's own labels as clusters."""
+    return extensions.cluster_diverse(td.table(spark, sf, "embeddings"), CLUSTER_BUDGET, CLUSTER_CAP)
+
+
+def q_latest_labels(spark, sf):
+    """Label boxes where some frames come twice, and some a third time without labels."""
+    return ingest.label_boxes(td.repeated_annotations_v(spark, sf), td.categories_df(spark)) \
+        .select("frame_id", "box_pos", "class_id")
+
+
+def q_label_text(spark, sf):
+    """The text of every label file."""
+    ann = materialize(td.annotations_v(spark, sf), "annotations")
+    lines = ingest.yolo_lines(ingest.label_boxes(ann, td.categories_df(spark)))
+    return ingest.yolo_text(lines, ingest.labeled_frames(ann))
+
+
+def q_evaluate_test(spark, sf):
+    """The held-out frames' stored boxes against the predictions for the same frames."""
+    test = _split(spark, sf).filter(F.col("split") == "val").select("frame_id")
+    gt = materialize(evaluation.ground_truth_of(test, _label_boxes(spark, sf)), "test_gt")
+    det = materialize(evaluation.detections_of(test, td.predictions_v(spark, sf)), "test_det")
+    return evaluation.per_class_ap(evaluation.ap_by_threshold(det, gt), td.categories_df(spark))
+
+
+DOC_BUDGET, DOC_CAP = 200, 11
+
+
+def q_document_reveal(spark, sf):
+    """The selection on another mapping: documents as items, source as the group, length as the
+    score; labels are revealed for the picks only, and not all of them have one."""
+    docs = td.table(spark, sf, "documents")
+    scores = docs.select(F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("frame_id"),
+                         F.col("n_chars").cast("double").alias("combined"))
+    picks = mining.select_capped(scores, DOC_BUDGET, DOC_CAP)
+    labels = td.table(spark, sf, "labels").select(F.col("doc_id").alias("__d"), "quality", "toxic")
+    number = F.substring_index("frame_id", "-", -1).cast("long")
+    return (picks.withColumn("doc_id", number).join(labels, F.col("doc_id") == F.col("__d"), "left")
+            .select("pick", "doc_id", F.col("video_id").alias("source"), "score",
+                    F.col("__d").isNotNull().alias("has_label"),
+                    *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("quality", "toxic")]))
 
 
 QUERIES: dict[str, Query] = {
@@ -259,6 +308,10 @@ QUERIES: dict[str, Query] = {
     "scene_split": q_scene_split,
     "spaced_select": q_spaced_select,
     "cluster_diverse": q_cluster_diverse,
+    "latest_labels": q_latest_labels,
+    "label_text": q_label_text,
+    "evaluate_test": q_evaluate_test,
+    "document_reveal": q_document_reveal,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
@@ -322,7 +375,9 @@ revealed as (select m.arm, b.class_id from label_boxes b join arm_manifest m on
              where m.has_label and m.subset = 'train'),
 corpus as (select class_id, count(*) as corpus_n from label_boxes group by class_id),
 corpus_s as (select class_id, corpus_n, corpus_n / sum(corpus_n) over () as corpus_share from corpus),
-sel as (select arm, class_id, count(*) as selected_n from revealed group by arm, class_id),
+sel as (select a.arm, c.class_id, count(r.arm) as selected_n
+        from (select distinct arm from revealed) a cross join corpus c
+        left join revealed r on r.arm = a.arm and r.class_id = c.class_id group by a.arm, c.class_id),
 sel_s as (select *, selected_n / sum(selected_n) over (partition by arm) as selected_share from sel)
 select s.arm, s.class_id, s.selected_n, c.corpus_n, s.selected_share, c.corpus_share,
        s.selected_share / c.corpus_share as share_ratio
@@ -338,6 +393,28 @@ from sel_s s join corpus_s c on s.class_id = c.class_id""",
         "from picked_mined join b on pick <= budget group by budget"),
     "scene_split": O.with_(O.INVENTORY_V, O.scene_split(P.seed_fraction, P.unlabeled_fraction, P.seed)) + (
         "select f.frame_id, f.video_id, a.split from sc_frames f join sc_assign a on f.video_id = a.video_id"),
+    "spaced_select": O.SCORED + "," + O.spaced_select(BUDGET, CAP, MIN_GAP_DAYS) + "select * from sp_picked",
+    "cluster_diverse": O.cluster_diverse(CLUSTER_BUDGET, CLUSTER_CAP),
+    "latest_labels": O.with_(O.LABEL_BOXES) + (
+        "select frame_id, box_pos, class_id from label_boxes "
+        f"where box_pos = 0 or cast(split_part(frame_id, '-', 2) as bigint) % {td.REPEATED} <> 0"),
+    "label_text": O.with_(O.LABEL_BOXES) + (
+        "select f.frame_id, coalesce(string_agg(printf('%d %.6f %.6f %.6f %.6f', class_id, x_center, y_center, "
+        "width, height), chr(10) order by box_pos), '') as text "
+        "from (select distinct frame_id from label_lines) f left join label_boxes b on f.frame_id = b.frame_id "
+        "group by f.frame_id"),
+    "evaluate_test": O.with_(O.categories_cte(), O.INVENTORY_V, _SPLIT, O.LABEL_BOXES, O.PREDICTIONS_V,
+                             O.TEST_TABLES, O.detection_ap("test_det", "t")) + "select * from t_per_class",
+    "document_reveal": f"""
+with d as (
+  select doc_id, source, cast(n_chars as double) as score, concat(source, '-', cast(doc_id as varchar)) as id,
+         row_number() over (partition by source order by n_chars desc, concat(source, '-', cast(doc_id as varchar))) as r
+  from documents
+),
+p as (select *, row_number() over (order by score desc, id) as pick from d where r <= {DOC_CAP})
+select cast(pick as bigint) as pick, p.doc_id, source, score, l.doc_id is not null as has_label,
+       coalesce(quality, -1) as quality, coalesce(toxic, -1) as toxic
+from p left join labels l on p.doc_id = l.doc_id where pick <= {DOC_BUDGET}""",
 }
 
 

@@ -4,13 +4,17 @@ Each stage reads the previous stage's tables and writes its own; every step
 inside is a DataFrame plan.  Layout under ``root``::
 
     splits/        (frame_id, split, pos)       partitioned by split
+    annotations    records in source order
     labels/boxes   (frame_id, box_pos, class_id, box)
+    labels/lines   (frame_id, box_pos, line)
+    labels/text    (frame_id, text)
     labels/frames  (frame_id, n_boxes)
     infer/         predictions/ shards_done/ meta/
     signals/       scores
     selections/    (arm, pick, frame_id, video_id, score)  partitioned by arm
     arms/          (arm, subset, frame_id, image_path, has_image, has_label)
-    report/        per_class/ summary/
+    test/<arm>/    predictions/ shards_done/ meta/
+    report/        per_class/ comparison/ summary/
 """
 
 from __future__ import annotations
@@ -18,12 +22,17 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import arms, evaluation, ingest, mining, scoring
 from ..params import Params
 from ..sources import files
 
 
+# Frames of a shard, the unit of commit and resume; apart from the model's batch.
+SHARD_SIZE = 4096
+
+
 def _p(root: str, *parts: str) -> str:
     return os.path.join(root, *parts)
 
@@ -33,10 +42,16 @@ def ingest_stage(spark: SparkSession, root: str, annotation_paths: list[str], ca
                  params: Params = Params()) -> dict:
     """Label boxes from annotation files, then exact splits of the image inventory."""
     params.check_fractions()
-    ann = files.read_annotations(spark, annotation_paths)
+    # A JSON array is parsed by one task: once, then everything reads Parquet.
+    files.read_annotations(spark, annotation_paths).write.mode("overwrite").parquet(_p(root, "annotations"))
+    ann = spark.read.parquet(_p(root, "annotations"))
     counters = ingest.convert_counters(ann).first().asDict()
     boxes = ingest.label_boxes(ann, categories, params.image_width, params.image_height)
     boxes.write.mode("overwrite").parquet(_p(root, "labels", "boxes"))
+    lines = ingest.yolo_lines(spark.read.parquet(_p(root, "labels", "boxes")))
+    files.write_label_lines(lines, _p(root, "labels", "lines"))
+    files.write_label_texts(ingest.yolo_text(spark.read.parquet(_p(root, "labels", "lines")),
+                                             ingest.labeled_frames(ann)), _p(root, "labels", "text"))
     ingest.labeled_frames(ann).write.mode("overwrite").parquet(_p(root, "labels", "frames"))
     manifest = ingest.split_frames(train_images, params, test_images)
     files.write_manifest(manifest, _p(root, "splits"))
@@ -44,17 +59,18 @@ def ingest_stage(spark: SparkSession, root: str, annotation_paths: list[str], ca
 
 
 def infer_stage(spark: SparkSession, root: str, model_factory, image_dir: str,
-                params: Params = Params(), shard_size: int | None = None) -> dict:
-    """Resumable inference over the unlabeled split."""
+                params: Params = Params(), shard_size: int = SHARD_SIZE) -> dict:
+    """Resumable inference over the unlabeled split, committed by shards of thousands of frames."""
     unl = files.read_manifest(spark, _p(root, "splits"), "unlabeled")
     return scoring.infer_to_table(spark, unl.select("frame_id", "pos"), model_factory, _p(root, "infer"),
-                                  shard_size or params.batch, params.batch, params.conf_threshold,
+                                  shard_size, params.batch, params.conf_threshold,
                                   image_dir=image_dir)
 
 
 def mine_stage(spark: SparkSession, root: str, params: Params = Params()) -> DataFrame:
     """J3 + J4: scores, then both selections."""
-    pred = files.read_predictions(spark, _p(root, "infer", "predictions"))
+    pred = files.read_predictions(spark, _p(root, "infer", "predictions"),
+                                  spark.read.parquet(_p(root, "infer", "shards_done")))
     scores = mining.frame_scores(pred, params.weights, params.band_low, params.band_high)
     files.write_scores(scores, _p(root, "signals", "scores"))
     scores = files.read_scores(spark, _p(root, "signals", "scores"))
@@ -69,30 +85,54 @@ def prepare_stage(spark: SparkSession, root: str, inventory: DataFrame) -> DataF
     sel = files.read_selections(spark, _p(root, "selections"))
     labeled = spark.read.parquet(_p(root, "labels", "frames"))
     manifest = arms.arm_manifest(splits, sel, inventory, labeled)
-    manifest.write.mode("overwrite").partitionBy("arm").parquet(_p(root, "arms"))
+    files.write_arms(manifest, _p(root, "arms"))
     return arms.arm_summary(spark.read.parquet(_p(root, "arms")))
 
 
-def evaluate_stage(spark: SparkSession, root: str, detections: dict[str, DataFrame], gt: DataFrame,
-                   categories: DataFrame) -> DataFrame:
-    """J6 + J7: per-class AP of each arm's detections on the test set, and the comparison."""
-    per = None
-    for arm, det in detections.items():
-        pc = evaluation.per_class_ap(evaluation.ap_by_threshold(det, gt), categories, arm=arm)
-        per = pc if per is None else per.unionByName(pc)
-    per.write.mode("overwrite").parquet(_p(root, "report", "per_class"))
+def predict_test(spark: SparkSession, root: str, arm_models: dict, image_dir: str,
+                     params: Params = Params(), shard_size: int = SHARD_SIZE) -> DataFrame:
+    """Each arm's model over the test split, resumable like J2: ``(arm, prediction columns)``."""
+    test = files.read_manifest(spark, _p(root, "splits"), "test").select("frame_id", "pos")
+    out = None
+    for arm, model_factory in arm_models.items():
+        folder = _p(root, "test", arm)
+        scoring.infer_to_table(spark, test, model_factory, folder, shard_size, params.batch,
+                               params.conf_threshold, image_dir=image_dir)
+        pred = files.read_predictions(spark, _p(folder, "predictions"), spark.read.parquet(_p(folder, "shards_done")))
+        pred = pred.select(F.lit(arm).alias("arm"), *[c for c in pred.columns])
+        out = pred if out is None else out.unionByName(pred)
+    return out
+
+
+def evaluate_stage(spark: SparkSession, root: str, predictions: DataFrame, categories: DataFrame) -> DataFrame:
+    """J6 + J7: per-class AP of each arm on the test split, and the comparison.
+
+    Ground truth are the stored label boxes of the test split's frames;
+    ``predictions`` carry an ``arm``, and all arms are evaluated in one pass.
+    """
+    test = files.read_manifest(spark, _p(root, "splits"), "test").select("frame_id")
+    gt = evaluation.ground_truth_of(test, spark.read.parquet(_p(root, "labels", "boxes")))
+    det = evaluation.detections_of(test, predictions, keys=("arm",))
+    ap = evaluation.ap_by_threshold(det, gt, keys=("arm",))
+    evaluation.per_class_ap(ap, categories).write.mode("overwrite").parquet(_p(root, "report", "per_class"))
     per = spark.read.parquet(_p(root, "report", "per_class"))
+    (evaluation.compare_arms(per.filter("arm = 'mined'"), per.filter("arm = 'random'"))
+     .write.mode("overwrite").parquet(_p(root, "report", "comparison")))
     summary = evaluation.compare_summary(evaluation.map_summary(per))
     files.write_summary_json(summary, _p(root, "report", "summary"))
     return summary
 
 
 def run_pipeline(spark: SparkSession, root: str, *, annotation_paths, categories, train_images,
-                 test_images, model_factory, image_dir, test_detections, test_gt,
-                 params: Params = Params()) -> DataFrame:
-    """Every stage in order; returns the comparison summary."""
+                 test_images, model_factory, image_dir, arm_models: dict, test_image_dir,
+                 params: Params = Params(), shard_size: int = SHARD_SIZE) -> DataFrame:
+    """Every stage in order; returns the comparison summary.
+
+    ``arm_models`` (arm -> model factory) are the detectors trained on the arms.
+    """
     ingest_stage(spark, root, annotation_paths, categories, train_images, test_images, params)
-    infer_stage(spark, root, model_factory, image_dir, params)
+    infer_stage(spark, root, model_factory, image_dir, params, shard_size)
     mine_stage(spark, root, params)
     prepare_stage(spark, root, train_images)
-    return evaluate_stage(spark, root, test_detections, test_gt, categories)
+    predictions = predict_test(spark, root, arm_models, test_image_dir, params, shard_size)
+    return evaluate_stage(spark, root, predictions, categories)

@@ -34,22 +34,6 @@ CATEGORY = T.StructType([
     T.StructField("class_name", T.StringType(), False),
 ])
 
-LABEL_BOX = T.StructType([
-    T.StructField("frame_id", T.StringType()),
-    T.StructField("box_pos", T.IntegerType()),
-    T.StructField("class_id", T.IntegerType()),
-    T.StructField("x_center", T.DoubleType()),
-    T.StructField("y_center", T.DoubleType()),
-    T.StructField("width", T.DoubleType()),
-    T.StructField("height", T.DoubleType()),
-])
-
-INVENTORY = T.StructType([
-    T.StructField("frame_id", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("source_set", T.StringType()),
-])
-
 MANIFEST = T.StructType([
     T.StructField("frame_id", T.StringType()),
     T.StructField("split", T.StringType()),

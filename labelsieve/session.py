@@ -3,8 +3,8 @@
 * ``materialize`` cuts lineage with a reliable ``checkpoint()`` into the shared
   folder named by ``spark.checkpoint.dir``.  A private folder is only created
   when the setting is absent *and* the master is local (tests, laptop runs).
-* ``checked_broadcast`` broadcasts a table only after counting it, so a side
-  whose size grows with the data falls back to a shuffle join (with AQE skew
+* ``checked_broadcast`` broadcasts a table only after looking at its bytes, so a
+  side whose size grows with the data falls back to a shuffle join (with AQE skew
   splitting) instead of blowing up executor memory.
 """
 
@@ -19,8 +19,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of rows a table may have to be broadcast by ``checked_broadcast``.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Largest size of a table's files to be broadcast by ``checked_broadcast``.
+DEFAULT_BROADCAST_BYTES = 16 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -37,7 +37,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -128,18 +127,27 @@ def ship_package(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise a (small, aggregated) table and broadcast it if it is small.
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise an aggregated table and broadcast it if its files are small.
 
-    Returns ``(table, broadcast?)``.  The count runs on the materialised copy,
-    so the table is computed once.
+    Returns ``(table, broadcast?)``.  The bound is on the bytes of the files
+    written (compressed, columnar), so the table is computed once and not
+    counted; a larger one stays a shuffle join, which adaptive execution splits
+    where a key is hot.
     """
     table = materialize(df)
-    rows = table.count()
-    if rows <= max_rows:
+    size = sum(_file_sizes(table))
+    if size <= max_bytes:
         return F.broadcast(table), True
     return table, False
 
 
+def _file_sizes(table: DataFrame) -> list[int]:
+    conf = table.sparkSession._jsc.hadoopConfiguration()
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path
+    root = path(os.path.dirname(table.inputFiles()[0])) if table.inputFiles() else None
+    return [f.getLen() for f in root.getFileSystem(conf).listStatus(root)] if root else []
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -11,20 +11,35 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ANNOTATION, CATEGORY, MANIFEST, PREDICTION, SCORES, SELECTION
 
 
-def read_annotations(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """A1: annotation records with a ``seq`` column = position in the input.
+# Room for the position inside one source; the source's rank stands above it.
+_POSITIONS = 1 << 40
 
-    A JSON array file (``multiline``) is read by one task per file, so convert
-    it once to Parquet; JSON Lines (``multiline=False``) splits, and ``seq``
-    then follows file/line order through ``monotonically_increasing_id``.
+
+def read_annotations(spark: SparkSession, paths: str | list[str], multiline: bool = True,
+                     sequence: str | None = None) -> DataFrame:
+    """A1: annotation records with ``seq`` = (rank of the source, position in it) as one number.
+
+    ``paths`` are sources in the order that counts: a record of a later source is
+    later than any of an earlier one, whatever their sizes.  A JSON array file
+    (``multiline``, one file per source) is read by one task, in order; convert it
+    once to Parquet (``ingest_stage`` does).  JSON Lines are split over tasks, so
+    their records must carry their own position in a column ``sequence``.
     """
-    df = (spark.read.schema(ANNOTATION).option("multiLine", multiline)
-          .option("mode", "FAILFAST").json(path))
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    if not multiline and sequence is None:
+        raise ValueError("JSON Lines need a sequence column")
+    schema = ANNOTATION if sequence is None else T.StructType([*ANNOTATION.fields, T.StructField(sequence, T.LongType())])
+    out = None
+    for rank, path in enumerate([paths] if isinstance(paths, str) else paths):
+        df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+        position = F.monotonically_increasing_id() if sequence is None else F.col(sequence)
+        df = df.withColumn("seq", F.lit(rank * _POSITIONS) + position)
+        out = df if out is None else out.unionByName(df)
+    return out.select(*ANNOTATION.fieldNames(), "seq")
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
@@ -43,9 +58,14 @@ def read_manifest(spark: SparkSession, path: str, split: str | None = None) -> D
     return df.filter(F.col("split") == split) if split else df
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """A5: all prediction shards (the ``shard_id`` partition folders)."""
-    return spark.read.schema(PREDICTION).parquet(path)
+def read_predictions(spark: SparkSession, path: str, done: DataFrame | None = None) -> DataFrame:
+    """A5: prediction shards (the ``shard_id`` partition folders).
+
+    With ``done`` (shard_id) only committed shards count: a crash may leave
+    folders of a wave that was never finished.
+    """
+    pred = spark.read.schema(PREDICTION).parquet(path)
+    return pred if done is None else pred.join(done.select("shard_id").distinct(), "shard_id", "left_semi")
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -59,8 +79,8 @@ def read_selections(spark: SparkSession, path: str, arm: str | None = None) -> D
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """One table partitioned by ``split``."""
-    df.select("frame_id", "split", "pos").write.mode("overwrite").partitionBy("split").parquet(path)
+    """One table partitioned by ``split``; replaces every split of an earlier run."""
+    _replace(df.select("frame_id", "split", "pos"), path, "split")
 
 
 def write_scores(df: DataFrame, path: str) -> None:
@@ -69,8 +89,18 @@ def write_scores(df: DataFrame, path: str) -> None:
 
 
 def write_selections(df: DataFrame, path: str) -> None:
-    """A10: both arms, partitioned by ``arm``."""
-    df.write.mode("overwrite").partitionBy("arm").parquet(path)
+    """A10: both arms, partitioned by ``arm``; replaces every arm of an earlier run."""
+    _replace(df, path, "arm")
+
+
+def write_arms(df: DataFrame, path: str) -> None:
+    """Arm manifests, partitioned by ``arm``; replaces every arm of an earlier run."""
+    _replace(df, path, "arm")
+
+
+def _replace(df: DataFrame, path: str, partition: str) -> None:
+    # Static overwrite whatever the session says: partitions that are not written again go.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
 
 
 def write_label_lines(lines: DataFrame, path: str) -> None:
@@ -79,6 +109,11 @@ def write_label_lines(lines: DataFrame, path: str) -> None:
         .write.mode("overwrite").parquet(path)
 
 
+def write_label_texts(texts: DataFrame, path: str) -> None:
+    """One row ``(frame_id, text)`` per label file."""
+    texts.write.mode("overwrite").parquet(path)
+
+
 def write_summary_json(df: DataFrame, path: str) -> None:
     """A one-row summary as JSON."""
     df.coalesce(1).write.mode("overwrite").json(path)

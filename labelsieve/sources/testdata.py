@@ -22,8 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def frame_key(custkey: Column, orderkey: Column) -> Column:
     """``cccccccc-oooooooo``: the video (customer) prefix makes ``video_key`` work."""
-    return F.concat(F.lpad(custkey.cast("string"), 8, "0"), F.lit("-"),
-                    F.lpad(orderkey.cast("string"), 8, "0"))
+    def padded(key: Column) -> Column:  # longer keys stay whole
+        text = key.cast("string")
+        return F.lpad(text, F.greatest(F.lit(8), F.length(text)), F.lit("0"))
+    return F.concat(padded(custkey), F.lit("-"), padded(orderkey))
 
 
 def class_of(p_size: Column) -> Column:
@@ -147,6 +149,20 @@ def annotations_v(spark: SparkSession, sf_dir: str, width: int = 1280, height: i
     )
 
 
+# Every so many orders a frame's record comes again, and again without labels.
+REPEATED, EMPTIED = 5, 7
+
+
+def repeated_annotations_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``annotations_v`` with later records: some keep the first label only, some have none."""
+    ann = annotations_v(spark, sf_dir)
+    again = (ann.filter(F.col("seq") % REPEATED == 0).withColumn("labels", F.slice("labels", 1, 1))
+             .withColumn("seq", F.col("seq") + (1 << 40)))
+    emptied = (ann.filter(F.col("seq") % EMPTIED == 0)
+               .withColumn("labels", F.when(F.lit(False), F.col("labels"))).withColumn("seq", F.col("seq") + (2 << 40)))
+    return ann.unionByName(again).unionByName(emptied)
+
+
 def toy_model_factory():
     """A deterministic stand-in detector for tests and registered queries.
 

@@ -55,3 +55,28 @@ def test_signal_ablation_variants(spark):
     # ties on the score go to the lower frame_id (string order)
     assert tops["uncertainty"] == "v14-14" and tops["rare_class"] == "v0-0"
     assert got.groupBy("variant").count().count() == 3
+
+
+def test_spaced_select_ends(spark):
+    scores = spark.createDataFrame([("a-1", 0.5), ("a-2", 0.4)], "frame_id string, combined double")
+    times = spark.createDataFrame([("a-1", 0.0), ("a-2", 1.0)], "frame_id string, t double")
+    none = extensions.spaced_select(scores, times, 0, 3, 10.0)
+    assert none.columns == ["pick", "frame_id", "video_id", "score", "t"] and none.collect() == []
+    assert [r.frame_id for r in extensions.spaced_select(scores, times, 9, 100, 10.0).collect()] == ["a-1"]
+
+
+def test_cluster_diverse_by_plain_centres(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.random() for _ in range(4)], i % 3) for i in range(60)]
+    items = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = [(r.item_id, r.cluster) for r in extensions.cluster_diverse(items, 7, 3).orderBy("pick").collect()]
+    plain = {r.vec_id: (r.embedding, r.label) for r in items.collect()}
+    centre = {c: [sum(v[j] for v, k in plain.values() if k == c) / 20 for j in range(4)] for c in range(3)}
+    far = sorted(((-sum((a - b) ** 2 for a, b in zip(v, centre[c])) ** 0.5, i, c) for i, (v, c) in plain.items()))
+    want, taken = [], {}
+    for _, i, c in far:
+        if taken.get(c, 0) < 3 and len(want) < 7:
+            taken[c] = taken.get(c, 0) + 1
+            want.append((i, str(c)))
+    assert got == want
+    assert extensions.kmeans_groups(items, k=2).select("label").distinct().count() == 2

@@ -27,7 +27,7 @@ def test_average_rank_paths_agree(spark):
     want = df.toPandas()
     want["r"] = want["v"].rank(method="average") / len(want)
     small = positions.average_ranks(df, ["v"]).toPandas().merge(want, on="id")
-    big = positions.average_ranks(df, ["v"], small_distinct=0).toPandas().merge(want, on="id")
+    big = positions.average_rank(df, "v", "v_norm", broadcast_bytes=0).toPandas().merge(want, on="id")
     assert (small["v_norm"] - small["r"]).abs().max() < 1e-12
     assert (big["v_norm"] - big["r"]).abs().max() < 1e-12
 
