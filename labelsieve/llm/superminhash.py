@@ -11,10 +11,11 @@ step can lower them.
 1. One pass makes a row per document: set size, a 128-bit digest of the set, one hash
    per band.  Documents with the same set are one class from here on (copies of any
    number cost one partial aggregation).
-2. Classes that share a band are candidates.  Each bucket first links its members to
-   its least member only; after the components of the confirmed links are known, the
-   remaining pairs of a bucket that lie in different components are tested too, so no
-   candidate pair in a bucket stays open.
+2. Classes that share a band are candidates.  Each bucket first tries its members
+   against its least member only; after the components of the confirmed links are
+   known, the pairs of a bucket that lie in different components are settled too, by a
+   bound on what two sets can share and then in blocks (see ``_rest``), so no
+   candidate pair of a bucket stays open, and none is written out.
 3. A candidate counts as a link only after the comparison of the full shingle sets.
 4. Links are grouped by union-find.
 
@@ -34,10 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, arrow_map, docs_of, heavy_join, materialize, mix, slices, tokenize
+from .common import GOLDEN, arrow_map, docs_of, heavy_join, materialize, mix, ship_package, slices, tokenize
 from .components import components
 
 BANDS, ROWS = 24, 4
+# A chunk of a bucket's rows: at most about so many rows and shingles.
+CHUNK_ROWS, CHUNK_SHINGLES = 512, 1 << 20
+# Shingles that one step of a block's comparison takes.
+TILE = 4096
 U32 = np.uint64(32)
 LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -131,16 +136,83 @@ def _sets(k: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets reach the similarity."""
-    ids = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = arrow_map(docs.join(ids, "doc_id", "left_semi"), _sets(k), "doc_id long, hashes array<bigint>")
-    sets = materialize(sets.groupBy("doc_id").agg(F.max_by("hashes", F.size("hashes")).alias("hashes")), "sets")
-    joined = (pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("hashes").alias("a")), "u")
-              .join(sets.select(F.col("doc_id").alias("v"), F.col("hashes").alias("b")), "v"))
-    both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - both
-    return joined.filter(both * 100 >= union * percent).select("u", "v")
+def _block(percent: int):
+    """Links inside one block of a bucket, as a forest: rows (u, n, component, side, hashes) -> (u, v)."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, n, component, side = (table.column(c).to_numpy() for c in ("u", "n", "component", "side"))
+        col = table.column("hashes").combine_chunks()
+        counts = np.diff(col.offsets.to_numpy())
+        row = np.repeat(np.arange(len(ids)), counts)
+        _, at, times = np.unique(col.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row, at = row[times[at] > 1], at[times[at] > 1]
+        _, at = np.unique(at, return_inverse=True)
+        both = np.zeros((len(ids), len(ids)), dtype=np.float32)
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        for low in range(0, int(at[-1]) + 1 if len(at) else 0, TILE):  # counts up to 2**24 are exact in float32
+            s, e = np.searchsorted(at, [low, low + TILE])
+            tile = np.zeros((len(ids), TILE), dtype=np.float32)
+            tile[row[s:e], at[s:e] - low] = 1
+            both += tile @ tile.T
+        union = n[:, None] + n[None, :] - both
+        linked = np.triu(both * 100 >= union * percent, 1)
+        linked &= component[:, None] != component[None, :]
+        if len(set(side.tolist())) > 1:  # two chunks: only pairs between them
+            linked &= side[:, None] != side[None, :]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                x = y
+            return x
+        out = []
+        for i, j in np.argwhere(linked).tolist():
+            x, y = find(int(component[i])), find(int(component[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((ids[i], ids[j]))
+        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([y for _, y in out], pa.int64())})
+    return run
+
+
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``rows`` (u, ...) with the component of u; an id without a link is its own."""
+    return (rows.join(label.select(F.col("id").alias("u"), "component"), "u", "left")
+            .withColumn("component", F.coalesce("component", "u")))
+
+
+def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) across the components that meet in a bucket, after its least member was tried.
+
+    A shingle that no other document of the open buckets has cannot be in an
+    intersection: with ``r`` shared shingles a document of ``n`` reaches at most
+    ``r / (n + m - r)`` with one of ``m`` or more.  Rows that cannot reach the
+    similarity inside their bucket leave.  What is left is compared in full, all
+    pairs of a bucket, in blocks of at most two chunks: a task gets a bounded
+    number of sets, and gives back a forest of the links it found.
+    """
+    placed = _labelled(member, label)
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        sides = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                        F.min("n").alias("least_n"), F.count(F.lit(1)).alias("rows"),
+                                        F.sum("n").alias("weight")).filter("lo < hi").drop("lo", "hi")
+        return rows.drop("least_n", "rows", "weight").join(sides, "key")
+    rows = materialize(still_open(placed), "open")
+    mine = rows.select("u").distinct().join(sets, "u").select("u", F.explode("hashes").alias("h"))
+    common = mine.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("h")
+    shared = materialize(mine.join(common, "h").groupBy("u").agg(F.count(F.lit(1)).alias("r")), "shared")
+    can = F.col("r") * 100 >= (F.col("n") + F.greatest("least_n", "r") - F.col("r")) * percent
+    rows = still_open(rows.join(shared, "u").filter(can))
+    chunks = F.greatest(F.ceil(F.col("rows") / CHUNK_ROWS), F.ceil(F.col("weight") / CHUNK_SHINGLES)).cast("int")
+    rows = (rows.withColumn("chunks", chunks)
+            .withColumn("side", F.pmod(F.xxhash64("u", "key"), F.col("chunks")).cast("int")))
+    dealt = rows.select("u", "n", "component", "key", "side", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
+    dealt = dealt.select("u", "n", "component", "side", "key", F.least("side", "other").alias("a"),
+                         F.greatest("side", "other").alias("b"))
+    ship_package(member.sparkSession)
+    return (dealt.join(sets, "u").groupBy("key", "a", "b").applyInArrow(_block(percent), "u long, v long")
+            .distinct())
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -159,37 +231,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     classes = materialize(classes, "classes")
     banded = classes.select("u", "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min(F.struct("u", "n")).alias("least"), F.count(F.lit(1)).alias("members"))
-    member = materialize(banded.join(buckets.filter("members > 1"), "key"), "buckets")
+    member = materialize(banded.join(buckets.filter("members > 1").drop("members"), "key"), "buckets")
+    sets = arrow_map(docs.join(member.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi"), _sets(k),
+                     "doc_id long, hashes array<bigint>")
+    sets = materialize(sets.groupBy(F.col("doc_id").alias("u")).agg(F.max_by("hashes", F.size("hashes")).alias("hashes")),
+                       "sets")
     # Sets whose sizes differ too much cannot reach the similarity.
-    close = (F.least("n", "n_v") * 100 >= F.greatest("n", "n_v") * percent) & (F.col("u") != F.col("v"))
-    star = (member.select("u", "n", F.col("least.u").alias("v"), F.col("least.n").alias("n_v")).filter(close)
+    star = (member.select("u", "n", F.col("least.u").alias("v"), F.col("least.n").alias("m"))
+            .filter((F.col("u") != F.col("v")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
             .select("u", "v").distinct())
-    links = materialize(_confirmed(materialize(star, "star"), docs, k, percent), "links")
+    pairs = (star.join(sets.withColumnRenamed("hashes", "a"), "u")
+             .join(sets.select(F.col("u").alias("v"), F.col("hashes").alias("b")), "v"))
+    both = F.size(F.array_intersect("a", "b"))
+    links = materialize(pairs.filter(both * 100 >= (F.size("a") + F.size("b") - both) * percent).select("u", "v"), "links")
     label = components(links)
-    # Buckets whose members are not all in one component: their pairs across components.
-    placed = (member.select("key", "u", "n", F.col("least.u").alias("p"))
-              .join(label.select(F.col("id").alias("u"), "component"), "u", "left")
-              .withColumn("component", F.coalesce("component", "u")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    still = materialize(placed.join(mixed.filter("lo < hi"), "key"), "open")
-    other = still.select("key", F.col("u").alias("v"), F.col("n").alias("n_v"), F.col("component").alias("c_v"))
-    rest = (still.join(other, "key").filter((F.col("u") > F.col("v")) & (F.col("component") != F.col("c_v"))
-                                            & (F.col("p") != F.col("v")) & close)
-            .select("u", "v").distinct())
-    more = materialize(_confirmed(materialize(rest, "rest"), docs, k, percent), "more")
+    more = materialize(_rest(member.select("key", "u", "n"), label, sets, percent), "more")
     if not more.isEmpty():
         label = components(links.unionByName(more))
-    found = classes.select("d1", "d2", "n", "u", "size").join(
-        label.select(F.col("id").alias("u"), "component"), "u", "left")
-    found = materialize(found.select("d1", "d2", "n", "size", F.coalesce("component", "u").alias("component_id")),
-                        "found")
+    found = _labelled(classes.select("d1", "d2", "n", "u", "size"), label)
+    found = materialize(found.select(F.struct("d1", "d2", "n").alias("set"), "size",
+                                     F.col("component").alias("component_id")), "found")
     total = sketch.count()
     nameless = sketch.filter("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"),
                                                       F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     keyed = sketch.filter("doc_id is not null").select("doc_id", "n", F.struct("d1", "d2", "n").alias("set"))
     empty = keyed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    full = heavy_join(keyed.filter("n > 0"), found.select(F.struct("d1", "d2", "n").alias("set"), "size", "component_id"),
-                      "set", "size", total).select("doc_id", "n", "component_id")
+    full = heavy_join(keyed.filter("n > 0"), found, "set", "size", total).select("doc_id", "n", "component_id")
     out = full.unionByName(empty).groupBy("doc_id").agg(F.max("n").alias("n_shingles"),
                                                         F.min("component_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(nameless)
