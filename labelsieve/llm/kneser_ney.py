@@ -382,7 +382,7 @@ def _score(model: Model):
             low = (low + model.low_mass / (model.vocabulary + 1))[back]
             base = np.log10((counts + 1) / (model.tokens + model.vocabulary + 1))[back]
             places, at = np.unique(context, return_inverse=True)
-            usable = places >= 0
+            usable = (places >= 0) & (model.tokens > 0)
             totals, gamma = np.zeros(len(places)), np.zeros(len(places))
             totals[usable], gamma[usable] = (model.dense(x, places[usable]) for x in ("totals", "gamma"))
             totals, gamma = totals[at], gamma[at]

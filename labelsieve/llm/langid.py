@@ -104,6 +104,8 @@ def text_weights(raw: np.ndarray, offsets: np.ndarray, model: TextModel) -> np.n
 
 
 def posterior(weights: np.ndarray) -> np.ndarray:
+    if not weights.shape[1]:
+        return weights
     p = np.exp(weights - weights.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 

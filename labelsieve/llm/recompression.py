@@ -112,6 +112,8 @@ def anchors(tokens: Tokens, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
     begin = np.repeat(tokens.first[:-1], n_win) + np.arange(total) - np.repeat(np.cumsum(n_win) - n_win, n_win)
     name, place = np.zeros(total, np.uint64), np.zeros(total, np.int64)
     left = np.arange(total)
+    if not total:
+        return begin, name, place
     for names, start, lo, hi in reversed(levels(tokens, window)):
         if not len(left):
             break
