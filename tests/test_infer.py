@@ -26,8 +26,13 @@ def _by_number(rule):
     return factory
 
 
-def _some(i):
-    return [(i % 4, 0.31 + 0.01 * j, 0.2, 0.6, 0.05, 0.07) for j in range(i % 3)]
+def _rule():
+    def rule(i):  # nested, so that it is shipped to the workers by value
+        return [(i % 4, 0.31 + 0.01 * j, 0.2, 0.6, 0.05, 0.07) for j in range(i % 3)]
+    return rule
+
+
+_some = _rule()
 
 
 def test_every_shard_is_written_and_committed(spark, tmp_path):
