@@ -29,7 +29,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_RANGE = 20_000
+# Rows of a range at least; a large source has about as many ranges as rows in each.
+ROWS_PER_RANGE = 1_000
 # The first 8 hex digits of a key choose its range.
 KEY_SPACE = 1 << 32
 
@@ -90,7 +91,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
                                                           F.count(F.lit(1)).alias("n_rows")), "mix-sizes")
     total = sizes.agg(F.sum("n_rows")).first()[0] or 0
     sources = (targets(sizes, weights, max_epochs).select("src", "source_size", "target", "n_rows")
-               .withColumn("ranges", F.ceil(F.col("n_rows") / rows_per_range).cast("long"))
+               .withColumn("ranges", F.ceil(
+                   F.col("n_rows") / F.greatest(F.lit(float(rows_per_range)), F.sqrt("n_rows"))).cast("long"))
                .withColumn("budget", F.round("target").cast("long")))
     sources = materialize(sources, "mix-targets")
     number = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long")
