@@ -161,7 +161,7 @@ def kmeans_groups(items: DataFrame, k: int = 8, seed: int = SEED, vec_col: str =
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    data = items.withColumn("__f", array_to_vector(F.col(vec_col)))
+    data = items.drop(out).withColumn("__f", array_to_vector(F.col(vec_col)))
     model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol=out).fit(data)
     return model.transform(data).drop("__f")
 
