@@ -60,4 +60,6 @@ def components(links: DataFrame) -> DataFrame:
         if new == state:
             break
         state = new
+    else:
+        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
