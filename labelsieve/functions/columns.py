@@ -74,10 +74,14 @@ def class_name(class_id="class_id", name="class_name") -> Column:
     return F.coalesce(_c(name), F.concat(F.lit("class_"), _c(class_id).cast("string")))
 
 
-def exact_sum(col, scale: int = 12) -> Column:
-    """Order-independent sum of doubles: sum in decimal(38, scale), back to double.
+# A power of two: scaling by it changes no digit of a double.
+UNIT = float(1 << 40)
+
+
+def exact_sum(col) -> Column:
+    """Order-independent sum of doubles: integers of 2**-40, summed exactly, back to double.
 
     A plain double sum depends on the order rows arrive in, which differs per
-    run and per partitioning; the decimal sum does not.
+    run and per partitioning.  For values whose magnitude stays under 2**13.
     """
-    return F.sum(_c(col).cast(f"decimal(38,{scale})")).cast("double")
+    return F.sum(F.round(_c(col) * F.lit(UNIT)).cast("decimal(38,0)")).cast("double") / F.lit(UNIT)

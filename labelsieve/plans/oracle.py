@@ -258,7 +258,7 @@ def detection_ap(det: str, prefix: str) -> str:
   from {p}_best
 ),
 {p}_apt as (
-  select class_id, t, cast(sum(cast(env * levels as decimal(38,12))) as double) / 101e0 as ap
+  select class_id, t, cast(sum(cast(round((env * levels) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / 101e0 as ap
   from {p}_env group by class_id, t
 ),
 {p}_ap as (
@@ -268,13 +268,13 @@ def detection_ap(det: str, prefix: str) -> str:
 {p}_per_class as (
   select a.class_id, coalesce(c.class_name, 'class_' || cast(a.class_id as varchar)) as class_name,
          max(case when t = 0.5e0 then ap end) as ap50,
-         cast(sum(cast(ap as decimal(38,12))) as double) / count(*) as ap50_95
+         cast(sum(cast(round((ap) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(*) as ap50_95
   from {p}_ap a left join categories c on a.class_id = c.class_id
   group by a.class_id, c.class_name
 ),
 {p}_map as (
-  select cast(sum(cast(ap50 as decimal(38,12))) as double) / count(*) as map50,
-         cast(sum(cast(ap50_95 as decimal(38,12))) as double) / count(*) as map50_95
+  select cast(sum(cast(round((ap50) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(*) as map50,
+         cast(sum(cast(round((ap50_95) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(*) as map50_95
   from {p}_per_class
 )"""
 
@@ -358,7 +358,7 @@ ss_picked as (
 ),
 ss_per as (
   select seed, count(*) as n_selected,
-         cast(sum(cast(score as decimal(38,12))) as double) / count(*) as mean_score
+         cast(sum(cast(round((score) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(*) as mean_score
   from ss_picked group by seed
 )"""
 

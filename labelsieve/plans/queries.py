@@ -389,7 +389,7 @@ from sel_s s join corpus_s c on s.class_id = c.class_id""",
     "budget_curve": O.SCORED + "," + O.selected(BUDGET, CAP, "mined") + (
         ", b as (select unnest([" + ", ".join(str(x) for x in BUDGETS) + "]) as budget) "
         "select budget, count(*) as n_frames, count(distinct video_id) as n_videos, "
-        "cast(sum(cast(score as decimal(38,12))) as double) / count(*) as mean_score "
+        "cast(sum(cast(round((score) * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(*) as mean_score "
         "from picked_mined join b on pick <= budget group by budget"),
     "scene_split": O.with_(O.INVENTORY_V, O.scene_split(P.seed_fraction, P.unlabeled_fraction, P.seed)) + (
         "select f.frame_id, f.video_id, a.split from sc_frames f join sc_assign a on f.video_id = a.video_id"),
