@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import default_parallelism, materialize, scratch_path, ship_package
 
-__all__ = ["HEAVY", "Tokens", "arrow_map", "default_parallelism", "docs_of", "heavy_join", "materialize", "mix",
+__all__ = ["HEAVY", "Tokens", "arrow_map", "default_parallelism", "docs_of", "hash_sample", "heavy_join", "materialize", "mix",
            "scratch_path", "ship_package", "slices", "tokenize", "within"]
 
 # Bytes of text handled by one numpy step; bounds the temporary arrays of a worker.
@@ -153,5 +153,16 @@ def heavy_join(left: DataFrame, right: DataFrame, key: str, weight: str, total:
     return hot.unionByName(cold.join(rest, key, "inner"))
 
 
+def hash_sample(df: DataFrame, id_col: str, total: int, want: int) -> DataFrame:
+    """The first ``want`` rows of ``df`` (``total`` rows) by a hash of the id; the same on any partitioning.
+
+    Rows far behind are filtered out first, so about ``8 * want`` rows in all, not
+    ``want`` from each partition, meet in the task that takes the first ones.
+    """
+    share = min(1.0, 8 * want / max(total, 1))
+    rows = df if share == 1.0 else df.filter(F.xxhash64(id_col) <= F.lit(int((share - 0.5) * (1 << 64))))
+    return rows.orderBy(F.xxhash64(id_col), F.col(id_col)).limit(want)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_A, arrow_map, heavy_join, materialize, slices, string_buffers
+from .common import LOWER_A, arrow_map, hash_sample, heavy_join, materialize, slices, string_buffers
 
 BUCKETS = 1 << 15
 MAX_TRIGRAMS = 60
@@ -70,12 +70,13 @@ def trigram_buckets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 def fit_text(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, max_chars: int = MAX_CHARS) -> TextModel:
     """Text model of ``labelled`` (id, text, lang): at most ``sample_per_lang`` texts of up to ``max_chars`` each."""
     rows = labelled.filter("text is not null and lang is not null and id is not null")
-    langs = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-                   .limit(MAX_LANGS).collect())
+    many = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    langs = sorted(many)
     logs = np.zeros((len(langs), BUCKETS))
     for i, lang in enumerate(langs):
-        picked = (rows.filter((F.col("lang") == lang) & (F.length("text") <= max_chars))
-                  .select("id", "text").orderBy(F.xxhash64("id"), "id").limit(sample_per_lang).select("text"))
+        own = rows.filter((F.col("lang") == lang) & (F.length("text") <= max_chars)).select("id", "text")
+        picked = hash_sample(own, "id", many[lang], sample_per_lang).select("text")
         counts = np.full(BUCKETS, 0.1)
         texts = picked.toArrow().column(0).combine_chunks()
         for part in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize
+from .common import arrow_map, hash_sample, materialize
 
 PIVOTS = 32
 QUERY_BLOCK = 16_384
@@ -101,7 +101,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, n_pivots: int = PIVOTS
     queries = materialize(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     dim = vectors.agg(F.max(F.size("v"))).first()[0] or 0
     dim = max(dim, queries.agg(F.max(F.size("v"))).first()[0] or 0)
-    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
+    chosen = hash_sample(vectors, "vec_id", vectors.count(), n_pivots).collect()
     pivots = np.zeros((len(chosen), dim), dtype=np.int64)
     for i, r in enumerate(chosen):
         pivots[i, :len(r["v"])] = r["v"]

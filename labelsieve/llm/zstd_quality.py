@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, docs_of
+from .common import arrow_map, docs_of, hash_sample
 
 CHUNK = 1024
 LEVEL = 3
@@ -108,10 +108,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
     known = (labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("__other"))
              .filter("label = __other").drop("__other"))
+    many = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = None
     for label in (0, 1):
-        part = known.filter(F.col("label") == label).orderBy(*order).limit(sample_per_class)
+        part = hash_sample(known.filter(F.col("label") == label), "doc_id", many.get(label, 0), sample_per_class)
         picked = part if picked is None else picked.unionByName(part)
     # At most 2 * sample_per_class ids: safe to broadcast.
     rows = (docs.filter(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id")
