@@ -56,14 +56,17 @@ def ordered_position(df: DataFrame, order: list[Column], name: str = "pos",
 
 
 def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str, str] | None = None,
-            maxes: dict[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+            maxes: dict[str, str] | None = None, partitions: int | None = None,
+            few_groups: bool = True) -> DataFrame:
     """Inclusive running sums / maxima per ``group`` in ``order``, skew-safe.
 
     ``sums`` / ``maxes`` map output name -> input column.  Rows are range
     partitioned on ``group + order``, so one group may span many partitions
     (a hot group is split).  Each partition computes local running values;
     a small table of per-(partition, group) totals gives the carry-in from
-    earlier partitions of the same group.
+    earlier partitions of the same group.  It is broadcast where the groups are
+    few (signals, classes, variants: a fixed list); pass ``few_groups=False`` for
+    groups that grow with the data, and it is joined by a shuffle.
     """
     sums, maxes = sums or {}, maxes or {}
     n = partitions or default_parallelism(df.sparkSession)
@@ -82,8 +85,8 @@ def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str
                           *[F.coalesce(F.sum(f"__ts_{o}").over(before), F.lit(0)).alias(f"__cs_{o}")
                             for o in sums],
                           *[F.max(f"__tm_{o}").over(before).alias(f"__cm_{o}") for o in maxes])
-    carry, _ = checked_broadcast(carry)  # one row per (partition, group) pair
-    joined = local.join(carry, [_PID, *group], "left")
+    # One row per (partition, group) pair.
+    joined = local.join(F.broadcast(carry) if few_groups else carry, [_PID, *group], "left")
     out = joined.select(
         *[c for c in df.columns],
         *[(F.col(f"__cs_{o}") + F.col(f"__ls_{o}")).alias(o) for o in sums],
