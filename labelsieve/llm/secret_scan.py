@@ -11,9 +11,14 @@ guesses an attacker needs.  A value that costs ``MIN_COST`` or more is a secret,
 a cheaper one (``changeme``, ``qwerty123``) a placeholder.  A value inside a
 base span is not reported twice.
 
+A value behind an opening quote ends at its closing quote on the same line (escaped
+quotes belong to it, and blanks); without one it is the whole run of visible ASCII
+characters, less closing punctuation.  Values have any length: the dynamic programme
+leaves out only states and segments that cost ``MIN_COST`` by themselves, and stops
+where none below it can be continued, so the decision is that of the full programme.
+
 Positions are code points, ends exclusive.  One pass over the texts in tasks, no
-shuffle; the dynamic programme runs on values of at most ``MAX_VALUE`` characters,
-as the context pattern ends there.  Texts are searched whole.
+shuffle.  Texts are searched whole.
 
 Defined results: a null or empty text has no span; counts are 0 and the base digest
 is that of the empty string.
@@ -38,11 +43,16 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a run shorter than 16 would be dropped any
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
 KINDS = ("assign", "access", "hex", "password")
-MAX_VALUE = 64
 MIN_COST = 10.0
+MIN_VALUE = 6
+# Name, sign and opening quote of a credential; two quotes before a separator are an empty value.
 CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pass|pwd|secret|token|api[_-]?key|credentials?|login)"""
-    r"""["']?[\x20\t]{0,3}(?:is|=>|:=|[:=])[\x20\t]{0,3}["']?([!-&(-~]{6,64})(?![!-~])""", re.IGNORECASE | re.ASCII)
+    r"""["']?[\x20\t]*+(?:is|=>|:=|[:=])[\x20\t]*+(\"{3}|'{3}|(?:""|'')(?![\s,;)\]}>]|\Z)|["'])?""",
+    re.IGNORECASE | re.ASCII)
+VISIBLE = re.compile(r"[!-~]*+")
+# The rest of a quoted value and its closing quote.
+QUOTED = {q: re.compile(rf"(?:[^{q[0]}\\\r\n]++|\\[^\r\n]|(?!{q}){q[0]})*+{q}") for c in "\"'" for q in (c, c * 2, c * 3)}
 
 # Every match of ASSIGN or CONTEXT holds one of these in lower case.
 NAMES = ("pass", "pwd", "secret", "token", "apikey", "api_key", "api-key", "credential", "login")
@@ -80,16 +90,45 @@ def _adjacent(a: str, b: str) -> bool:
     return p is not None and q is not None and a != b and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
 
-def guess_cost(value: str) -> float:
-    """Decimal logarithm of the guesses for ``value``: the cheapest segmentation."""
+def _lower(value: str) -> str:
+    """``value`` in lower case, with as many characters."""
+    return value.lower() if value.isascii() else "".join(x if len(x := c.lower()) == 1 else c for c in value)
+
+
+def _cheapest(starts: list[int], best: list[float], j: int, rate: float, fixed: float, limit: float) -> float:
+    """Least ``best[i] + log10(rate * (j - i)) + fixed`` of the ascending ``starts``.
+
+    Starts that can never win again leave: the lead of a later start over an earlier
+    one only falls as ``j`` grows, and no start gets cheaper.
+    """
+    least, keep = limit, []
+    for i in starts:
+        cost = best[i] + fixed + math.log10(rate * (j - i)) + SEGMENT_COST
+        if cost < least:
+            least = cost
+            keep.append(i)
+    starts[:] = keep
+    return least
+
+
+def guess_cost(value: str, limit: float = math.inf) -> float:
+    """Decimal logarithm of the guesses for ``value``: the cheapest segmentation; infinite from ``limit`` on."""
     n = len(value)
-    low, plain = value.lower(), value.lower().translate(LEET)
+    low = _lower(value)
+    plain = low.translate(LEET)
     brute = [_brute(c) for c in value]
     best = [0.0] + [math.inf] * n
     walk = 0  # start of the keyboard walk that ends at the current character
+    walks: list[int] = []  # starts in it
+    # A longer unit costs the limit by itself, as every character costs min(BRUTE.values()) at least.
+    units = min(n // 2, int(limit / min(BRUTE.values())) if limit < math.inf else n)
+    same = [0] * (units + 1)  # characters up to the current one that equal the one a unit before
+    repeats: dict[tuple[int, int], list[int]] = {}  # starts of repeats by unit and remainder
+    live = 0  # the last position that costs less than the limit
     for j in range(1, n + 1):
         if j > 1 and not _adjacent(low[j - 2], low[j - 1]):
             walk = j - 1
+            walks.clear()
         # Brute force: one more character.
         cost = best[j - 1] + brute[j - 1] + (SEGMENT_COST if j == 1 else 0)
         for i in range(max(0, j - LONGEST_WORD), j - 2):
@@ -103,19 +142,50 @@ def guess_cost(value: str) -> float:
         for i in range(max(0, j - 10), j - 3):
             if value[i].isdigit() and DATE.fullmatch(value, i, j):
                 cost = min(cost, best[i] + (YEAR_COST if j - i == 4 else DATE_COST) + SEGMENT_COST)
+        reach = max(0, j - LONGEST_WORD)  # no segment that ends behind j starts before it
         if j - walk >= 3:  # start key, length, turns
-            for i in range(walk, j - 2):
-                cost = min(cost, best[i] + math.log10(47 * (j - i) * 4) + SEGMENT_COST)
-        for unit in range(1, j // 2 + 1):  # repeats of a unit that ends at j
-            times = 1
-            while j - (times + 1) * unit >= 0 and value[j - (times + 1) * unit:j - times * unit] == value[j - unit:j]:
-                times += 1
-                once = sum(brute[j - unit:j])
-                cost = min(cost, best[j - times * unit] + once + math.log10(times) + SEGMENT_COST)
-        best[j] = cost
+            walks.append(j - 3)
+            cost = min(cost, _cheapest(walks, best, j, 47 * 4, 0.0, limit))
+        reach = min(reach, walk)
+        once = 0.0
+        for unit in range(1, min(units, j - 1) + 1):  # repeats of a unit that ends at j
+            once += brute[j - unit]
+            if value[j - 1] != value[j - 1 - unit]:
+                if same[unit] >= unit:
+                    for r in range(unit):
+                        repeats.pop((unit, r), None)
+                same[unit] = 0
+                continue
+            same[unit] += 1
+            reach = min(reach, j - unit - same[unit])
+            if same[unit] >= unit:
+                starts = repeats.setdefault((unit, j % unit), [])
+                starts.append(j - 2 * unit)
+                cost = min(cost, _cheapest(starts, best, j, 1 / unit, once, limit))
+        if cost < limit:
+            best[j] = cost
+            live = j
+        elif live < min(reach, j - 10, j - units):
+            return math.inf
     return best[n]
 
 
+def _value(text: str, context: re.Match) -> tuple[int, int, int]:
+    """Start and end of the value behind ``context``, and where the search goes on."""
+    start, quote = context.end(), context.group(1)
+    run = end = VISIBLE.match(text, start).end()
+    closed = QUOTED[quote].match(text, start) if quote else None
+    if closed and not text[closed.end():closed.end() + 1].isalnum():
+        end = closed.end() - len(quote)
+    else:
+        while end > start and text[end - 1] in "\"',;.)":
+            end -= 1
+        if closed:  # the quote closes inside a word: the value is the longer of the two
+            end = max(end, closed.end() - len(quote))
+    # A quoted value may be prose between two others' quotes: names behind its first blank count as well.
+    return start, end, min(run, end) if end - start >= MIN_VALUE else start
+
+
 def spans_of(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind index, end)`` of every span, sorted."""
     low = text.lower()
@@ -124,13 +194,12 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
              if m.end(2) - m.start(2) >= MIN_ASSIGN] if named else []
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
-    own = []
-    for m in CONTEXT.finditer(text) if named else ():
-        start, end = m.span(1)
-        while end > start and text[end - 1] in "\"',;.)":
-            end -= 1
-        if end - start >= 6 and not any(s <= start and end <= e for s, _, e in found) \
-                and guess_cost(text[start:end]) >= MIN_COST:
+    own: list[tuple[int, int, int]] = []
+    at = 0
+    while named and (m := CONTEXT.search(text, at)):
+        start, end, at = _value(text, m)
+        if end - start >= MIN_VALUE and not any(s <= start and end <= e for s, _, e in found) \
+                and not (own and end <= own[-1][2]) and guess_cost(text[start:end], MIN_COST) >= MIN_COST:
             own.append((start, 3, end))
     return sorted(found + own)
 

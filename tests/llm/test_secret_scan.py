@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 import re
 
 from labelsieve.llm import secret_scan as ss
@@ -84,5 +85,51 @@ def test_dynamic_programme_is_the_best_segmentation():
         assert math.isclose(ss.guess_cost(v), plain_cost(v), rel_tol=1e-9), v
 
 
+def own_values(text):
+    return [text[s:e] for s, k, e in ss.spans_of(text) if k == 3]
+
+
+def test_quoted_values_end_at_their_quote_and_may_hold_the_other():
+    hard = "Tr7$kWq9!zPm"
+    for q in ("'", '"', "", '""', "'" * 3):
+        assert own_values(f"password = {q}{hard}{q}, next") == [hard], q
+    assert own_values(f"{{'pwd':'{hard}','user':'x'}}") == [hard]
+    assert own_values("pwd=Tr7$k'Wq9!zPm ok") == ["Tr7$k'Wq9!zPm"]
+    assert own_values("pwd=\"Tr7$k'Wq9!zPm\" ok") == ["Tr7$k'Wq9!zPm"]
+    assert own_values("pwd='Tr7$k\\'Wq9!zPm' ok") == ["Tr7$k\\'Wq9!zPm"]
+    assert own_values("pwd='Tr7$k'Wq9!zPm ok") == ["Tr7$k'Wq9!zPm"]
+    assert own_values("secret: 'x9 Kq!2vLp 8Zw' and") == ["x9 Kq!2vLp 8Zw"]
+    assert own_values(f"pwd='{hard}\nnext line's end") == [hard]  # not closed on its line
+    assert own_values(f"login: 'tis so; password='{hard}'")[-1] == hard
+    assert own_values("password=\"\",connection=\"\" pwd='' # none") == []
+    assert own_values("pwd='changeme' pass='password123', login='qwerty'") == []
+
+
+def test_values_of_any_length():
+    rng = random.Random(4)
+    for n in (64, 65, 68, 500, 20_000):
+        value = "".join(rng.choice("GHJKLMnpqrst$!%#") for _ in range(n))
+        assert own_values(f"pwd={value} end") == [value]
+        assert own_values(f"pwd='{value}' end") == [value]
+    assert own_values("pwd=" + "z" * 20_000 + " login=" + "qw" * 5_000 + " pass=" + "test" * 200) == []
+    assert own_values("pwd=" + "z" * 20_000 + "Tr7$kWq9!zPm") == ["z" * 20_000 + "Tr7$kWq9!zPm"]
+
+
+def test_any_blanks_around_the_sign():
+    for blanks in ("", " ", "   ", "    ", "\t\t\t\t\t", " " * 300):
+        assert own_values(f"pwd{blanks}={blanks}'Tr7$kWq9!zPm'") == ["Tr7$kWq9!zPm"]
+
+
+def test_the_limit_does_not_change_a_decision():
+    rng = random.Random(5)
+    bits = ["pass", "word", "admin", "1998", "12/03/1998", "qwe", "asdf", "a", "ab", "12", "x9$", "K", "!", "é", "P4ss"]
+    for _ in range(2_000):
+        v = "".join(rng.choice(bits) * rng.choice((1, 1, 2, 3, 30)) for _ in range(rng.randrange(1, 5)))
+        exact, cut = ss.guess_cost(v), ss.guess_cost(v, ss.MIN_COST)
+        assert cut == math.inf if exact >= ss.MIN_COST else math.isclose(cut, exact), v
+    for v in ("zz", "zzzz", "ababab", "qwqwqw", "İ9İ9x", "abcabcab", "qweqwe12"):
+        assert math.isclose(ss.guess_cost(v), plain_cost(v), rel_tol=1e-9), v
+
+
 def test_empty_table(spark):
     assert ss.digest_columns(ss.scan(documents(spark, []))).collect() == []
