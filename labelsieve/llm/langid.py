@@ -4,7 +4,8 @@ For a row and a language l the posterior is proportional to
 
     p(text | l) ** t  *  p(declared | l)  *  p(suffix | l)  *  p(l | host)
 
-* ``p(text | l)``: hashed byte trigrams, fitted on a bounded sample of labelled texts.
+* ``p(text | l)``: hashed byte trigrams, fitted on a bounded sample of the labelled texts
+  of every language that occurs, whatever their number and the length of the texts.
   Trigrams are not independent, so a text counts as at most ``MAX_TRIGRAMS`` of them.
 * ``p(declared | l)``, ``p(suffix | l)``: how often the markup's ``lang`` and the address
   suffix go with texts of that language; a row without them says nothing.
@@ -33,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_A, arrow_map, hash_sample, heavy_join, materialize, slices, string_buffers
+from .common import LOWER_A, SLICE_BYTES, arrow_map, heavy_join, materialize, slices, string_buffers
 
 BUCKETS = 1 << 15
 MAX_TRIGRAMS = 60
 SAMPLE_PER_LANG = 500
-MAX_CHARS = 20_000
-MAX_LANGS = 256
+SMOOTH = 0.1  # count of a bucket that no text of the language has
+CELLS = 1 << 20  # rows x languages of one step
 ALPHA = 5.0
 UNIT = 1000
 
@@ -49,8 +50,19 @@ DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})(?![A-Za
 
 @dataclass(frozen=True)
 class TextModel:
+    """Natural logarithms of the buckets that a language has (``first``: its part of both arrays), and of any other."""
     languages: tuple[str, ...]
-    logs: np.ndarray  # languages x BUCKETS, natural logarithms
+    first: np.ndarray
+    buckets: np.ndarray
+    logs: np.ndarray
+    other: np.ndarray
+
+    def row(self, i: int) -> np.ndarray:
+        """Logarithms of all buckets in language ``i``."""
+        out = np.full(BUCKETS, self.other[i])
+        own = slice(self.first[i], self.first[i + 1])
+        out[self.buckets[own]] = self.logs[own]
+        return out
 
 
 def trigram_buckets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,24 +79,48 @@ def trigram_buckets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return bucket, inside
 
 
-def fit_text(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, max_chars: int = MAX_CHARS) -> TextModel:
-    """Text model of ``labelled`` (id, text, lang): at most ``sample_per_lang`` texts of up to ``max_chars`` each."""
-    rows = labelled.filter("text is not null and lang is not null and id is not null")
-    many = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    langs = sorted(many)
-    logs = np.zeros((len(langs), BUCKETS))
-    for i, lang in enumerate(langs):
-        own = rows.filter((F.col("lang") == lang) & (F.length("text") <= max_chars)).select("id", "text")
-        picked = hash_sample(own, "id", many[lang], sample_per_lang).select("text")
-        counts = np.full(BUCKETS, 0.1)
-        texts = picked.toArrow().column(0).combine_chunks()
-        for part in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
-            if len(part):
-                bucket, inside = trigram_buckets(*string_buffers(part))
-                counts += np.bincount(bucket[inside], minlength=BUCKETS)
-        logs[i] = np.log(counts / counts.sum())
-    return TextModel(tuple(langs), logs)
+def _count(batches):
+    """Trigram buckets of the rows (lang, text) as (lang, bucket, n)."""
+    for b in slices(batches, "text"):
+        raw, offsets = string_buffers(b.column(1))
+        names = b.column(0).dictionary_encode()
+        lang = names.indices.to_numpy().astype(np.int64)
+        parts = [(raw, offsets)]
+        if b.num_rows == 1:  # a long text in pieces; a trigram belongs to the piece it starts in
+            parts = [(p, np.array([0, len(p)])) for p in
+                     (raw[at:at + SLICE_BYTES + 2] for at in range(0, len(raw), SLICE_BYTES))]
+        for part, ends in parts:
+            bucket, inside = trigram_buckets(part, ends)
+            key, n = np.unique((np.repeat(lang, np.diff(ends)) * BUCKETS + bucket)[inside], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [names.dictionary.take(pa.array(key // BUCKETS)), pa.array((key % BUCKETS).astype(np.int32)), pa.array(n)],
+                names=["lang", "bucket", "n"])
+
+
+def fit_text(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> TextModel:
+    """Text model of every language in ``labelled`` (id, text, lang), from about ``sample_per_lang`` texts each.
+
+    The sample is a share of the hash range that fits the language's rows (its least
+    hash at least): the same on any partitioning, found and counted where the rows lie.
+    """
+    rows = labelled.filter("text is not null and lang is not null").select(
+        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("id", "text").alias("hash"))
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least")).collect()
+    langs = sorted(r["lang"] for r in known)
+    least, top = -(1 << 63), (1 << 63) - 1
+    cuts = [(r["lang"], max(r["least"], min(top, least + int(sample_per_lang / r["n"] * (1 << 64))))) for r in known]
+    cuts = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "lang string, cut long"))
+    picked = rows.join(cuts, "lang").filter("hash <= cut").select("lang", "text")
+    counts = (arrow_map(picked, _count, "lang string, bucket int, n long").groupBy("lang", "bucket")
+              .agg(F.sum("n").alias("n")).toArrow().sort_by([("lang", "ascending"), ("bucket", "ascending")]))
+    names = counts.column(0).combine_chunks().dictionary_encode()
+    at = {x: i for i, x in enumerate(langs)}
+    lang = np.array([at[x] for x in names.dictionary.to_pylist()], dtype=np.int64)[names.indices.to_numpy()]
+    n = counts.column(2).to_numpy() + SMOOTH
+    first = np.searchsorted(lang, np.arange(len(langs) + 1))
+    whole = np.array([n[a:b].sum() + SMOOTH * (BUCKETS - (b - a)) for a, b in zip(first[:-1], first[1:], strict=True)])
+    return TextModel(tuple(langs), first, counts.column(1).to_numpy(),
+                     np.log(n / np.repeat(whole, np.diff(first))), np.log(SMOOTH / whole))
 
 
 def text_weights(raw: np.ndarray, offsets: np.ndarray, model: TextModel) -> np.ndarray:
@@ -98,7 +134,8 @@ def text_weights(raw: np.ndarray, offsets: np.ndarray, model: TextModel) -> np.n
     many = sums[offsets[1:]] - sums[offsets[:-1]]
     some = many > 0
     starts = offsets[:-1][some]
-    for i, row in enumerate(model.logs):
+    for i in range(len(model.languages)):
+        row = model.row(i)
         out[some, i] = np.add.reduceat(np.where(inside, row[bucket], 0.0), starts)
     out[some] *= (np.minimum(many[some], MAX_TRIGRAMS) / many[some])[:, None]
     return out
@@ -117,8 +154,10 @@ def page_text(markup: str) -> str:
 
 
 def _evidence(model: TextModel, markup: bool, n_keys: int):
+    step = max(1, CELLS // max(1, len(model.languages)))
+
     def run(batches):
-        for b in slices(batches, "text"):
+        for b in (x.slice(at, step) for x in slices(batches, "text") for at in range(0, x.num_rows, step)):
             col = b.column(n_keys)
             declared = [None] * b.num_rows
             if markup:

@@ -1,5 +1,8 @@
 import math
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from labelsieve.llm import langid, queries
 from labelsieve.llm.common import F
@@ -58,6 +61,53 @@ def test_markup_and_hosts(spark):
     assert [r.h for r in frame.collect()] == ["www.x.de", "y.org", None, None, None]
 
 
+def test_every_language_is_fitted_and_found(spark):
+    rng = random.Random(6)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(30)] for _ in range(270)]
+    # The last language has long texts only, the first one far more rows than the sample.
+    text = [" ".join(rng.choices(words[i], k=5_000 if i == 269 else 40)) for i in range(270)]
+    rows = [(i, t, f"l{i:03d}") for i, t in enumerate(text)] + [(1000 + k, text[0], "l000") for k in range(1500)]
+    model = langid.fit_text(spark.createDataFrame(rows, "id long, text string, lang string"))
+    assert model.languages == tuple(f"l{i:03d}" for i in range(270))
+    found = [" ".join(rng.choices(w, k=20)).encode() for w in words]
+    raw = np.frombuffer(b"".join(found), np.uint8)
+    weights = langid.text_weights(raw, np.cumsum([0, *map(len, found)]), model)
+    assert weights.argmax(axis=1).tolist() == list(range(270))
+
+
+def test_text_model_against_a_plain_count(spark):
+    rows = [(1, "abcd", "x"), (None, "bcda", "x"), (2, "ABC" * 9_000, "y"), (3, "same", "z"), (4, "ab", "w")]
+    rows += [(5, "same", "z")] * 600
+    model = langid.fit_text(spark.createDataFrame(rows, "id long, text string, lang string"))
+    assert model.languages == ("w", "x", "y", "z")
+    for i, lang in enumerate(model.languages):
+        counts = np.full(langid.BUCKETS, 0.1)
+        for _, text, of in rows[:3] if lang != "z" else rows[3:4]:
+            if of == lang:
+                raw = np.frombuffer(text.encode(), np.uint8)
+                bucket, inside = langid.trigram_buckets(raw, np.array([0, len(raw)]))
+                counts += np.bincount(bucket[inside], minlength=langid.BUCKETS)
+        if lang == "z":  # equal texts: some of them, at least one
+            assert set(np.flatnonzero(model.row(i) > model.other[i])) == set(np.flatnonzero(counts > 1))
+        else:
+            assert np.allclose(model.row(i), np.log(counts / counts.sum()), rtol=1e-12)
+
+
+def test_a_long_text_is_counted_in_pieces(monkeypatch):
+    text = "the quick brown fox " * 50
+    batch = pa.record_batch({"lang": ["a"], "text": [text]})
+
+    def total():
+        out = {}
+        for b in langid._count(iter([batch])):
+            for bucket, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                out[bucket] = out.get(bucket, 0) + n
+        return out
+    want = total()
+    monkeypatch.setattr(langid, "SLICE_BYTES", 7)
+    assert total() == want and sum(want.values()) == len(text) - 2
+
+
 def test_no_labels_and_empty_table(spark):
     model = langid.fit_text(training(spark).limit(0))
     frame = spark.createDataFrame([(1, "h", "text")], "page_id long, host string, text string")
