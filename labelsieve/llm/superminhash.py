@@ -24,7 +24,8 @@ step can lower them.
 
 Defined results: a null text or a text without words has an empty set, links with
 nothing and keeps itself; fewer words than ``k`` form one shingle; rows that repeat
-an id form one document with the largest of their sets; a row without an id links
+an id form one document with the largest of their sets (of equally large ones the one
+with the greatest digest); a row without an id links
 with nothing, stays, and has no component.
 """
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, arrow_map, docs_of, heavy_join, materialize, mix, ship_package, slices, tokenize
+from .common import GOLDEN, HEAVY, arrow_map, docs_of, heavy_join, materialize, mix, ship_package, slices, tokenize
 from .components import components
 
 BANDS, ROWS = 24, 4
@@ -104,21 +105,26 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
+def set_digests(h: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit digests of each document's set; ``counts`` distinct hashes each."""
+    with np.errstate(over="ignore"):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(h + GOLDEN), dtype=np.uint64)])
+        other = np.concatenate([[np.uint64(0)], np.cumsum(mix(h * GOLDEN), dtype=np.uint64)])
+        ends = np.cumsum(counts)
+        return [(x[ends] - x[ends - counts]).view(np.int64) for x in (total, other)]
+
+
 def _sketch(k: int, bands: int, rows: int):
     def run(batches):
         for b in slices(batches, "text"):
             h, doc = shingles(tokenize(b.column(1), lower=True), k)
             h, counts = distinct_sets(h, doc, b.num_rows)
             some = counts > 0
-            with np.errstate(over="ignore"):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mix(h + GOLDEN), dtype=np.uint64)])
-                other = np.concatenate([[np.uint64(0)], np.cumsum(mix(h * GOLDEN), dtype=np.uint64)])
-                ends = np.cumsum(counts)
-                d1, d2 = (x[ends] - x[ends - counts] for x in (total, other))
+            d1, d2 = set_digests(h, counts)
             lists = band_hashes(signatures(h, counts[some], bands * rows), bands, rows).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                [b.column(0), pa.array(counts), pa.array(d1), pa.array(d2),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(lists.ravel()))],
                 names=["doc_id", "n", "d1", "d2", "bands"])
     return run
@@ -131,8 +137,9 @@ def _sets(k: int):
             h, counts = distinct_sets(h, doc, b.num_rows)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))],
-                names=["doc_id", "hashes"])
+                [b.column(0), *map(pa.array, set_digests(h, counts)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))],
+                names=["doc_id", "d1", "d2", "hashes"])
     return run
 
 
@@ -215,6 +222,23 @@ def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
             .distinct())
 
 
+def _largest(keyed: DataFrame, total: int) -> DataFrame:
+    """``keyed`` (the sketch's rows with an id) with one set an id: the greatest by (n, d1, d2)."""
+    parts = ("n", "d1", "d2")
+    several = (keyed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{f.__name__}_{c}")
+                                                                             for c in parts for f in (F.min, F.max)])
+               .filter(" or ".join(f"min_{c} < max_{c}" for c in parts)).select("doc_id", "rows"))
+    several = materialize(several, "several")
+    if several.isEmpty():
+        return keyed
+    best = (heavy_join(keyed, several, "doc_id", "rows", total).groupBy("doc_id")
+            .agg(F.max(F.struct(*parts, "bands")).alias("best")).select("doc_id", "best.*"))
+    cut = max(2, -(-total // HEAVY))  # so many rows make at most HEAVY ids
+    heavy, rest = (several.filter(c).select("doc_id") for c in (F.col("rows") >= cut, F.col("rows") < cut))
+    others = keyed.join(F.broadcast(heavy), "doc_id", "left_anti").join(rest, "doc_id", "left_anti")
+    return materialize(others.unionByName(best), "largest")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per id of ``docs`` (doc_id, text).
 
@@ -225,17 +249,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     sketch = arrow_map(docs, _sketch(k, bands, rows),
                        "doc_id long, n long, d1 long, d2 long, bands array<bigint>")
     sketch = materialize(sketch, "sketch")
+    total = sketch.count()
+    largest = _largest(sketch.filter("doc_id is not null"), total)
     # Classes of equal sets; ``u`` is the least id.
-    classes = (sketch.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n")
+    classes = (largest.filter("n > 0").groupBy("d1", "d2", "n")
                .agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands")))
     classes = materialize(classes, "classes")
     banded = classes.select("u", "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min(F.struct("u", "n")).alias("least"), F.count(F.lit(1)).alias("members"))
     member = materialize(banded.join(buckets.filter("members > 1").drop("members"), "key"), "buckets")
     sets = arrow_map(docs.join(member.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi"), _sets(k),
-                     "doc_id long, hashes array<bigint>")
-    sets = materialize(sets.groupBy(F.col("doc_id").alias("u")).agg(F.max_by("hashes", F.size("hashes")).alias("hashes")),
-                       "sets")
+                     "doc_id long, d1 long, d2 long, hashes array<bigint>")
+    sets = materialize(sets.groupBy(F.col("doc_id").alias("u"))
+                       .agg(F.max_by("hashes", F.struct(F.size("hashes"), "d1", "d2")).alias("hashes")), "sets")
     # Sets whose sizes differ too much cannot reach the similarity.
     star = (member.select("u", "n", F.col("least.u").alias("v"), F.col("least.n").alias("m"))
             .filter((F.col("u") != F.col("v")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
@@ -251,10 +277,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     found = _labelled(classes.select("d1", "d2", "n", "u", "size"), label)
     found = materialize(found.select(F.struct("d1", "d2", "n").alias("set"), "size",
                                      F.col("component").alias("component_id")), "found")
-    total = sketch.count()
     nameless = sketch.filter("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"),
                                                       F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    keyed = sketch.filter("doc_id is not null").select("doc_id", "n", F.struct("d1", "d2", "n").alias("set"))
+    keyed = largest.select("doc_id", "n", F.struct("d1", "d2", "n").alias("set"))
     empty = keyed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     full = heavy_join(keyed.filter("n > 0"), found, "set", "size", total).select("doc_id", "n", "component_id")
     out = full.unionByName(empty).groupBy("doc_id").agg(F.max("n").alias("n_shingles"),

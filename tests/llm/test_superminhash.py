@@ -62,6 +62,18 @@ def test_chains_and_large_families_against_all_pairs(spark):
     assert got(superminhash.near_duplicates(docs, 3, 85)) == expected(range(len(texts)), texts, 3, 85)
 
 
+def test_repeated_ids_with_different_texts(spark):
+    a, b, c, d = (prose(n, 71 + i, 10**6) for i, n in enumerate((150, 200, 150, 150)))
+    rows = [(5, a), (5, b), (9, a), (12, a + " tail"), (20, b + " end"), (7, d), (7, c), (7, c), (30, c), (31, ""), (31, c)]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows]).repartition(5)
+    out = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in superminhash.near_duplicates(docs, 3, 85).collect()}
+    assert out[5] == (198, 5, True) and out[20] == (199, 5, False)  # the larger text of 5
+    assert out[9] == (148, 9, True) and out[12] == (149, 9, False)
+    # Sets of one size: either text of 7.
+    assert out[31][1] == out[30][1] and out[7][1:] == (7, True)
+    assert out[30][1] in (7, 30) and len(out) == 7
+
+
 def test_signature_estimates_similarity_better_than_independent_hashes():
     rng = np.random.default_rng(3)
     errors = []
