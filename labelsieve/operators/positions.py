@@ -102,7 +102,7 @@ def first_rows(df: DataFrame, keys: list[str], rank: Column, order: list[Column]
                name: str = "pick", partitions: int | None = None) -> DataFrame:
     """The first ``budget`` rows per ``keys`` in ``order`` with their 1-based ``name``.
 
-    ``rank`` is a double that never falls along ``order``.  Its range per key
+    ``rank`` is a double that never falls along ``order``; rows without one come last.  Its range per key
     is cut into ``BUCKETS`` equal parts; the counts per part (a partial
     aggregate, ``BUCKETS`` rows per key at most) give the part in which the budget
     is reached, all rows behind it are filtered out, and only the rest is
@@ -113,7 +113,8 @@ def first_rows(df: DataFrame, keys: list[str], rank: Column, order: list[Column]
     rows = materialize((df if keys else df.withColumn("__all", F.lit(0))).withColumn("__rank", rank), "ranked")
     bounds = F.broadcast(rows.groupBy(*key).agg(F.min("__rank").alias("__lo"), F.max("__rank").alias("__hi")))
     span = F.col("__hi") - F.col("__lo")
-    part = F.when(span > 0, F.floor((F.col("__rank") - F.col("__lo")) / span * BUCKETS)).otherwise(0)
+    # No rank: a part behind all others.
+    part = F.when(F.col("__rank").isNull(), BUCKETS + 1).when(span > 0, F.floor((F.col("__rank") - F.col("__lo")) / span * BUCKETS)).otherwise(0)
     placed = rows.join(bounds, key).withColumn("__part", part.cast("int")).drop("__lo", "__hi")
     counts = placed.groupBy(*key, "__part").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -43,3 +43,16 @@ def test_running_splits_hot_group(spark):
     m = got.merge(p[["id", "rank_w", "cv_w", "mx_w"]], on="id")
     assert len(m) == 800
     assert (m["rank"] == m["rank_w"]).all() and (m["cv"] == m["cv_w"]).all() and (m["mx"] == m["mx_w"]).all()
+
+
+def test_first_rows_puts_null_ranks_last(spark):
+    rows = [(f"id{i:02d}", None if i % 4 == 0 else float(i)) for i in range(20)] + [("z", None)]
+    df = spark.createDataFrame(rows, "id string, v double")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    scored = [i for i, v in sorted(rows, key=lambda r: (-(r[1] or 0), r[0])) if v is not None]
+    lost = sorted(i for i, v in rows if v is None)
+    for budget in (3, 15, 18, 100):
+        got = positions.first_rows(df, [], -F.col("v"), order, budget).orderBy("pick").collect()
+        assert [r.id for r in got] == (scored + lost)[:budget]
+    got = positions.first_rows(df.filter("v is null"), [], -F.col("v"), order, 3).orderBy("pick").collect()
+    assert [r.id for r in got] == lost[:3]
