@@ -136,7 +136,7 @@ def cluster_diverse(items: DataFrame, budget: int, cap: int, group_col: str = "l
     Centres are plain averages per cluster and component (a partial aggregate
     over exploded components, one row per cluster and component), so the result is
     repeatable on any partitioning; ``kmeans_groups`` makes labels where there are
-    none.  Picks the items farthest from their centre, at most ``cap`` per cluster.
+    none; items without a label are a cluster of their own.  Picks the items farthest from their centre, at most ``cap`` per cluster.
     """
     rows = items.select(F.col(id_col).alias("item_id"), F.col(vec_col).cast("array<double>").alias("emb"),
                         F.col(group_col).cast("string").alias("cluster"))
@@ -146,10 +146,10 @@ def cluster_diverse(items: DataFrame, budget: int, cap: int, group_col: str = "l
     centres = (parts.groupBy("cluster", "i").agg((mean / F.lit(float(1 << 40)) / F.count(F.lit(1))).alias("c"))
                .groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "c"))), lambda e: e["c"])
                                        .alias("centre")))
-    centres, _ = checked_broadcast(centres)
+    centres, _ = checked_broadcast(centres.withColumnRenamed("cluster", "__of"))
     dist = F.sqrt(F.aggregate(F.zip_with("emb", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                               lambda acc, x: acc + x))
-    scored = rows.join(centres, "cluster").select("item_id", "cluster", dist.alias("score"))
+    scored = rows.join(centres, F.col("cluster").eqNullSafe(F.col("__of"))).select("item_id", "cluster", dist.alias("score"))
     order = [F.col("score").desc(), F.col("item_id").asc()]
     few = capped(scored, order, F.col("cluster"), cap)
     return first_rows(few, [], -F.col("score"), order, budget).select("pick", "item_id", "cluster", "score")

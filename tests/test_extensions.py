@@ -80,3 +80,10 @@ def test_cluster_diverse_by_plain_centres(spark):
             want.append((i, str(c)))
     assert got == want
     assert extensions.kmeans_groups(items, k=2).select("label").distinct().count() == 2
+
+
+def test_cluster_diverse_keeps_items_without_a_label(spark):
+    rows = [(1, [0.0, 0.0], 5), (2, [2.0, 0.0], 5), (3, [0.0, 0.0], None), (4, [0.0, 6.0], None), (5, [0.0, 3.0], None)]
+    items = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = extensions.cluster_diverse(items, 9, 2).orderBy("pick").collect()
+    assert [(r.item_id, r.cluster, r.score) for r in got] == [(3, None, 3.0), (4, None, 3.0), (1, "5", 1.0), (2, "5", 1.0)]
