@@ -1,7 +1,10 @@
 """Substring dedup by recompression of word sequences.
 
-Recompression replaces, level by level, maximal runs of one symbol and pairs of a
-left-class and a following right-class symbol by a new symbol.  Names are 64-bit
+Recompression replaces, level by level, pairs of a left-class and a following
+right-class symbol by a new symbol, and before the first level maximal runs of one
+word.  Runs are not joined again at higher levels: the step makes every symbol rest upon
+both neighbours, which widens the deciding words and leaves lower, more numerous anchors
+(sf0.01: 0.25 a word with the step at every level, 0.14 so).  Names are 64-bit
 fingerprints of what a symbol stands for, so every task gives equal runs and pairs
 the same name without asking another.  Equal substrings get equal symbols in
 their interior: with each symbol go the words ``[lo, hi)`` that alone decided it
