@@ -5,12 +5,15 @@
    first row of a text in the table carries the text.  A text that a third of all
    rows share thus leaves each task once.
 2. ``partition``: the rows with a text go to buckets by a hash of the content.  A
-   bucket over ``bucket_bytes`` is partitioned again with another hash, until it
-   fits or holds a single hash value (copies of one text: one table entry).
-   Spark's shuffle files are the spill files: they are spread over the cluster,
-   and a lost one is made again.
+   bucket over ``bucket_bytes`` is divided again, by another hash and into as many
+   children as its own size asks for, until each fits or holds a single hash value (copies of
+   one text: one table entry).  A bucket's name is its path, so every level divides
+   inside its parents.  Sizes come from a narrow column; texts move once, from the
+   table to the tasks of their last bucket.  Spark's shuffle files are the spill files: they
+   are spread over the cluster, and a lost one is made again.
 3. ``match``: each bucket goes through an open-addressing table that compares the
-   complete content and names the group of each of its rows.
+   complete content and names the group of each of its rows.  A task takes its buckets one after
+   the other, so it holds one at a time.
 4. Group totals are sums over at most one row per task and text; every document
    gets its answer by a join on the key of step 1, of which no value has more rows
    than one input task.
@@ -25,13 +28,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
 from .common import arrow_map, docs_of, materialize
 
 COMBINE_BYTES = 64 << 20
 BUCKET_BYTES = 32 << 20
+# Children of a bucket, and tasks of a level, at most.
 MAX_FAN = 4096
 MAX_LEVELS = 8
 # Bytes that a table entry costs besides its content.
@@ -75,7 +80,7 @@ class Table:
 
 def _combine(limit: int):
     schema = pa.schema([("doc_id", pa.int64()), ("rep", pa.int64()), ("hash", pa.int64()),
-                        ("sha", pa.string()), ("text", pa.string())])
+                        ("sha", pa.string()), ("weight", pa.int64()), ("text", pa.string())])
 
     def run(batches):
         # Row numbers inside a task make the keys; the table they are written to fixes them.
@@ -96,29 +101,61 @@ def _combine(limit: int):
             row += len(texts)
             kept = pa.compute.if_else(pa.array(fresh), b.column(1), pa.scalar(None, b.column(1).type))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(reps), b.column(2), b.column(3), kept.cast(pa.string())], schema=schema)
+                [b.column(0), pa.array(reps), b.column(2), b.column(3),
+                 pa.array([len(t) + ENTRY_BYTES for t in texts], pa.int64()), kept.cast(pa.string())], schema=schema)
     return run
 
 
 def _match(batches):
-    """Rows ``(rep, hash, text)`` of one bucket -> ``(rep, grp)``: the least ``rep`` with the same content."""
-    table, least, reps, entries = Table(), [], [], []
+    """Rows ``(rep, hash, text, bucket)``, bucket by bucket -> ``(rep, grp)``: the least ``rep`` with the same content."""
+    now, table, least, reps, entries = None, Table(), [], [], []
+
+    def named():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(reps, pa.int64()), pa.array(least, pa.int64()).take(pa.array(entries, pa.int64()))], names=["rep", "grp"])
     for b in batches:
-        ids = b.column(0).to_pylist()
-        got = np.empty(b.num_rows, dtype=np.int64)
-        for i, (t, h) in enumerate(zip(b.column(2).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(),
-                                       strict=True)):
+        for rep, h, t, bucket in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                     b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
+            if bucket != now:
+                if reps:
+                    yield named()
+                now, table, least, reps, entries = bucket, Table(), [], [], []
             e, new = table.entry(t, h)
             if new:
-                least.append(ids[i])
+                least.append(rep)
             else:
-                least[e] = min(least[e], ids[i])
-            got[i] = e
-        reps.append(b.column(0))
-        entries.append(got)
-    least = pa.array(least, pa.int64())
-    for r, e in zip(reps, entries, strict=True):
-        yield pa.RecordBatch.from_arrays([r, least.take(pa.array(e))], names=["rep", "grp"])
+                least[e] = min(least[e], rep)
+            reps.append(rep)
+            entries.append(e)
+    if reps:
+        yield named()
+
+
+def buckets(rows: DataFrame, bucket_bytes: int = BUCKET_BYTES, max_fan: int = MAX_FAN):
+    """``rows`` (rep, hash, weight, text) level by level with ``bucket``, the path of a bucket that needs no division.
+
+    Yields ``(rows, tasks)``: with at most ``max_fan`` buckets there is a task for each, else ``max_fan`` tasks.
+    A level's divided buckets are a table of their own (path and number of children).
+    """
+    total = rows.agg(F.sum("weight")).first()[0] or 0
+
+    def children(weight: Column) -> Column:
+        return F.least(F.lit(max_fan), F.greatest(F.lit(1), F.ceil(2 * weight / bucket_bytes))).cast("int")
+    left = rows.withColumn("bucket", F.lit("")).withColumn("fan", children(F.lit(total)))
+    tasks = min(max_fan, max(1, -(-2 * total // bucket_bytes)))
+    for level in range(MAX_LEVELS):
+        child = F.pmod(F.xxhash64("hash", F.lit(level)), F.col("fan"))
+        dealt = left.withColumn("bucket", F.concat(F.col("bucket"), F.lit("/"), child.cast("string"))).drop("fan")
+        sizes = dealt.groupBy("bucket").agg(F.sum("weight").alias("b"), F.min("hash").alias("lo"), F.max("hash").alias("hi"))
+        over, _ = checked_broadcast(sizes.filter((F.col("b") > bucket_bytes) & (F.col("lo") < F.col("hi")))
+                                    .select("bucket", children(F.col("b")).alias("fan"), "b"))
+        rest = over.agg(F.sum("b"), F.sum("fan")).first()
+        if not rest[0] or level == MAX_LEVELS - 1:
+            yield dealt, tasks
+            return
+        yield dealt.join(over.select("bucket"), "bucket", "left_anti"), tasks
+        left = dealt.join(over.select("bucket", "fan"), "bucket")
+        tasks = min(max_fan, int(rest[1]))
 
 
 def exact_groups(docs: DataFrame, combine_bytes: int = COMBINE_BYTES, bucket_bytes: int = BUCKET_BYTES,
@@ -132,27 +169,16 @@ def exact_groups(docs: DataFrame, combine_bytes: int = COMBINE_BYTES, bucket_byt
     rows = docs_of(docs).select("doc_id", "text", content_hash(F.col("text")).alias("hash"),
                                 F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     stored = materialize(arrow_map(rows, _combine(combine_bytes),
-                                   "doc_id long, rep long, hash long, sha string, text string"), "grace")
-    # A row of step 2 is a text with its weight in a table.
-    weight = F.octet_length("text") + F.lit(ENTRY_BYTES)
-    pending = stored.filter(F.col("text").isNotNull()).select("rep", "hash", "text")
+                                   "doc_id long, rep long, hash long, sha string, weight long, text string"),
+                         "grace")
+    rows = stored.filter(F.col("text").isNotNull()).select("rep", "hash", "weight", "text")
     found = None
-    for level in range(MAX_LEVELS):
-        total = pending.agg(F.sum(weight)).first()[0] or 0
-        fan = min(max_fan, max(1, -(-2 * total // bucket_bytes)))
-        bucket = F.pmod(F.xxhash64("hash", F.lit(level)), F.lit(fan)).cast("int")
-        dealt = pending.withColumn("bucket", bucket)
-        # At most max_fan rows.
-        over = [r["bucket"] for r in dealt.groupBy("bucket").agg(
-            F.sum(weight).alias("b"), F.min("hash").alias("lo"), F.max("hash").alias("hi"))
-            .filter((F.col("b") > bucket_bytes) & (F.col("lo") < F.col("hi"))).select("bucket").collect()]
-        last = not over or level == MAX_LEVELS - 1
-        ready = dealt if last else dealt.filter(~F.col("bucket").isin(over))
-        part = arrow_map(ready.repartitionById(fan, F.col("bucket")).drop("bucket"), _match, "rep long, grp long")
+    for level, tasks in buckets(rows, bucket_bytes, max_fan):
+        # On the first level a task is a bucket; deeper, a task has several and sorts them.
+        place = F.substring("bucket", 2, 20).cast("int") if found is None else F.pmod(F.xxhash64("bucket"), F.lit(tasks)).cast("int")
+        dealt = level.select("rep", "hash", "text", "bucket").repartitionById(tasks, place)
+        part = arrow_map(dealt if found is None else dealt.sortWithinPartitions("bucket"), _match, "rep long, grp long")
         found = part if found is None else found.unionByName(part)
-        if last:
-            break
-        pending = dealt.filter(F.col("bucket").isin(over)).drop("bucket")
     found = materialize(found, "grace-groups")
     totals = stored.groupBy("rep").agg(F.max("doc_id").alias("max_id"), F.count(F.lit(1)).alias("n"))
     groups = (totals.join(found, "rep").groupBy("grp")

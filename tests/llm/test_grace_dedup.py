@@ -36,6 +36,25 @@ def test_recursion_and_weak_hashes_change_nothing(spark):
     assert rows(tight) == expected(list(range(500)), texts)
 
 
+def test_every_bucket_gets_under_the_bound(spark):
+    """A level divides inside its parents: 2,000 texts of 1.1 KB, at most 4 children a bucket, 20 KB a bucket."""
+    texts = [f"{i:05d} " + "x" * 1100 for i in range(2000)] + ["hot " * 20_000] * 3
+    rows_ = documents(spark, texts).select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("hash"),
+                                           (F.octet_length("text") + 64).cast("long").alias("weight"), "text")
+    seen, levels = [], 0
+    for level, tasks in grace_dedup.buckets(rows_, bucket_bytes=20_000, max_fan=4):
+        assert tasks <= 4
+        levels += 1
+        seen += level.groupBy("bucket").agg(F.sum("weight").alias("b"), F.countDistinct("hash").alias("texts"),
+                                            F.collect_list("rep").alias("reps")).collect()
+    assert levels > 3
+    assert max(r.b for r in seen if r.texts > 1) <= 20_000
+    assert sorted(x for r in seen for x in r.reps) == list(range(len(texts)))  # each row in one bucket
+    assert [r.b for r in seen if set(r.reps) & {2000, 2001, 2002}] == [3 * 80_064]  # copies of one text: one entry
+    got = grace_dedup.exact_groups(documents(spark, texts), bucket_bytes=20_000, max_fan=4)
+    assert rows(got) == expected(list(range(len(texts))), texts)
+
+
 def test_equal_hashes_are_told_apart_by_content(spark):
     texts = ["a", "b", "a", "c", ""]
     same = grace_dedup.exact_groups(documents(spark, texts), content_hash=lambda c: F.lit(1).cast("long"))
