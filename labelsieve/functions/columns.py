@@ -42,6 +42,23 @@ def in_band(col, low: float, high: float) -> Column:
     return _c(col).between(F.lit(float(low)), F.lit(float(high)))
 
 
+def top_two_gap(scores) -> Column:
+    """Highest minus second highest of an array of class scores, in one pass over it.
+
+    Null and NaN scores are left out; an array of one score has nothing to be
+    confused with, so its gap is the score; one without any score has no gap.
+    """
+    low = F.lit(float("-inf"))
+    sound = F.filter(_c(scores), lambda x: x.isNotNull() & ~F.isnan(x))
+    top = F.aggregate(
+        sound, F.struct(low.alias("first"), low.alias("second")), lambda acc, x: F.struct(
+            F.greatest(acc["first"], x).alias("first"),
+            F.greatest(acc["second"], F.least(acc["first"], x)).alias("second")),
+        lambda acc: F.struct(acc["first"].alias("first"), (acc["first"] - acc["second"]).alias("gap")))
+    n = F.size(sound)
+    return F.when(n == 1, top["first"]).when(n > 1, top["gap"])
+
+
 def hash_order_key(seed: int, salt: str, key="frame_id") -> Column:
     """Repeatable pseudo-random order key: md5 of ``seed:salt:key``.
 

@@ -64,17 +64,25 @@ def class_distribution(selected_boxes: DataFrame, corpus_boxes: DataFrame,
                        group: str = "arm", groups=ARMS) -> DataFrame:
     """S3: class shares of each selection vs the corpus, and their ratio.
 
-    A class of the corpus that a selection lacks is reported with 0.  Both
-    sides are first reduced to one row per class (partial aggregates); the
-    share denominators are windows over those few rows.
+    A row per class of the corpus for every group that occurs and for the given
+    ``groups``; a class that a selection lacks is reported with 0, and a group
+    without any box has null shares.  Both sides are first reduced to one row per
+    class (partial aggregates); the share denominators are windows over those few rows.
     """
     corpus = corpus_boxes.groupBy("class_id").agg(F.count(F.lit(1)).alias("corpus_n"))
-    corpus = corpus.withColumn("corpus_share", F.col("corpus_n") / F.sum("corpus_n").over(Window.partitionBy()))
+    total = F.sum("corpus_n").over(Window.partitionBy())
+    corpus = corpus.withColumn("corpus_share", F.try_divide("corpus_n", total))
     sel = selected_boxes.groupBy(group, "class_id").agg(F.count(F.lit(1)).alias("selected_n"))
-    # Every one of the given groups with every class of the corpus.
-    grid = corpus.withColumn(group, F.explode(F.array(*[F.lit(g) for g in groups])))
-    j = grid.join(sel, [group, "class_id"], "left").withColumn("selected_n", F.coalesce("selected_n", F.lit(0)))
-    j = j.withColumn("selected_share",
-                     F.col("selected_n") / F.sum("selected_n").over(Window.partitionBy(group)))
+    kind = selected_boxes.schema[group].dataType
+    given = selected_boxes.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(g).cast(kind) for g in groups]).cast(f"array<{kind.simpleString()}>")).alias(group))
+    every = sel.select(group).unionByName(given).distinct().withColumn("__j", F.lit(1))
+    # A row per class with a row per group: both are few.
+    grid = corpus.withColumn("__j", F.lit(1)).join(F.broadcast(every), "__j").drop("__j")
+    sel = sel.select(F.col(group).alias("__g"), F.col("class_id").alias("__c"), "selected_n")
+    j = grid.join(sel, grid[group].eqNullSafe(sel["__g"]) & grid["class_id"].eqNullSafe(sel["__c"]), "left")
+    j = j.withColumn("selected_n", F.coalesce("selected_n", F.lit(0)))
+    own = F.sum("selected_n").over(Window.partitionBy(group))
+    j = j.withColumn("selected_share", F.try_divide("selected_n", own))
     return j.select(group, "class_id", "selected_n", "corpus_n", "selected_share", "corpus_share",
-                    (F.col("selected_share") / F.col("corpus_share")).alias("share_ratio"))
+                    F.try_divide("selected_share", "corpus_share").alias("share_ratio"))

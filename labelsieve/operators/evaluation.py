@@ -21,11 +21,14 @@ Scale notes:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import class_name, exact_sum, iou
 from ..params import IOU_THRESHOLDS
+from ..session import materialize
 from .positions import running
 
 _EPS = 1e-9
@@ -99,9 +102,54 @@ def detection_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS,
                       *[F.coalesce(F.col(n), F.lit(0)).alias(f"tp_{i}") for i, n in enumerate(names)])
 
 
-def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=()) -> DataFrame:
+def greedy_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=()) -> DataFrame:
+    """C8, COCO's greedy assignment, with the columns of ``detection_matches``.
+
+    At each threshold the detections of an image and class choose in the order of
+    confidence (ties: lower ``det_id``); each takes the free box it overlaps most
+    (ties: lower ``gt_id``) among those it overlaps enough, so one that loses its best box
+    falls back to its next.
+
+    No image is walked through in one task.  A round matches every detection with its best
+    free box wherever that box has no more confident suitor left; nobody who chooses
+    before it can want the box, so the sequential walk makes the same match.  Both sides go,
+    and the pairs that are left propose again.  Each round settles at least the most
+    confident detection of every image and class; pairs shrink quickly (rounds: the
+    longest chain of detections that each wait for the one before).
+    """
+    pairs = candidate_pairs(det, gt, min(thresholds), keys)
+    own = [*keys, "image_id", "class_id"]
+    reached = F.array_compact(F.array(*[F.when(F.col("iou") >= F.lit(float(t)), F.lit(i)) for i, t in enumerate(thresholds)]))
+    left = pairs.select(*own, "det_id", "confidence", "gt_id", "iou", F.explode(reached).alias("ti"))
+    own_t = [*own, "ti"]
+    wins = []
+    while True:
+        left = materialize(left, "proposals")
+        if left.isEmpty():
+            break
+        best = left.groupBy(*own_t, "det_id").agg(
+            F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "gt_id")).alias("b")).select(*own_t, "det_id", "b.gt_id")
+        suitor = left.groupBy(*own_t, "gt_id").agg(
+            F.min(F.struct((-F.col("confidence")).alias("__nc"), "det_id")).alias("s")).select(*own_t, "gt_id", "s.det_id")
+        won = materialize(best.join(suitor, [*own_t, "gt_id", "det_id"]), "matches")
+        wins.append(won)
+        left = (left.join(won.select(*own_t, "det_id"), [*own_t, "det_id"], "left_anti")
+                .join(won.select(*own_t, "gt_id"), [*own_t, "gt_id"], "left_anti"))
+    names = [f"tp_{i}" for i in range(len(thresholds))]
+    out = det.select(*own, "det_id", "confidence")
+    if not wins:
+        return out.select("*", *[F.lit(0).alias(n) for n in names])
+    won = reduce(DataFrame.unionByName, wins)
+    flags = won.groupBy(*own, "det_id").agg(*[F.max((F.col("ti") == i).cast("int")).alias(n) for i, n in enumerate(names)])
+    return out.join(flags, [*own, "det_id"], "left").select(
+        *own, "det_id", "confidence", *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
+
+
+def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=(), matching=detection_matches) -> DataFrame:
     """AP per (keys, class, threshold) for classes with ground truth.
 
+    ``matching`` is ``detection_matches`` or ``greedy_matches``.
+
     101-point interpolation needs only the best precision among the true
     positives of each recall bucket ``floor(100 * tp / n_gt)``: a maximum summed
     up before the shuffle, then at most 101 rows per class and threshold.
@@ -111,7 +159,7 @@ def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, ke
     if not any(abs(t - 0.5) < 1e-9 for t in thresholds):
         raise ValueError("the thresholds must hold 0.5")
     k = len(thresholds)
-    flags = detection_matches(det, gt, thresholds, keys).withColumn("__one", F.lit(1))
+    flags = matching(det, gt, thresholds, keys).withColumn("__one", F.lit(1))
     order = [F.col("confidence").desc(), F.col("image_id").asc(), F.col("det_id").asc()]
     ranked = running(flags, [*keys, "class_id"], order,
                      sums={"rank": "__one", **{f"ctp_{i}": f"tp_{i}" for i in range(k)}})

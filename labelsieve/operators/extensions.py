@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import exact_sum, hash_order_key, hash_rank, video_key
 from ..params import SEED, Params
 from ..session import checked_broadcast, materialize
+from .clustering import kmeans
 from .ingest import cut_points
 from .mining import capped
 from .positions import first_rows, running
@@ -136,7 +137,7 @@ def cluster_diverse(items: DataFrame, budget: int, cap: int, group_col: str = "l
     Centres are plain averages per cluster and component (a partial aggregate
     over exploded components, one row per cluster and component), so the result is
     repeatable on any partitioning; ``kmeans_groups`` makes labels where there are
-    none; items without a label are a cluster of their own.  Picks the items farthest from their centre, at most ``cap`` per cluster.
+    none, repeatably too; items without a label are a cluster of their own.  Picks the items farthest from their centre, at most ``cap`` per cluster.
     """
     rows = items.select(F.col(id_col).alias("item_id"), F.col(vec_col).cast("array<double>").alias("emb"),
                         F.col(group_col).cast("string").alias("cluster"))
@@ -156,14 +157,11 @@ def cluster_diverse(items: DataFrame, budget: int, cap: int, group_col: str = "l
 
 
 def kmeans_groups(items: DataFrame, k: int = 8, seed: int = SEED, vec_col: str = "embedding",
-                  out: str = "label") -> DataFrame:
-    """Cluster labels by KMeans (iterative; depends on the partitioning through its start)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    data = items.drop(out).withColumn("__f", array_to_vector(F.col(vec_col)))
-    model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol=out).fit(data)
-    return model.transform(data).drop("__f")
+                  out: str = "label", id_col: str = "vec_id", rounds: int = 5) -> DataFrame:
+    """``items`` with a cluster number in ``out`` (null where the vector takes no part), for ``cluster_diverse``."""
+    groups = kmeans(items, k, rounds, seed, id_col, vec_col).select(F.col("item_id").alias("__id"), F.col("cluster").alias(out))
+    groups = groups.dropDuplicates(["__id"])
+    return items.drop(out).join(groups, F.col(id_col) == F.col("__id"), "left").drop("__id")
 
 
 __all__ = ["ABLATION", "signal_ablation", "seed_spread", "budget_curve", "scene_split",

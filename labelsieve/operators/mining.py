@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_order_key, hash_rank, in_band, video_key
+from ..functions.columns import exact_sum, hash_order_key, hash_rank, in_band, top_two_gap, video_key
 from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED
 from ..session import checked_broadcast, materialize
 from .positions import average_ranks, first_rows, median
@@ -51,6 +51,19 @@ def rare_mass(per_class: DataFrame, frame_col: str, class_col: str) -> DataFrame
     )
 
 
+def frame_margins(pred: DataFrame, frame_col: str = "frame_id", scores_col: str = "class_scores") -> DataFrame:
+    """``(frame_id, n_margins, margin)``, the mean top-two gap of a frame's detections.
+
+    A detection without class scores has no gap and does not count; a frame
+    without any gap has a null margin (sentinel-only frames and older shards).
+    Small margins mean confusion between classes.  The mean is a sum of whole
+    multiples of 2**-40, so it does not depend on the order of the rows.
+    """
+    gaps = pred.select(frame_col, top_two_gap(scores_col).alias("__gap"))
+    return gaps.groupBy(frame_col).agg(
+        F.count("__gap").alias("n_margins"), F.try_divide(exact_sum("__gap"), F.count("__gap")).alias("margin"))
+
+
 def percentile_norm(df: DataFrame, columns: list[str], suffix: str = "_norm") -> DataFrame:
     """``average rank / N`` for each column (range (0, 1], ties averaged)."""
     return average_ranks(df, columns, suffix=suffix, normalise=True)
@@ -72,13 +85,23 @@ def combine(df: DataFrame, weights: dict[str, float], out: str = "combined",
 def frame_scores(pred: DataFrame, weights: dict[str, float] | None = None,
                  low: float = AMBIGUOUS_LOW, high: float = AMBIGUOUS_HIGH,
                  frame_col: str = "frame_id") -> DataFrame:
-    """The score table ``(frame_id, uncertainty, rare_class, *_norm, combined)``."""
+    """The score table ``(frame_id, <signal>..., <signal>_norm..., combined)``.
+
+    ``weights`` names the signals: ``uncertainty`` and ``rare_class`` (both, equally,
+    by default), and ``confusion`` (S7), one minus the frame's margin; a frame without a
+    margin ranks below all others in it.
+    """
     weights = weights or {"uncertainty": 1.0, "rare_class": 1.0}
-    signals = materialize(frame_signals(pred, frame_col=frame_col, low=low, high=high))
-    normed = percentile_norm(signals, ["uncertainty", "rare_class"])
-    scored = combine(normed, weights)
-    return scored.select(frame_col, "uncertainty", "rare_class",
-                         "uncertainty_norm", "rare_class_norm", "combined")
+    unknown = set(weights) - {"uncertainty", "rare_class", "confusion"}
+    if unknown:
+        raise ValueError(f"unknown signals: {sorted(unknown)}")
+    signals = frame_signals(pred, frame_col=frame_col, low=low, high=high)
+    if "confusion" in weights:
+        margins = frame_margins(pred, frame_col).select(frame_col, (F.lit(1.0) - F.col("margin")).alias("confusion"))
+        signals = signals.join(margins, frame_col, "left")
+    names = [n for n in ("uncertainty", "rare_class", "confusion") if n in signals.columns]
+    scored = combine(percentile_norm(materialize(signals), names), weights)
+    return scored.select(frame_col, *names, *[n + "_norm" for n in names], "combined")
 
 
 def score_summary(scores: DataFrame, score_col: str = "combined") -> DataFrame:
@@ -141,6 +164,6 @@ def selections(scores: DataFrame, budget: int, cap: int, seed: int = SEED) -> Da
 
 
 __all__ = [
-    "class_counts", "frame_signals", "percentile_norm", "combine", "frame_scores",
+    "class_counts", "frame_signals", "frame_margins", "percentile_norm", "combine", "frame_scores",
     "score_summary", "select_capped", "random_capped", "selections",
 ]

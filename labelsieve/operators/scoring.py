@@ -13,15 +13,15 @@ import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import SENTINEL_CLASS
 from ..schemas import PREDICTION
 from ..session import checked_broadcast, scratch_path, ship_package
 
-# A model factory returns ``predict(paths) -> list of detections per path``,
-# each detection ``(class_id, confidence, x_center, y_center, width, height)``.
+# A model factory returns ``predict(paths) -> list of detections per path``, each detection
+# ``(class_id, confidence, x_center, y_center, width, height[, class_scores])``.
 Predict = Callable[[list[str]], list[list[tuple]]]
 ModelFactory = Callable[[], Predict]
 
@@ -58,14 +58,19 @@ def _score_batches(model_factory: ModelFactory, batch: int, conf_threshold: floa
                 for fid, sid, dets in zip(chunk["frame_id"], chunk["shard_id"], results):
                     kept = [d for d in dets if float(d[1]) >= conf_threshold]  # H2
                     if not kept:  # H3: keep a row so the frame counts as processed
-                        rows.append((fid, SENTINEL_CLASS, 0.0, 0.0, 0.0, 0.0, 0.0, sid))
+                        rows.append((fid, SENTINEL_CLASS, 0.0, 0.0, 0.0, 0.0, 0.0, None, sid))
                     for d in kept:  # H4: k boxes -> k rows
-                        rows.append((fid, int(d[0]), float(d[1]), float(d[2]), float(d[3]),
-                                     float(d[4]), float(d[5]), sid))
-            yield pd.DataFrame(rows, columns=["frame_id", *_DET_COLS, "shard_id"])
+                        rows.append((fid, int(d[0]), *[float(x) for x in d[1:6]], _scores(d), sid))
+            yield pd.DataFrame(rows, columns=["frame_id", *_DET_COLS, "class_scores", "shard_id"])
     return run
 
 
+def _scores(detection: tuple) -> list[float] | None:
+    """The class scores of a detection, if the model gives any."""
+    given = detection[6] if len(detection) > 6 else None
+    return None if given is None else [None if x is None else float(x) for x in given]
+
+
 def score_frames(frames: DataFrame, model_factory: ModelFactory, batch: int = 16,
                  conf_threshold: float = 0.25, path_col: str = "path", tasks: int | None = None) -> DataFrame:
     """H1-H4: run the model over ``(frame_id, shard_id, path)`` rows.
@@ -99,12 +104,31 @@ def with_sentinels(manifest: DataFrame, detections: DataFrame) -> DataFrame:
 
 
 def manifest_fingerprint(manifest: DataFrame) -> DataFrame:
-    """Fingerprint of a manifest: row count and sum of hashes of (frame, position)."""
-    return manifest.agg(F.count(F.lit(1)).alias("n_frames"),
-                        F.sum(F.xxhash64("frame_id", "pos") % F.lit(1 << 31)).alias("id_hash"))
+    """Fingerprint of a manifest: row count and two sums of 64-bit hashes of (frame, position)."""
+    def total(*seed) -> Column:
+        return F.sum(F.xxhash64("frame_id", "pos", *seed).cast("decimal(38,0)")).cast("string")
+    return manifest.agg(F.count(F.lit(1)).alias("n_frames"), F.concat_ws(":", total(), total(F.lit(1))).alias("id_hash"))
+
 
+META = "n_frames long, id_hash string, shard_size long, conf_threshold double"
 
-META = "n_frames long, id_hash long, shard_size long, conf_threshold double"
+
+def open_run(spark: SparkSession, manifest: DataFrame, out_dir: str, shard_size: int, conf_threshold: float) -> None:
+    """Note what the predictions in ``out_dir`` are made for, or refuse to go on with others.
+
+    With another manifest, positions, shard size or confidence floor, shard numbers or contents
+    would silently change meaning.
+    """
+    meta_dir = os.path.join(out_dir, "meta")
+    fp = manifest_fingerprint(manifest).first()
+    meta = {"n_frames": fp["n_frames"], "id_hash": fp["id_hash"], "shard_size": shard_size,
+            "conf_threshold": float(conf_threshold)}
+    if path_exists(spark, meta_dir):
+        old = spark.read.parquet(meta_dir).first().asDict()
+        if old != meta:
+            raise ValueError(f"predictions in {out_dir} were made for another manifest/shard size: {old}")
+    else:
+        spark.createDataFrame([meta], META).coalesce(1).write.mode("overwrite").parquet(meta_dir)
 
 
 def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: ModelFactory,
@@ -120,22 +144,13 @@ def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: Mode
     Returns counters (D9).
     """
     from ..functions.columns import image_path
-    meta_dir = os.path.join(out_dir, "meta")
     done_dir = os.path.join(out_dir, "shards_done")
     pred_dir = os.path.join(out_dir, "predictions")
-    fp = manifest_fingerprint(manifest).first()
-    meta = {"n_frames": fp["n_frames"], "id_hash": fp["id_hash"], "shard_size": shard_size,
-            "conf_threshold": float(conf_threshold)}
+    open_run(spark, manifest, out_dir, shard_size, conf_threshold)
     if shards_per_wave is None:
         # Several tasks a core.
         frames_per_wave = 4 * spark.sparkContext.defaultParallelism * FRAMES_PER_TASK
         shards_per_wave = max(1, frames_per_wave // shard_size)
-    if _exists(spark, meta_dir):
-        old = spark.read.parquet(meta_dir).first().asDict()
-        if old != meta:
-            raise ValueError(f"predictions in {out_dir} were made for another manifest/shard size: {old}")
-    else:
-        spark.createDataFrame([meta], META).coalesce(1).write.mode("overwrite").parquet(meta_dir)
     frames = manifest
     if "path" not in manifest.columns:
         if image_dir is None:
@@ -143,29 +158,28 @@ def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: Mode
         frames = manifest.withColumn("path", image_path(image_dir, "frame_id"))
     assigned = assign_shards(frames, shard_size).withColumn(
         "wave", F.floor(F.col("shard_id") / F.lit(shards_per_wave)).cast("long"))
-    done = (spark.read.parquet(done_dir) if _exists(spark, done_dir)
+    done = (spark.read.parquet(done_dir) if path_exists(spark, done_dir)
             else spark.createDataFrame([], "shard_id long"))
     pending = pending_shards(assigned, done)
-    waves = pending.agg(F.min("wave").alias("lo"), F.max("wave").alias("hi"),
-                        F.countDistinct("shard_id").alias("n")).first()
+    # A row per wave: gaps that an earlier run left open cost no job.
+    waves = pending.groupBy("wave").agg(F.countDistinct("shard_id").alias("n")).orderBy("wave").collect()
     n_total = assigned.agg(F.countDistinct("shard_id")).first()[0]
-    processed = 0
-    if waves["n"]:
+    if waves:
         todo = scratch_path(spark, "waves")
         pending.select("frame_id", "shard_id", "path", "wave").write.partitionBy("wave").parquet(todo)
         tasks = scoring_tasks(spark, shards_per_wave * shard_size)
-        for w in range(waves["lo"], waves["hi"] + 1):
-            wave = spark.read.parquet(todo).filter(F.col("wave") == w).drop("wave")
+        for w in waves:
+            wave = spark.read.parquet(todo).filter(F.col("wave") == w["wave"]).drop("wave")
             scored = score_frames(wave, model_factory, batch, conf_threshold, tasks=tasks).repartition("shard_id")
             (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("shard_id").parquet(pred_dir))
             wave.select("shard_id").distinct().write.mode("append").parquet(done_dir)
-        processed = waves["n"]
+    processed = sum(w["n"] for w in waves)  # a wave holds whole shards
     return {"shards_total": n_total, "shards_processed": processed,
             "shards_skipped": n_total - processed}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at ``path``; a store that cannot be reached raises."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

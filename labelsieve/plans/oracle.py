@@ -97,9 +97,54 @@ def with_(*ctes: str) -> str:
     return "with " + ",".join(ctes) + "\n"
 
 
+def with_recursive(*ctes: str) -> str:
+    return "with recursive " + ",".join(ctes) + "\n"
+
+
 SCORED = with_(PREDICTIONS_V, CLASS_COUNTS, SIGNALS, SCORES)
 
 
+SCORED_PREDICTIONS_V = f"""
+scored_predictions_v as (
+  select {FRAME_KEY} as frame_id, case when l_orderkey is null then -1 else cast(p_size % 13 as int) end as class_id,
+         case when l_orderkey is null then 0e0 else conf end as confidence,
+         case when l_orderkey is null or l_suppkey % 9 = 0 then null when l_partkey % 8 = 0 then [conf]
+              else list_transform(range(13), lambda c: case when c = p_size % 13 then conf
+                   else conf * (((l_partkey * 7 + l_suppkey * 3 + c * 11) % 21) / 20e0) end) end as class_scores
+  from orders left join (select *, 0.25e0 + 0.015e0 * (l_quantity - 1) as conf
+                         from lineitem join part on l_partkey = p_partkey) on o_orderkey = l_orderkey
+)"""
+
+MARGINS = """
+gaps as (
+  select frame_id, case len(class_scores) when 1 then class_scores[1]
+                   else list_reverse_sort(class_scores)[1] - list_reverse_sort(class_scores)[2] end as gap
+  from scored_predictions_v
+),
+margins as (
+  select frame_id, count(gap) as n_margins,
+         case when count(gap) > 0
+              then cast(sum(cast(round(gap * 1099511627776e0) as hugeint)) as double) / 1099511627776e0 / count(gap) end as margin
+  from gaps group by frame_id
+)"""
+
+MARGIN_SCORED = with_(SCORED_PREDICTIONS_V, "predictions_v as (select * from scored_predictions_v)", CLASS_COUNTS, SIGNALS,
+                      MARGINS) + """,
+three as (select s.frame_id, uncertainty, rare_class, 1e0 - margin as confusion
+          from signals s join margins m on s.frame_id = m.frame_id),
+normed as (
+  select *,
+         ((rank() over (order by uncertainty) - 1) + (count(*) over (partition by uncertainty) + 1) / 2e0)
+           / count(*) over () as uncertainty_norm,
+         ((rank() over (order by rare_class) - 1) + (count(*) over (partition by rare_class) + 1) / 2e0)
+           / count(*) over () as rare_class_norm,
+         ((rank() over (order by confusion nulls first) - 1) + (count(*) over (partition by confusion) + 1) / 2e0)
+           / count(*) over () as confusion_norm
+  from three
+),
+scored as (select *, 0.5e0 * uncertainty_norm + 0.25e0 * rare_class_norm + 0.25e0 * confusion_norm as combined from normed)"""
+
+
 def selected(budget: int, cap: int, arm: str = "mined", seed: int = SEED) -> str:
     """Capped top-``budget`` selection over ``scored`` (mined) or md5 order (random)."""
     if arm == "mined":
@@ -206,9 +251,61 @@ _IOU = """greatest(0e0, least(d.x_center + d.width / 2e0, g.x_center + g.width /
                - greatest(d.y_center - d.height / 2e0, g.y_center - g.height / 2e0))"""
 
 
-def detection_ap(det: str, prefix: str) -> str:
+CROWDED_GROUND_TRUTH_V = """
+ground_truth_v as (
+  select l_suppkey as image_id, cast(p_size % 13 as int) as class_id,
+         cast(row_number() over (partition by l_suppkey, cast(p_size % 13 as int)
+           order by l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) as bigint) as gt_id,
+         (l_partkey % 40) / 50e0 + 0.05e0 as x_center, (l_suppkey % 40) / 50e0 + 0.05e0 as y_center,
+         0.1e0 + l_quantity / 500e0 as width, 0.1e0 + l_quantity / 500e0 as height
+  from lineitem join part on l_partkey = p_partkey
+  where l_partkey % 10 <> 0
+)"""
+
+
+def crowded_detections_v(name: str) -> str:
+    return (detections_v(name, 11).replace("select l_orderkey as image_id", "select l_suppkey as image_id")
+            .replace("where l_suppkey % 11", "where l_orderkey % 11"))
+
+
+def _greedy(p: str) -> str:
+    """Detections one after the other, each with the list of boxes taken before it."""
+    return f"""
+{p}_cand as materialized (
+  select ti, image_id, class_id, det_id, list(gt_id order by iou desc, gt_id) as boxes,
+         row_number() over (partition by ti, image_id, class_id order by confidence desc, det_id) as rn
+  from {p}_pairs join {p}_thr on iou >= t group by ti, image_id, class_id, det_id, confidence
+),
+{p}_walk as (
+  select distinct ti, image_id, class_id, 0::bigint as rn, []::bigint[] as used, null::bigint as pick, null::varchar as det_id
+  from {p}_cand
+  union all
+  select ti, image_id, class_id, rn, case when pick is null then used else list_append(used, pick) end, pick, det_id
+  from (select c.*, w.used, list_filter(c.boxes, lambda b: not list_contains(w.used, b))[1] as pick
+        from {p}_walk w join {p}_cand c
+          on c.ti = w.ti and c.image_id = w.image_id and c.class_id = w.class_id and c.rn = w.rn + 1)
+),
+{p}_win as (select image_id, class_id, det_id, ti from {p}_walk where pick is not null),"""
+
+
+def _voc(p: str) -> str:
+    """Each detection claims its best box; the most confident claim wins."""
+    return f"""
+{p}_top as (
+  select * from {p}_pairs where iou >= 0.5e0
+  qualify row_number() over (partition by image_id, class_id, det_id order by iou desc, gt_id) = 1
+),
+{p}_claims as (select b.*, ti, t from {p}_top b join {p}_thr on b.iou >= t),
+{p}_win as (
+  select image_id, class_id, det_id, ti from {p}_claims
+  qualify row_number() over (partition by ti, image_id, class_id, gt_id order by confidence desc, det_id) = 1
+),"""
+
+
+def detection_ap(det: str, prefix: str, greedy: bool = False) -> str:
     """CTEs ``{prefix}_flags`` (per detection TP flags) and ``{prefix}_ap``
-    (class_id, t, ap) for detections in CTE ``det`` against ``ground_truth_v``."""
+    (class_id, t, ap) for detections in CTE ``det`` against ``ground_truth_v``.
+    ``greedy``: a detection that loses its best box takes its next free one (needs ``with recursive``)."""
     p = prefix
     flags = ", ".join(f"max(case when ti = {i} then 1 else 0 end) as tp_{i}" for i in range(10))
     return f"""
@@ -222,16 +319,7 @@ def detection_ap(det: str, prefix: str) -> str:
 {p}_pairs as (
   select *, case when area_sum - inter > 0 then inter / (area_sum - inter) else 0e0 end as iou from {p}_inter
 ),
-{p}_top as (
-  select * from {p}_pairs where iou >= 0.5e0
-  qualify row_number() over (partition by image_id, class_id, det_id order by iou desc, gt_id) = 1
-),
-{p}_thr as (select unnest(range(10)) as ti, unnest({THRESHOLDS_SQL}) as t),
-{p}_claims as (select b.*, ti, t from {p}_top b join {p}_thr on b.iou >= t),
-{p}_win as (
-  select image_id, class_id, det_id, ti from {p}_claims
-  qualify row_number() over (partition by ti, image_id, class_id, gt_id order by confidence desc, det_id) = 1
-),
+{p}_thr as (select unnest(range(10)) as ti, unnest({THRESHOLDS_SQL}) as t),{_greedy(p) if greedy else _voc(p)}
 {p}_flags as (
   select d.image_id, d.class_id, d.det_id, d.confidence, {flags}
   from {det} d left join {p}_win w on d.det_id = w.det_id and d.image_id = w.image_id and d.class_id = w.class_id
@@ -423,10 +511,49 @@ sp_picked as (
 )"""
 
 
-def cluster_diverse(budget: int, cap: int) -> str:
+def _square_distance(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(range(1, 1 + len({a})), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])), "
+            "lambda x, y: x + y)")
+
+
+def kmeans(k: int, rounds: int, seed: int = SEED) -> str:
+    """CTEs up to ``clusters`` (item_id, cluster, distance): farthest-first seeding, then ``rounds`` of Lloyd's algorithm."""
+    unit = _num(float(1 << 30))
+    parts = [f"""
+vecs as materialized (select vec_id as item_id, cast(embedding as double[]) as v from embeddings),
+seed_0 as materialized (select v from vecs order by md5(concat('{seed}:centre:', cast(item_id as varchar))), item_id limit 1),
+far_0 as materialized (select item_id, vecs.v, {_square_distance('vecs.v', 's.v')} as d from vecs, seed_0 s)"""]
+    for i in range(1, k):
+        parts.append(f"""
+seed_{i} as materialized (select v from far_{i - 1} where d > 0 order by d desc, item_id limit 1),
+far_{i} as materialized (select item_id, f.v, least(d, {_square_distance('f.v', 's.v')}) as d from far_{i - 1} f, seed_{i} s)""")
+    centres = " union all ".join(f"select {i} as c, v from seed_{i}" for i in range(k))
+    parts.append(f"\ncentre_0 as materialized ({centres})")
+    for r in range(rounds + 1):
+        parts.append(f"""
+near_{r} as materialized (
+  select item_id, x.v, c, {_square_distance('x.v', 'm.v')} as d from vecs x, centre_{r} m
+  qualify row_number() over (partition by item_id order by d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""
+mean_{r} as (
+  select c, list(m order by j) as v from (
+    select c, j, cast(sum(cast(round_even(x * {unit}, 0) as hugeint)) as double) / {unit} / count(*) as m
+    from (select c, generate_subscripts(v, 1) as j, unnest(v) as x from near_{r}) group by c, j) group by c),
+centre_{r + 1} as materialized (
+  select o.c, coalesce(m.v, o.v) as v from centre_{r} o left join mean_{r} m on o.c = m.c)""")
+    parts.append(f"\nclusters as (select item_id, cast(c as int) as cluster, sqrt(d) as distance from near_{rounds})")
+    return ",".join(parts)
+
+
+def cluster_diverse(budget: int, cap: int, labels: str = "") -> str:
+    """Farthest items of each cluster; ``labels``: CTEs with ``clusters`` to use in place of the table's own labels."""
+    source = ("select vec_id as item_id, cast(label as varchar) as cluster, cast(embedding as double[]) as e from embeddings"
+              if not labels else "select vec_id as item_id, cast(cluster as varchar) as cluster, cast(embedding as double[]) as e "
+              "from embeddings join clusters on vec_id = item_id")
     unit = _num(float(1 << 40))
     return f"""
-with v as (select vec_id as item_id, cast(label as varchar) as cluster, cast(embedding as double[]) as e from embeddings),
+with {labels + "," if labels else ""} v as ({source}),
 x as (select cluster, generate_subscripts(e, 1) as i, unnest(e) as x from v),
 m as (select cluster, i, cast(sum(cast(round(x * {unit}) as hugeint)) as double) / {unit} / count(*) as c
       from x group by cluster, i),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import arms, evaluation, extensions, ingest, mining, scoring
+from ..operators import arms, clustering, evaluation, extensions, ingest, mining, scoring
 from ..functions.columns import image_path
 from ..params import Params
 from ..sources import testdata as td
@@ -52,6 +52,28 @@ def q_frame_scores(spark, sf):
     return _scores(spark, sf)
 
 
+def _scored_predictions(spark, sf):
+    return materialize(td.scored_predictions_v(spark, sf), "scored_predictions")
+
+
+def q_margin(spark, sf):
+    """The mean gap between the two best class scores per frame."""
+    return mining.frame_margins(td.scored_predictions_v(spark, sf))
+
+
+MARGIN_WEIGHTS = {"uncertainty": 2.0, "rare_class": 1.0, "confusion": 1.0}
+
+
+def q_margin_scores(spark, sf):
+    """J3 with the margin as a third signal."""
+    return mining.frame_scores(_scored_predictions(spark, sf), MARGIN_WEIGHTS)
+
+
+def q_margin_select(spark, sf):
+    """J4 over three signals."""
+    return mining.select_capped(q_margin_scores(spark, sf), BUDGET, CAP)
+
+
 def q_score_summary(spark, sf):
     return mining.score_summary(_scores(spark, sf))
 
@@ -121,7 +143,8 @@ def q_predictions_with_sentinels(spark, sf):
 
 def q_score_frames(spark, sf):
     frames = _unlabeled_shards(spark, sf).withColumn("path", image_path("/images/train", "frame_id"))
-    return scoring.score_frames(frames, td.toy_model_factory, batch=P.batch, conf_threshold=P.conf_threshold)
+    scored = scoring.score_frames(frames, td.toy_model_factory, batch=P.batch, conf_threshold=P.conf_threshold)
+    return scored.drop("class_scores")  # the toy model gives none
 
 
 # Two detectors of the fixture: the "mined" arm misses the boxes of every 11th
@@ -236,6 +259,39 @@ def q_cluster_diverse(spark, sf):
     return extensions.cluster_diverse(td.table(spark, sf, "embeddings"), CLUSTER_BUDGET, CLUSTER_CAP)
 
 
+KMEANS_K, KMEANS_ROUNDS = 6, 4
+
+
+def q_kmeans_clusters(spark, sf):
+    """S5 without given labels: repeatable k-means."""
+    return clustering.kmeans(td.table(spark, sf, "embeddings"), KMEANS_K, KMEANS_ROUNDS, P.seed)
+
+
+def q_kmeans_diverse(spark, sf):
+    """The selection over clusters that were found."""
+    items = extensions.kmeans_groups(td.table(spark, sf, "embeddings"), KMEANS_K, P.seed, out="found", rounds=KMEANS_ROUNDS)
+    return extensions.cluster_diverse(materialize(items, "clusters"), CLUSTER_BUDGET, CLUSTER_CAP, group_col="found")
+
+
+def q_greedy_matches(spark, sf):
+    """C8 with the greedy assignment, on crowded images."""
+    return evaluation.greedy_matches(_crowded_det(spark, sf), _crowded_gt(spark, sf))
+
+
+def q_greedy_ap(spark, sf):
+    """D11 with the greedy assignment, on crowded images."""
+    ap = evaluation.ap_by_threshold(_crowded_det(spark, sf), _crowded_gt(spark, sf), matching=evaluation.greedy_matches)
+    return evaluation.per_class_ap(ap, td.categories_df(spark))
+
+
+def _crowded_gt(spark, sf):
+    return materialize(td.crowded_ground_truth_v(spark, sf), "crowded_gt")
+
+
+def _crowded_det(spark, sf):
+    return materialize(td.crowded_detections_v(spark, sf), "crowded_det")
+
+
 def q_latest_labels(spark, sf):
     """Label boxes where some frames come twice, and some a third time without labels."""
     return ingest.label_boxes(td.repeated_annotations_v(spark, sf), td.categories_df(spark)) \
@@ -312,6 +368,13 @@ QUERIES: dict[str, Query] = {
     "label_text": q_label_text,
     "evaluate_test": q_evaluate_test,
     "document_reveal": q_document_reveal,
+    "margin": q_margin,
+    "margin_scores": q_margin_scores,
+    "margin_select": q_margin_select,
+    "kmeans_clusters": q_kmeans_clusters,
+    "kmeans_diverse": q_kmeans_diverse,
+    "greedy_matches": q_greedy_matches,
+    "greedy_ap": q_greedy_ap,
 }
 
 _SPLIT = O.split_manifest(P.seed_fraction, P.unlabeled_fraction, P.seed)
@@ -319,6 +382,8 @@ _UNL = O.unlabeled_shards(P.batch)
 _ARMS = O.arms_ctes(BUDGET, CAP, P.seed_fraction, P.unlabeled_fraction, P.seed)
 _EVAL = O.with_(O.categories_cte(), O.GROUND_TRUTH_V, O.detections_v("det_m", MINED_DROP),
                 O.detections_v("det_r", RANDOM_DROP), O.detection_ap("det_m", "m"), O.detection_ap("det_r", "r"))
+_CROWD = O.with_recursive(O.categories_cte(), O.CROWDED_GROUND_TRUTH_V, O.crowded_detections_v("det_g"),
+                          O.detection_ap("det_g", "g", greedy=True))
 
 ORACLE: dict[str, str] = {
     "class_counts": O.with_(O.PREDICTIONS_V, O.CLASS_COUNTS) + "select class_id, class_count from class_counts",
@@ -415,6 +480,13 @@ p as (select *, row_number() over (order by score desc, id) as pick from d where
 select cast(pick as bigint) as pick, p.doc_id, source, score, l.doc_id is not null as has_label,
        coalesce(quality, -1) as quality, coalesce(toxic, -1) as toxic
 from p left join labels l on p.doc_id = l.doc_id where pick <= {DOC_BUDGET}""",
+    "margin": O.with_(O.SCORED_PREDICTIONS_V, O.MARGINS) + "select frame_id, n_margins, margin from margins",
+    "margin_scores": O.MARGIN_SCORED + "select * from scored",
+    "kmeans_clusters": "with " + O.kmeans(KMEANS_K, KMEANS_ROUNDS, P.seed) + "\nselect * from clusters",
+    "kmeans_diverse": O.cluster_diverse(CLUSTER_BUDGET, CLUSTER_CAP, O.kmeans(KMEANS_K, KMEANS_ROUNDS, P.seed)),
+    "greedy_matches": _CROWD + "select * from g_flags",
+    "greedy_ap": _CROWD + "select * from g_per_class",
+    "margin_select": O.MARGIN_SCORED + "," + O.selected(BUDGET, CAP, "mined") + "select * from picked_mined",
 }
 
 

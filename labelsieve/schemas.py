@@ -50,7 +50,10 @@ DETECTION = T.StructType([
     T.StructField("height", T.DoubleType()),
 ])
 
-PREDICTION = T.StructType(DETECTION.fields + [T.StructField("shard_id", T.LongType())])
+# The score of every class for a detection, where the model gives them (S7); older shards have none.
+CLASS_SCORES = T.StructField("class_scores", T.ArrayType(T.DoubleType()))
+
+PREDICTION = T.StructType(DETECTION.fields + [CLASS_SCORES, T.StructField("shard_id", T.LongType())])
 
 SCORES = T.StructType([
     T.StructField("frame_id", T.StringType()),

@@ -14,20 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ANNOTATION, CATEGORY, MANIFEST, PREDICTION, SCORES, SELECTION
-
-
-# Room for the position inside one source; the source's rank stands above it.
-_POSITIONS = 1 << 40
+from .json_array import RANGE_BYTES, read_json_array
 
 
 def read_annotations(spark: SparkSession, paths: str | list[str], multiline: bool = True,
-                     sequence: str | None = None) -> DataFrame:
-    """A1: annotation records with ``seq`` = (rank of the source, position in it) as one number.
+                     sequence: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A1: annotation records with ``seq`` = (rank of the source, position in it), compared in that order.
 
     ``paths`` are sources in the order that counts: a record of a later source is
-    later than any of an earlier one, whatever their sizes.  A JSON array file
-    (``multiline``, one file per source) is read by one task, in order; convert it
-    once to Parquet (``ingest_stage`` does).  JSON Lines are split over tasks, so
+    later than any of an earlier one, whatever their sizes and positions.  A JSON array file
+    (``multiline``, one file per source) is read by a task per ``range_bytes``, and the
+    position is the record's byte offset.  JSON Lines are split over tasks by Spark, so
     their records must carry their own position in a column ``sequence``.
     """
     if not multiline and sequence is None:
@@ -35,11 +32,16 @@ def read_annotations(spark: SparkSession, paths: str | list[str], multiline: boo
     schema = ANNOTATION if sequence is None else T.StructType([*ANNOTATION.fields, T.StructField(sequence, T.LongType())])
     out = None
     for rank, path in enumerate([paths] if isinstance(paths, str) else paths):
-        df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
-        position = F.monotonically_increasing_id() if sequence is None else F.col(sequence)
-        df = df.withColumn("seq", F.lit(rank * _POSITIONS) + position)
+        if multiline:
+            df, position = read_json_array(spark, path, schema, range_bytes), F.col("position")
+        else:
+            df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        if sequence is not None:
+            position = F.col(sequence)
+        df = df.withColumn("seq", F.struct(F.lit(rank).alias("source"), position.alias("position")))
+        df = df.select(*ANNOTATION.fieldNames(), "seq")
         out = df if out is None else out.unionByName(df)
-    return out.select(*ANNOTATION.fieldNames(), "seq")
+    return out
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +64,8 @@ def read_predictions(spark: SparkSession, path: str, done: DataFrame | None = No
     """A5: prediction shards (the ``shard_id`` partition folders).
 
     With ``done`` (shard_id) only committed shards count: a crash may leave
-    folders of a wave that was never finished.
+    folders of a wave that was never finished.  Shards written before detections
+    carried ``class_scores`` are read with null there.
     """
     pred = spark.read.schema(PREDICTION).parquet(path)
     return pred if done is None else pred.join(done.select("shard_id").distinct(), "shard_id", "left_semi")

@@ -61,6 +61,32 @@ def predictions_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def class_scores_of(confidence: Column, class_id: Column, partkey: Column, suppkey: Column) -> Column:
+    """Scores of the 13 classes: the detection's own class first, the others a share of it that may reach it.
+
+    Some detections come from an older shard (no scores), some from a model of one class.
+    """
+    others = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda c: F.when(c == class_id, confidence).otherwise(
+        confidence * (((partkey * 7 + suppkey * 3 + c * 11) % 21) / F.lit(20.0))))
+    return F.when(suppkey % 9 == 0, F.lit(None)).when(partkey % 8 == 0, F.array(confidence)).otherwise(others)
+
+
+def scored_predictions_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predictions_v`` with ``class_scores`` (null for sentinel rows)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    lp = l.join(p, l.l_partkey == p.p_partkey)
+    j = o.join(lp, o.o_orderkey == lp.l_orderkey, "left")
+    miss = F.col("l_orderkey").isNull()
+    cls, conf = class_of(F.col("p_size")), confidence_of(F.col("l_quantity"))
+    return j.select(
+        frame_key(F.col("o_custkey"), F.col("o_orderkey")).alias("frame_id"),
+        F.when(miss, F.lit(-1)).otherwise(cls).alias("class_id"),
+        F.when(miss, F.lit(0.0)).otherwise(conf).alias("confidence"),
+        F.when(~miss, class_scores_of(conf, cls, F.col("l_partkey"), F.col("l_suppkey"))).alias("class_scores"))
+
+
 def _raw_box(quantity: Column, partkey: Column, suppkey: Column, jitter: bool = False) -> list[Column]:
     x = (partkey % 40) / F.lit(50.0) + F.lit(0.05)
     y = (suppkey % 40) / F.lit(50.0) + F.lit(0.05)
@@ -105,6 +131,32 @@ def detections_v(spark: SparkSession, sf_dir: str, drop_mod: int = 11) -> DataFr
                     x.alias("x_center"), y.alias("y_center"), wd.alias("width"), ht.alias("height"))
 
 
+def crowded_ground_truth_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ground_truth_v`` with a supplier as the image: some hundred boxes each, many of them overlapping."""
+    from pyspark.sql import Window
+    l = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    j = l.filter(F.col("l_partkey") % 10 != 0).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    cls = class_of(F.col("p_size"))
+    w = Window.partitionBy("l_suppkey", cls).orderBy(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    x, y, wd, ht = _raw_box(F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey"))
+    return j.select(F.col("l_suppkey").alias("image_id"), cls.alias("class_id"),
+                    F.row_number().over(w).cast("long").alias("gt_id"),
+                    x.alias("x_center"), y.alias("y_center"), wd.alias("width"), ht.alias("height"))
+
+
+def crowded_detections_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections on the suppliers' images: all line items but those of every 11th order."""
+    l = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    j = l.filter(F.col("l_orderkey") % 11 != 0).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    x, y, wd, ht = _raw_box(F.col("l_quantity"), F.col("l_partkey"), F.col("l_suppkey"), jitter=True)
+    return j.select(F.col("l_suppkey").alias("image_id"), class_of(F.col("p_size")).alias("class_id"),
+                    detection_id().alias("det_id"), confidence_of(F.col("l_quantity")).alias("confidence"),
+                    x.alias("x_center"), y.alias("y_center"), wd.alias("width"), ht.alias("height"))
+
+
 def categories_df(spark: SparkSession) -> DataFrame:
     """A2: the 13-row category dimension."""
     from ..params import CATEGORY_IDS
