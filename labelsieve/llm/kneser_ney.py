@@ -24,8 +24,9 @@ leaves p1; an unknown word gets the uniform share, so each context's probabiliti
 and the unknown word's add up to 1.
 
 The folder must be one that every worker can open (the folder of spark.checkpoint.dir on
-a mounted file system).  Defined results: a null or empty text has one token, its end;
-without training texts every probability is 1.
+a mounted file system).  An array that is missing, or shorter than when it was written, raises.
+Defined results: a null or empty text has one token, its end; rows that repeat count and are
+scored each; without training texts every probability is 1; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ END = np.uint64(0x5D8A1F3B9C27E641)
 FLUSH_TOKENS = 3_000_000
 MIN_SHARDS, MAX_SHARDS = 8, 1 << 14
 BLOCK = "shard int, a binary, b binary"
+# Arrays that a worker keeps mapped; each holds a file descriptor.
+MAX_MAPPED = 400
 _FILES: dict[str, np.ndarray] = {}
 
 
@@ -67,13 +70,26 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(temporary, os.path.join(folder, f"{name}.npy"))
 
 
-def mapped(folder: str, name: str) -> np.ndarray:
+def mapped(folder: str, name: str, size: int | None = None) -> np.ndarray:
+    """An array of the model.  ``size`` is the length it must have: a shard without rows needs no file.
+
+    A file that is missing or has another length raises, as its n-grams would count as
+    unseen.  The last ``MAX_MAPPED`` arrays stay mapped, so the number of open files is bounded.
+    """
+    if size == 0:
+        return np.empty(0, np.uint64)
     path = os.path.join(folder, f"{name}.npy")
-    if path not in _FILES:
-        if not os.path.exists(path):  # a shard without rows
-            return np.empty(0, np.uint64)
-        _FILES[path] = np.load(path, mmap_mode="r" if os.path.getsize(path) > 256 else None)
-    return _FILES[path]
+    array = _FILES.pop(path, None)
+    if array is None:
+        if not os.path.exists(path):
+            raise FileNotFoundError(f"the model lacks {path}")
+        while len(_FILES) >= MAX_MAPPED:
+            _FILES.pop(next(iter(_FILES)))  # the one not used for longest
+        array = np.load(path, mmap_mode="r" if os.path.getsize(path) > 256 else None)
+    if size is not None and len(array) != size:
+        raise ValueError(f"{path} has {len(array)} entries, not {size}")
+    _FILES[path] = array
+    return array
 
 
 def pack(array: np.ndarray, ascending: bool = False) -> bytes:
@@ -124,13 +140,18 @@ class Model:
     low_discounts: tuple[float, float, float]
     pairs: int  # distinct bigrams
     low_mass: float = 1.0  # what the discounts of p1 take
+    pair_sizes: tuple[int, ...] = ()  # distinct bigrams of each shard
+
+    def word_size(self, shard: int) -> int:
+        ends = (*self.bases[1:], self.vocabulary)
+        return ends[shard] - self.bases[shard]
 
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         """Id of each word hash, -1 if it was not seen in training."""
         distinct, back = np.unique(hashes, return_inverse=True)
         ids = np.full(len(distinct), -1, dtype=np.int64)
         for shard, s, e in ranges(distinct >> np.uint64(64 - self.bits)):
-            keys = mapped(self.folder, f"words-{shard}")
+            keys = mapped(self.folder, f"words-{shard}", self.word_size(shard))
             if not len(keys):
                 continue
             at = np.minimum(np.searchsorted(keys, distinct[s:e]), len(keys) - 1)
@@ -142,7 +163,7 @@ class Model:
         out = np.zeros(len(ids), dtype=np.float64)
         shard = np.searchsorted(np.asarray(self.bases), ids, side="right") - 1
         for k, s, e in ranges(shard):
-            out[s:e] = mapped(self.folder, f"counts-{k}")[ids[s:e] - self.bases[k]]
+            out[s:e] = mapped(self.folder, f"counts-{k}", self.word_size(k))[ids[s:e] - self.bases[k]]
         return out
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
@@ -151,19 +172,20 @@ class Model:
         order = np.argsort(shard, kind="stable")
         out = np.zeros(len(keys), dtype=np.float64)
         for k, s, e in ranges(shard[order]):
-            have, part = mapped(self.folder, f"pairs-{k}"), order[s:e]
+            size = self.pair_sizes[k] if self.pair_sizes else 0  # no text was counted
+            have, part = mapped(self.folder, f"pairs-{k}", size), order[s:e]
             if not len(have):
                 continue
             at = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
             hit = have[at] == keys[part]
-            out[part[hit]] = mapped(self.folder, f"paircounts-{k}")[at[hit]]
+            out[part[hit]] = mapped(self.folder, f"paircounts-{k}", size)[at[hit]]
         return out
 
     def dense(self, name: str, ids: np.ndarray) -> np.ndarray:
         """Values of a dense array at sorted ids."""
         out = np.zeros(len(ids), dtype=np.float64)
         for k, s, e in ranges(ids // self.id_shard):
-            out[s:e] = mapped(self.folder, f"{name}-{k}")[ids[s:e] - k * self.id_shard]
+            out[s:e] = mapped(self.folder, f"{name}-{k}", self.id_shard)[ids[s:e] - k * self.id_shard]
         return out
 
 
@@ -279,7 +301,7 @@ def _write_pairs(model: Model):
         of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1], pa.int32()), pa.array([np.append(of, len(keys)).astype(np.int64).tobytes()], pa.binary()),
-             pa.array([b""], pa.binary())], names=["shard", "a", "b"])
+             pa.array([np.int64(shard).tobytes()], pa.binary())], names=["shard", "a", "b"])
         if not len(keys):
             return
         one = np.ones(len(keys), np.int64)
@@ -357,8 +379,12 @@ def train(texts: DataFrame) -> Model:
     model = Model(folder, bits, bases, vocabulary, tokens, id_shard, (0.0,) * 3, (0.0,) * 3, 0)
     pairs = arrow_map(_all_shards(arrow_map(texts, _count_pairs(model), BLOCK), n), _write_pairs(model), BLOCK)
     pairs = materialize(pairs, "kn-pairs")
-    stats = np.sum([np.frombuffer(r["a"], np.int64) for r in pairs.filter("shard = -1").select("a").collect()], axis=0)
-    model = replace(model, discounts=discounts(*map(int, stats[:4])), pairs=int(stats[4]))
+    # One row per shard.
+    rows = [(np.frombuffer(r["b"], np.int64)[0], np.frombuffer(r["a"], np.int64)) for r in
+            pairs.filter("shard = -1").select("a", "b").collect()]
+    stats, by_shard = np.sum([r[1] for r in rows], axis=0), {int(r[0]): int(r[1][4]) for r in rows}
+    model = replace(model, discounts=discounts(*map(int, stats[:4])), pairs=int(stats[4]),
+                    pair_sizes=tuple(by_shard.get(i, 0) for i in range(n)))
     id_shards = -(-(vocabulary + 1) // id_shard)
     by_id = pairs.filter("shard >= 0").repartitionById(id_shards, F.expr("shard div 2").cast("int"))
     low = arrow_map(by_id, _write_ids(model), "t1 long, t2 long, t3 long, t4 long, types long")

@@ -14,11 +14,13 @@ For a row and a language l the posterior is proportional to
 
 All but the text model come from grouped aggregations over all rows, with the text's own
 posterior as a fractional count (in thousandths, so sums do not depend on order).
-Declared languages and suffixes are normalised to a letter code of two or three
-characters or ``other``, which bounds their tables; host tables are joined by a shuffle,
-the heavy hosts (1/1000 of all rows each) by broadcast.
+Declared languages and suffixes keep their whole value in lower case (``zh-hant``, ``xn--p1ai``); a declared
+language with a region is smoothed by the language alone.  Tables of values
+are broadcast after a look at their bytes, larger ones and those of hosts are joined by a
+shuffle, the heavy values (1/1000 of all rows each) by broadcast.
 
-Defined results: a null text, address or host is empty evidence; a row with no evidence
+Defined results: rows that repeat are rows of their own (each leaves its own share out of its host's count);
+a null text, address or host is empty evidence; a row with no evidence
 at all gets the language commonest in the table; without labelled texts the language
 is null.  Ties go to the language first in code point order.
 """
@@ -34,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
 from .common import LOWER_A, SLICE_BYTES, arrow_map, heavy_join, materialize, slices, string_buffers
 
 BUCKETS = 1 << 15
@@ -45,7 +48,7 @@ ALPHA = 5.0
 UNIT = 1000
 
 TAGS = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.IGNORECASE | re.DOTALL)
-DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})(?![A-Za-z])""", re.IGNORECASE)
+DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3}(?:[-_][A-Za-z0-9]{1,8})*)(?![A-Za-z])""", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
@@ -162,7 +165,7 @@ def _evidence(model: TextModel, markup: bool, n_keys: int):
             declared = [None] * b.num_rows
             if markup:
                 pages = [t.decode("utf-8", "replace") for t in col.cast(pa.binary()).to_pylist()]
-                declared = [m.group(1).lower() if (m := DECLARED.search(p)) else None for p in pages]
+                declared = [m.group(1).lower().replace("_", "-") if (m := DECLARED.search(p)) else None for p in pages]
                 col = pa.array([page_text(p) for p in pages], pa.string())
             weights = text_weights(*string_buffers(col), model)
             mass = np.rint(posterior(weights) * UNIT).astype(np.int64)
@@ -189,8 +192,10 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def _code(value: Column) -> Column:
-    return F.when(value.rlike("^[a-z]{2,3}$"), value).when(value.isNotNull(), F.lit("other"))
+def _value(value: Column) -> Column:
+    """A declared language or suffix in lower case; null without one."""
+    clean = F.lower(F.trim(value))
+    return F.when(clean != "", clean)
 
 
 def _total(name: str, n: int) -> list[Column]:
@@ -210,8 +215,8 @@ def fuse(evidence: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     domain = F.when(F.col("host").isNull(), F.lit("")).otherwise(
         F.array_join(F.slice(F.split("host", "\\."), -2, 2), "."))
     rows = materialize(evidence.withColumns({
-        "host_key": host, "declared": _code(F.col("declared")),
-        "suffix": _code(F.when(F.col("host").contains("."), F.substring_index("host", ".", -1)))}), "evidence")
+        "host_key": host, "declared": _value(F.col("declared")),
+        "suffix": _value(F.when(F.col("host").contains("."), F.substring_index("host", ".", -1)))}), "evidence")
     hosts = rows.groupBy("host_key").agg(F.first("host", ignorenulls=True).alias("host"), *_total("h", n),
                                          F.count(F.lit(1)).alias("n_rows"))
     hosts = materialize(hosts.withColumn("domain", F.when(F.col("host").isNull() | ~F.col("host").contains("."),
@@ -231,15 +236,32 @@ def fuse(evidence: DataFrame, languages: tuple[str, ...]) -> DataFrame:
         smoothed(_array("d", n), common).alias("domain_prior"))
 
     def table(column: str) -> DataFrame:
-        """log p(value | l), a bounded number of values."""
-        counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(*_total("c", n))
-        sums = counts.agg(*[F.sum(f"c{i}") for i in range(n)], F.count(F.lit(1))).first()
-        kinds = sums[n] + 1
-        logs = [F.log((F.col(f"c{i}") + UNIT) / F.lit(float((sums[i] or 0) + UNIT * kinds))) for i in range(n)]
-        return F.broadcast(counts.select(column, F.array(*logs).alias(f"{column}_log")))
-    joined = heavy_join(rows, hosts, "host_key", "n_rows", total)
+        """log p(value | l) and the number of rows of every value."""
+        counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(*_total("c", n), F.count(F.lit(1)).alias("n_rows"))
+        counts = materialize(counts.withColumn("plain", F.substring_index(column, "-", 1) if column == "declared"
+                                               else F.col(column)), "values")
+        # Of plain values (a region left off); all values of a row fall on one of them.
+        plain = counts.groupBy("plain").agg(*[F.sum(f"c{i}").alias(f"p{i}") for i in range(n)])
+        sums = plain.agg(*[F.sum(f"p{i}") for i in range(n)], F.count(F.lit(1))).first()
+        kinds, logs = sums[n] + 1, []
+        for i in range(n):
+            mass = float(sums[i] or 0)
+            below = (F.col(f"p{i}") + UNIT) / F.lit(mass + UNIT * kinds)
+            own = (F.col(f"c{i}") + ALPHA * UNIT * below) / F.lit(mass + ALPHA * UNIT)
+            logs.append(F.log(F.when(F.col(column) == F.col("plain"), below).otherwise(own)))
+        return counts.join(plain, "plain").select(column, "n_rows", F.array(*logs).alias(f"{column}_log"))
+
+    def with_logs(left: DataFrame, column: str) -> DataFrame:
+        values, small = checked_broadcast(table(column))
+        if small:
+            return left.join(values.drop("n_rows"), column, "left")
+        none = left.filter(F.col(column).isNull()).withColumn(f"{column}_log", F.lit(None).cast("array<double>"))
+        found = heavy_join(left.filter(F.col(column).isNotNull()), values.withColumnRenamed("n_rows", "__rows"), column,
+                           "__rows", total).drop("__rows")
+        return found.unionByName(none)
+    joined = heavy_join(rows, hosts, "host_key", "n_rows", total).drop("n_rows")
     for column in ("declared", "suffix"):
-        joined = joined.join(table(column), column, "left")
+        joined = with_logs(joined, column)
     # The row's own share leaves its host's count.
     others = F.zip_with("host_mass", "mass", lambda a, b: F.greatest(a - b, F.lit(0)))
     nothing = F.array_repeat(F.lit(0.0), n)

@@ -21,7 +21,9 @@ RANKED = 10
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    words = secret_scan.learnt_words(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_scan.digest_columns(secret_scan.scan(docs, words))
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> zstd_quality.Model:

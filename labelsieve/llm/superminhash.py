@@ -12,15 +12,16 @@ step can lower them.
    per band.  Documents with the same set are one class from here on (copies of any
    number cost one partial aggregation).
 2. Classes that share a band are candidates.  Each bucket first tries its members
-   against its least member only; after the components of the confirmed links are
-   known, the pairs of a bucket that lie in different components are settled too, by a
-   bound on what two sets can share and then in blocks (see ``_rest``), so no
-   candidate pair of a bucket stays open, and none is written out.
+   against its least member only.  After the components of the confirmed links are
+   known, the pairs of a bucket that lie in different components are settled too, once for
+   all bands (see ``_rest``): two sets that can reach the similarity share one of
+   the rarest shingles of each, so shared boilerplate makes no candidates.  No candidate pair of
+   a bucket stays open.  Joins on buckets broadcast the heavy ones and shuffle the others.
 3. A candidate counts as a link only after the comparison of the full shingle sets.
 4. Links are grouped by union-find.
 
 ``bands`` bands of ``rows`` components miss a pair of similarity s with probability
-``(1 - s**rows)**bands``: 24 x 4 gives 2e-8 at 0.85 and 1e-6 at 0.8.
+``(1 - s**rows)**bands``: 24 x 4 gives 2e-8 at 0.85 and 3e-6 at 0.8.
 
 Defined results: a null text or a text without words has an empty set, links with
 nothing and keeps itself; fewer words than ``k`` form one shingle; rows that repeat
@@ -40,6 +41,8 @@ from .common import GOLDEN, HEAVY, arrow_map, docs_of, heavy_join, materialize,
 from .components import components
 
 BANDS, ROWS = 24, 4
+# Sets that share a rare shingle: up to so many are paired, more go through the blocks of their buckets.
+RARE_GROUP = 32
 # A chunk of a bucket's rows: at most about so many rows and shingles.
 CHUNK_ROWS, CHUNK_SHINGLES = 512, 1 << 20
 # Shingles that one step of a block's comparison takes.
@@ -188,36 +191,85 @@ def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "u")))
 
 
-def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _still_open(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` (key, u, n, component) of buckets with several components, with the bucket's least n, rows and weight."""
+    sides = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                    F.min("n").alias("least_n"), F.count(F.lit(1)).alias("rows"),
+                                    F.sum("n").alias("weight")).filter("lo < hi").drop("lo", "hi")
+    return heavy_join(rows.drop("least_n", "rows", "weight"), materialize(sides, "sides"), "key", "rows", total)
+
+
+def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int, total: int,
+          rare_group: int = RARE_GROUP) -> DataFrame:
     """Links (u, v) across the components that meet in a bucket, after its least member was tried.
 
     A shingle that no other document of the open buckets has cannot be in an
     intersection: with ``r`` shared shingles a document of ``n`` reaches at most
     ``r / (n + m - r)`` with one of ``m`` or more.  Rows that cannot reach the
-    similarity inside their bucket leave.  What is left is compared in full, all
-    pairs of a bucket, in blocks of at most two chunks: a task gets a bounded
-    number of sets, and gives back a forest of the links it found.
+    similarity inside their bucket leave.
     """
-    placed = _labelled(member, label)
-
-    def still_open(rows: DataFrame) -> DataFrame:
-        sides = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                        F.min("n").alias("least_n"), F.count(F.lit(1)).alias("rows"),
-                                        F.sum("n").alias("weight")).filter("lo < hi").drop("lo", "hi")
-        return rows.drop("least_n", "rows", "weight").join(sides, "key")
-    rows = materialize(still_open(placed), "open")
+    rows = materialize(_still_open(_labelled(member, label), total), "open")
     mine = rows.select("u").distinct().join(sets, "u").select("u", F.explode("hashes").alias("h"))
-    common = mine.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("h")
-    shared = materialize(mine.join(common, "h").groupBy("u").agg(F.count(F.lit(1)).alias("r")), "shared")
+    common = materialize(mine.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1"), "common")
+    # The shared shingles of each set, rarest first.
+    shared = materialize(heavy_join(mine, common, "h", "docs", common.agg(F.sum("docs")).first()[0] or 0).groupBy("u").agg(
+        F.count(F.lit(1)).alias("r"), F.array_sort(F.collect_list(F.struct("docs", "h"))).alias("rare")), "shared")
     can = F.col("r") * 100 >= (F.col("n") + F.greatest("least_n", "r") - F.col("r")) * percent
-    rows = still_open(rows.join(shared, "u").filter(can))
+    rows = materialize(_still_open(rows.join(shared.select("u", "r"), "u").filter(can), total), "open")
+    pairs, crowded = rare_pairs(rows.select("u", "n", "component").distinct(), shared, percent, rare_group)
+    links = _confirmed(pairs, sets, percent)
+    if crowded.isEmpty():
+        return links
+    return links.unionByName(_blocks(_still_open(rows.join(crowded, "u"), total), sets, percent))
+
+
+def rare_pairs(ids: DataFrame, shared: DataFrame, percent: int, rare_group: int = RARE_GROUP) -> tuple[DataFrame, DataFrame]:
+    """Candidates ``(u, v)`` among ``ids`` (u, n, component), and the crowded ids ``(u)``.
+
+    ``shared`` (u, r, rare): the shingles that other sets have too, rarest first.  Two sets that
+    reach the similarity share ``ceil(percent * n / 100)`` shingles at least, ``n`` the size of
+    either; so the first shingle that they share, in the order of rarity, is among the
+    first ``r - ceil(percent * n / 100) + 1`` of both.  Sets that meet in one of these are paired where it
+    has up to ``rare_group`` sets, each pair once; the sets of larger groups are crowded.
+    """
+    need = F.expr(f"({percent} * n + 99) div 100")
+    first = F.slice("rare", F.lit(1), F.greatest(F.col("r") - need + 1, F.lit(0)).cast("int"))
+    entries = ids.join(shared, "u").select("u", "n", "component", F.explode(first).alias("e")).select(
+        "u", "n", "component", F.col("e.h").alias("h"))
+    entries = materialize(entries, "rare")
+    groups = materialize(entries.groupBy("h").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo < hi").select("h", "docs"), "rare-groups")
+    # Groups are bounded, so the pairs of an entry are too.
+    small = entries.join(groups.filter(F.col("docs") <= rare_group).select("h"), "h")
+    other = small.select(F.col("u").alias("v"), F.col("n").alias("m"), F.col("component").alias("c"), "h")
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    pairs = small.join(other, "h").filter((F.col("u") < F.col("v")) & (F.col("component") != F.col("c")) & fits)
+    total = entries.count()
+    crowded = heavy_join(entries, groups.filter(F.col("docs") > rare_group), "h", "docs", total).select("u").distinct()
+    return pairs.select("u", "v").distinct(), materialize(crowded, "crowded")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets reach the similarity."""
+    both = F.size(F.array_intersect("a", "b"))
+    held = pairs.join(sets.withColumnRenamed("hashes", "a"), "u").join(
+        sets.select(F.col("u").alias("v"), F.col("hashes").alias("b")), "v")
+    return held.filter(both * 100 >= (F.size("a") + F.size("b") - both) * percent).select("u", "v")
+
+
+def _blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among ``rows`` (key, u, n, component, rows, weight): all pairs of a bucket, in blocks of two chunks at most.
+
+    A task gets a bounded number of sets, and gives back a forest of the links it found.
+    """
     chunks = F.greatest(F.ceil(F.col("rows") / CHUNK_ROWS), F.ceil(F.col("weight") / CHUNK_SHINGLES)).cast("int")
     rows = (rows.withColumn("chunks", chunks)
             .withColumn("side", F.pmod(F.xxhash64("u", "key"), F.col("chunks")).cast("int")))
     dealt = rows.select("u", "n", "component", "key", "side", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
     dealt = dealt.select("u", "n", "component", "side", "key", F.least("side", "other").alias("a"),
                          F.greatest("side", "other").alias("b"))
-    ship_package(member.sparkSession)
+    ship_package(rows.sparkSession)
     return (dealt.join(sets, "u").groupBy("key", "a", "b").applyInArrow(_block(percent), "u long, v long")
             .distinct())
 
@@ -257,7 +309,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     classes = materialize(classes, "classes")
     banded = classes.select("u", "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min(F.struct("u", "n")).alias("least"), F.count(F.lit(1)).alias("members"))
-    member = materialize(banded.join(buckets.filter("members > 1").drop("members"), "key"), "buckets")
+    buckets = materialize(buckets.filter("members > 1"), "shared-buckets")
+    n_banded = classes.count() * bands
+    member = materialize(heavy_join(banded, buckets, "key", "members", n_banded).drop("members"), "buckets")
     sets = arrow_map(docs.join(member.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi"), _sets(k),
                      "doc_id long, d1 long, d2 long, hashes array<bigint>")
     sets = materialize(sets.groupBy(F.col("doc_id").alias("u"))
@@ -266,12 +320,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     star = (member.select("u", "n", F.col("least.u").alias("v"), F.col("least.n").alias("m"))
             .filter((F.col("u") != F.col("v")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
             .select("u", "v").distinct())
-    pairs = (star.join(sets.withColumnRenamed("hashes", "a"), "u")
-             .join(sets.select(F.col("u").alias("v"), F.col("hashes").alias("b")), "v"))
-    both = F.size(F.array_intersect("a", "b"))
-    links = materialize(pairs.filter(both * 100 >= (F.size("a") + F.size("b") - both) * percent).select("u", "v"), "links")
+    links = materialize(_confirmed(star, sets, percent), "links")
     label = components(links)
-    more = materialize(_rest(member.select("key", "u", "n"), label, sets, percent), "more")
+    more = materialize(_rest(member.select("key", "u", "n"), label, sets, percent, n_banded), "more")
     if not more.isEmpty():
         label = components(links.unionByName(more))
     found = _labelled(classes.select("d1", "d2", "n", "u", "size"), label)

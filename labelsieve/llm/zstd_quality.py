@@ -7,12 +7,14 @@ probability by a logistic calibration that also sees how far the text compresses
 at all (endless repeats compress well with either dictionary).
 
 Bounds: the dictionaries and the calibration are fitted on at most
-``sample_per_class`` labelled rows a class (the first by a hash of the id, texts
-of at most ``max_chars`` characters), half for the dictionaries and half for the
-calibration.  Scoring covers every row and every byte of its text, in tasks; no
+``sample_per_class`` labelled rows a class (the first by a hash of the id) and
+``sample_bytes`` bytes of them, half for the dictionaries and half for the
+calibration; of a text over ``max_chars`` characters a run of so many, from a place chosen by
+the hash.  Scoring covers every row and every byte of its text, in tasks; no
 shuffle.
 
-Defined results: a null text is empty; an empty text has no chunk and gets the
+Defined results: a null text is empty; rows that repeat are scored each, and an id counts once in the
+fit; an empty table gives an empty table; an empty text has no chunk and gets the
 calibrated score of equal sizes; without labels of both classes every score is the
 smoothed share of label 1 (0.5 without any).  Labels other than 0/1, null labels
 and ids with contradicting labels are left out.
@@ -36,6 +38,8 @@ LEVEL = 3
 DICT_BYTES = 32768
 SAMPLE_PER_CLASS = 2000
 MAX_CHARS = 50_000
+# Bytes of a class that reach the driver (a text at least).
+SAMPLE_BYTES = 48 << 20
 # Ratios from here on say nothing about quality (short texts do not compress).
 PLAIN_RATIO = 0.3
 
@@ -103,7 +107,7 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS,
-        max_chars: int = MAX_CHARS) -> Model:
+        max_chars: int = MAX_CHARS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Learn from ``labels`` (doc_id, label 0/1) and the texts of ``docs`` (doc_id, text)."""
     known = (labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("__other"))
@@ -115,11 +119,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
         part = hash_sample(known.filter(F.col("label") == label), "doc_id", many.get(label, 0), sample_per_class)
         picked = part if picked is None else picked.unionByName(part)
     # At most 2 * sample_per_class ids: safe to broadcast.
-    rows = (docs.filter(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id")
-            .dropDuplicates(["doc_id"]).orderBy(*order).select("label", "text").collect())
-    by = {c: [r["text"].encode("utf-8") for r in rows if r["label"] == c] for c in (0, 1)}
+    begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - max_chars, F.lit(0)) + 1).cast("int")
+    part = F.when(F.length("text") <= max_chars, F.col("text")).otherwise(F.substr("text", begin + 1, F.lit(max_chars)))
+    rows = (docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", part.alias("text"))
+            .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("text").alias("text")).orderBy(*order))
+    by: dict[int, list[bytes]] = {0: [], 1: []}
+    used = {0: 0, 1: 0}
+    for r in rows.toLocalIterator():  # in the order of the hash, until a class has its bytes
+        text, c = r["text"].encode("utf-8"), r["label"]
+        if not by[c] or used[c] + len(text) <= sample_bytes:
+            by[c].append(text)
+            used[c] += len(text)
     if not by[0] or not by[1]:
-        share = (len(by[1]) + 1) / (len(rows) + 2)
+        share = (len(by[1]) + 1) / (len(by[0]) + len(by[1]) + 2)
         return Model(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
     half = {c: (len(v) + 1) // 2 for c, v in by.items()}
     good, bad = (_train_dictionary(by[c][:half[c]]) for c in (1, 0))

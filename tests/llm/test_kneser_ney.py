@@ -1,4 +1,7 @@
 import math
+import os
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -81,6 +84,44 @@ def test_no_training_text_and_empty_table(spark):
     assert kn.score(documents(spark, []), model).collect() == []
 
 
+def test_a_missing_or_cut_array_raises_by_name(spark):
+    train = [prose(60, i, 40) for i in range(10)]
+    model = kn.train(documents(spark, train).select("text"))
+    for kind, size in (("pairs", max(model.pair_sizes)), ("words", max(map(model.word_size, range(len(model.bases)))))):
+        sizes = model.pair_sizes if kind == "pairs" else [model.word_size(i) for i in range(len(model.bases))]
+        name = f"{kind}-{list(sizes).index(size)}"
+        path = os.path.join(model.folder, f"{name}.npy")
+        array = np.load(path)
+        np.save(path, array[:-1])
+        kn._FILES.clear()
+        with pytest.raises(Exception, match="entries, not"):
+            kn.mapped(model.folder, name, size)
+        os.rename(path, path + ".away")
+        with pytest.raises(FileNotFoundError, match=name):
+            kn.mapped(model.folder, name, size)
+        with pytest.raises(Exception, match=f"(?s)lacks.*{kind}-"):
+            kn.score(documents(spark, train).repartition(11), kn.replace(model, bases=model.bases)).collect()
+        np.save(path, array)
+        assert len(kn.mapped(model.folder, name, size)) == size
+    assert len(kn.mapped(model.folder, "never", 0)) == 0
+
+
+def test_more_arrays_than_descriptors(tmp_path):
+    """1,100 shards under a limit of 200 open files."""
+    for i in range(1100):
+        np.save(tmp_path / f"pairs-{i}.npy", np.full(100, i, np.uint64))
+    script = f"""
+import resource, sys
+resource.setrlimit(resource.RLIMIT_NOFILE, (200, 200))
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))!r})
+from labelsieve.llm import kneser_ney as kn
+kn.MAX_MAPPED = 100
+assert all(int(kn.mapped({str(tmp_path)!r}, f"pairs-{{i}}", 100)[7]) == i for _ in range(2) for i in range(1100))
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=120)
+    assert kn.MAX_MAPPED < 1024 // 2
+
+
 def test_packed_blocks_round_trip():
     rng = np.random.default_rng(0)
     keys = np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64))

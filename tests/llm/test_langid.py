@@ -108,6 +108,35 @@ def test_a_long_text_is_counted_in_pieces(monkeypatch):
     assert total() == want and sum(want.values()) == len(text) - 2
 
 
+def test_whole_suffixes_and_regions_are_evidence(spark):
+    """Values of any length and form: a short text goes by the rows that share its suffix or declared language."""
+    rows = [(i, f"h{i}.de.xn--p1ai", DE) for i in range(20)] + [(100 + i, f"k{i}.en.info", EN) for i in range(20)]
+    rows += [(200 + i, None, f"<html lang='zz-Latn-DE'>{DE}") for i in range(20)]
+    rows += [(300 + i, None, f'<html lang="zz-Latn_US">{EN}') for i in range(20)]
+    rows += [(500, "q.other.xn--p1ai", "1"), (501, "q.other.info", "1"), (502, None, "<html lang='zz-latn-de'>1"),
+             (503, None, "<html lang=ZZ-Latn-us>1"), (504, None, "<html lang='zz-Latn-AT'>1"), (505, None, "<html lang='toolong'>1")]
+    got = fused(spark, rows)
+    assert [got[i].lang for i in (500, 501, 502, 503)] == ["de", "en", "de", "en"]
+    assert all(got[i].confidence > 0.8 for i in (500, 501, 502, 503))
+    assert [got[i].declared for i in (502, 503, 504, 505)] == ["zz-latn-de", "zz-latn-us", "zz-latn-at", None]
+
+
+def test_large_value_tables_go_through_a_shuffle(spark, monkeypatch):
+    rows = [(i, f"h{i}.x{i % 30}.t{i % 11}", f"<html lang='{('de', 'en')[i % 2]}-r{i % 7}'>" + (DE, EN, "", " ")[i % 4])
+            for i in range(120)] + [(900, None, None), (901, "h", "<p>")]
+    small = fused(spark, rows)
+    monkeypatch.setattr(langid, "checked_broadcast", lambda df: (df, False))
+    assert fused(spark, rows) == small and len(small) == 122
+
+
+def test_repeated_rows_are_rows(spark):
+    rows = [(1, "a.b.de", DE)] * 5 + [(2, "a.b.de", "")] * 3 + [(None, None, None)] * 2
+    model = langid.fit_text(training(spark))
+    frame = spark.createDataFrame(rows, "page_id long, host string, text string")
+    out = langid.fuse(langid.text_evidence(frame, model, False), model.languages).collect()
+    assert len(out) == 10 and {(r.page_id, r.lang) for r in out} == {(1, "de"), (2, "de"), (None, "de")}
+
+
 def test_no_labels_and_empty_table(spark):
     model = langid.fit_text(training(spark).limit(0))
     frame = spark.createDataFrame([(1, "h", "text")], "page_id long, host string, text string")

@@ -2,7 +2,9 @@ import itertools
 import math
 import random
 import re
+import time
 
+import public_tokenizers
 from labelsieve.llm import secret_scan as ss
 
 from .helpers import documents, odd_texts, sha
@@ -60,8 +62,8 @@ def plain_cost(value):
         best = sum(ss._brute(c) for c in s) if len(s) == 1 else math.inf
         low, leet = s.lower(), s.lower().translate(ss.LEET)
         for word, extra in ((low, 0.0), (leet, math.log10(2))):
-            if len(s) >= 3 and word in ss.RANK:
-                best = min(best, math.log10(ss.RANK[word] + 1) + extra + (math.log10(2) if s != low else 0)
+            if len(s) >= 3 and word in ss.FIXED.rank:
+                best = min(best, math.log10(ss.FIXED.rank[word] + 1) + extra + (math.log10(2) if s != low else 0)
                            + ss.SEGMENT_COST)
                 break
         if 4 <= len(s) <= 10 and s[0].isdigit() and ss.DATE.fullmatch(s):
@@ -131,5 +133,48 @@ def test_the_limit_does_not_change_a_decision():
         assert math.isclose(ss.guess_cost(v), plain_cost(v), rel_tol=1e-9), v
 
 
+def test_time_grows_with_the_length():
+    def seconds(text):
+        t = time.process_time()
+        ss.spans_of(text)
+        return time.process_time() - t
+    for unit in ('{"token":"abc","id":1},', "pwd='\\", "pwd=a1,", 'token = "0123456789abcdef0123" ', "login:'x y' ", 'pwd="""a ',
+                 'pass=""b ', "secret='it is' so ", "pwd='a\\' "):
+        small, large = (min(seconds(unit * (n // len(unit))) for _ in range(2)) for n in (250_000, 1_000_000))
+        assert large < 20, unit
+        assert large < 10 * small + 0.5, unit
+
+
+def test_words_of_the_vocabulary_and_of_the_corpus(spark):
+    words = ss.learnt_words(documents(spark, odd_texts()), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for text in ("The password is required here", "token: identifier", "login is unavailable", "the secret is somewhere"):
+        assert ss.spans_of(text, words) == [], text
+    assert list(words.rank)[:2] == ss.WORDS[:2] and words.longest <= ss.LONGEST_WORD
+    # A word of the corpus that no list has.
+    corpus = documents(spark, ["Zorquavelin and qixxolbrat", None, "zorquavelin", "zorquavelin1x Zorquavelin", ""] * 3)
+    assert ss.corpus_words(corpus) == ["zorquavelin", "and", "qixxolbrat"]
+    assert ss.corpus_words(corpus, most=2) == ["zorquavelin"]  # a step of equal counts goes whole or not at all
+    assert ss.corpus_words(documents(spark, [])) == []
+    learnt = ss.learnt_words(corpus, None)
+    assert ss.spans_of("password: zorquavelin") and not ss.spans_of("password: zorquavelin", learnt)
+
+
+def test_planted_passwords_are_found_among_prose(spark):
+    """Recall and precision on hard values and on words in the same context."""
+    words = ss.learnt_words(documents(spark, odd_texts()), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng, hard, easy = random.Random(9), 0, 0
+    common = [w for w in list(words.rank)[:4000] if len(w) >= 6]
+    for i in range(300):
+        value = "".join(rng.choice("ABCDEFGHJKmnpqrstuvwxyz23456789!$%&") for _ in range(rng.randrange(10, 16)))
+        hard += any(k == 3 and e - s == len(value) for s, k, e in ss.spans_of(f"my pwd={value} is set", words))
+        easy += bool(ss.spans_of(f"the password is {rng.choice(common)} as ever", words))
+    assert hard >= 297 and easy <= 3
+
+
+def test_repeated_rows(spark):
+    got = ss.scan(documents(spark, [TEXTS[0]] * 3, ids=[4, 4, None])).collect()
+    assert len(got) == 3 and len({str(r.spans) for r in got}) == 1 and got[0].spans
+
+
 def test_empty_table(spark):
     assert ss.digest_columns(ss.scan(documents(spark, []))).collect() == []

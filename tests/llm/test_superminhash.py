@@ -62,6 +62,42 @@ def test_chains_and_large_families_against_all_pairs(spark):
     assert got(superminhash.near_duplicates(docs, 3, 85)) == expected(range(len(texts)), texts, 3, 85)
 
 
+def template_pages(n, seed=8):
+    """Pages that share most of their text and not enough to be linked; each other sentence is on a few of them."""
+    rng = random.Random(seed)
+    frame = prose(330, 31, 10**6)
+    pool = [prose(12, 5000 + i, 10**6) for i in range(2 * n)]
+    pages = [f"{frame} " + " ".join(rng.sample(pool, 5)) for _ in range(n)]
+    return pages + [pages[0] + " end", edited(pages[1], 0.01, rng)]  # and two links
+
+
+def test_template_pages_make_few_candidates(spark, monkeypatch):
+    seen, real = [], superminhash.rare_pairs
+
+    def noted(*args):
+        pairs, crowded = real(*args)
+        seen.append((pairs.count(), crowded.count()))
+        return pairs, crowded
+    monkeypatch.setattr(superminhash, "rare_pairs", noted)
+    for n in (150, 300):
+        texts = template_pages(n)
+        out = got(superminhash.near_duplicates(documents(spark, texts).repartition(5), 3, 85))
+        assert out == expected(range(len(texts)), texts, 3, 85)
+    assert all(pairs <= 30 * n and crowded == 0 for (pairs, crowded), n in zip(seen, (150, 300), strict=True)), seen
+
+
+def test_crowded_rare_shingles_go_through_blocks(spark, monkeypatch):
+    """With groups of two at most, everything else is settled in the blocks of the buckets."""
+    real = superminhash._rest
+    monkeypatch.setattr(superminhash, "_rest", lambda *a: real(*a, rare_group=2))
+    rng = random.Random(11)
+    texts = template_pages(60)
+    base = prose(120, 41, 10**6)
+    texts += [edited(base, rng.choice([0.01, 0.03, 0.05]), rng) for _ in range(50)]
+    assert got(superminhash.near_duplicates(documents(spark, texts).repartition(3), 3, 85)) == \
+        expected(range(len(texts)), texts, 3, 85)
+
+
 def test_repeated_ids_with_different_texts(spark):
     a, b, c, d = (prose(n, 71 + i, 10**6) for i, n in enumerate((150, 200, 150, 150)))
     rows = [(5, a), (5, b), (9, a), (12, a + " tail"), (20, b + " end"), (7, d), (7, c), (7, c), (30, c), (31, ""), (31, c)]
