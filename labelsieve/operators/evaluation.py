@@ -14,8 +14,8 @@ Scale notes:
   and centre distance, so each detection probes at most 3 levels x 2 x 2
   cells.  The join is exact for every threshold >= t_min.
 * The winning detections of a box are ten conditional minima in one aggregate
-  (partial, no group is gathered); ranks use ``positions.running``, which
-  splits a class that holds most detections over many partitions; the precision
+  (partial, no group is gathered); ranks use ``positions.running_by_rank``, which
+  splits a class that holds most detections by parts of the confidence range; the precision
   envelope works on at most 101 rows per class and threshold.
 """
 
@@ -23,13 +23,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import class_name, exact_sum, iou
 from ..params import IOU_THRESHOLDS
-from ..session import materialize
-from .positions import running
+from ..session import checked_broadcast, materialize, ship_package
+from .positions import running_by_rank
 
 _EPS = 1e-9
 
@@ -102,7 +103,12 @@ def detection_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS,
                       *[F.coalesce(F.col(n), F.lit(0)).alias(f"tp_{i}") for i, n in enumerate(names)])
 
 
-def greedy_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=()) -> DataFrame:
+# Pairs of an image, class and threshold that are walked through in one task.
+WALKED_PAIRS = 100_000
+
+
+def greedy_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=(),
+                   walked_pairs: int = WALKED_PAIRS) -> DataFrame:
     """C8, COCO's greedy assignment, with the columns of ``detection_matches``.
 
     At each threshold the detections of an image and class choose in the order of
@@ -110,41 +116,72 @@ def greedy_matches(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, key
     (ties: lower ``gt_id``) among those it overlaps enough, so one that loses its best box
     falls back to its next.
 
-    No image is walked through in one task.  A round matches every detection with its best
-    free box wherever that box has no more confident suitor left; nobody who chooses
-    before it can want the box, so the sequential walk makes the same match.  Both sides go,
-    and the pairs that are left propose again.  Each round settles at least the most
-    confident detection of every image and class; pairs shrink quickly (rounds: the
-    longest chain of detections that each wait for the one before).
+    Images of up to ``walked_pairs`` overlapping pairs are walked through in that order, sorted by
+    Spark, with the boxes taken so far in memory.  Larger ones are settled by rounds over all tasks: a
+    round matches every detection with its best free box wherever that box has no more
+    confident suitor left; nobody who chooses before it can want the box, so the sequential
+    walk makes the same match.  Both sides go, and the pairs that are left propose again.
     """
     pairs = candidate_pairs(det, gt, min(thresholds), keys)
     own = [*keys, "image_id", "class_id"]
-    reached = F.array_compact(F.array(*[F.when(F.col("iou") >= F.lit(float(t)), F.lit(i)) for i, t in enumerate(thresholds)]))
-    left = pairs.select(*own, "det_id", "confidence", "gt_id", "iou", F.explode(reached).alias("ti"))
     own_t = [*own, "ti"]
+    reached = F.array_compact(F.array(*[F.when(F.col("iou") >= F.lit(float(t)), F.lit(i)) for i, t in enumerate(thresholds)]))
+    left = pairs.select(*own, F.explode(reached).alias("ti"), "det_id", "gt_id", "confidence", "iou")
     wins = []
     while True:
         left = materialize(left, "proposals")
-        if left.isEmpty():
+        large, _ = checked_broadcast(left.groupBy(*own_t).count().filter(F.col("count") > walked_pairs).select(*own_t))
+        wins.append(_walked(left.join(large, own_t, "left_anti"), own_t))
+        if large.isEmpty():
             break
-        best = left.groupBy(*own_t, "det_id").agg(
-            F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "gt_id")).alias("b")).select(*own_t, "det_id", "b.gt_id")
-        suitor = left.groupBy(*own_t, "gt_id").agg(
-            F.min(F.struct((-F.col("confidence")).alias("__nc"), "det_id")).alias("s")).select(*own_t, "gt_id", "s.det_id")
-        won = materialize(best.join(suitor, [*own_t, "gt_id", "det_id"]), "matches")
+        left = left.join(large, own_t, "left_semi")
+        won = materialize(_mutual(left, own_t), "matches")
         wins.append(won)
         left = (left.join(won.select(*own_t, "det_id"), [*own_t, "det_id"], "left_anti")
                 .join(won.select(*own_t, "gt_id"), [*own_t, "gt_id"], "left_anti"))
-    names = [f"tp_{i}" for i in range(len(thresholds))]
-    out = det.select(*own, "det_id", "confidence")
-    if not wins:
-        return out.select("*", *[F.lit(0).alias(n) for n in names])
     won = reduce(DataFrame.unionByName, wins)
+    names = [f"tp_{i}" for i in range(len(thresholds))]
     flags = won.groupBy(*own, "det_id").agg(*[F.max((F.col("ti") == i).cast("int")).alias(n) for i, n in enumerate(names)])
-    return out.join(flags, [*own, "det_id"], "left").select(
+    return det.select(*own, "det_id", "confidence").join(flags, [*own, "det_id"], "left").select(
         *own, "det_id", "confidence", *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 
 
+def _mutual(left: DataFrame, own_t: list[str]) -> DataFrame:
+    """Pairs where the box is the detection's best and the detection the box's most confident."""
+    best = left.groupBy(*own_t, "det_id").agg(
+        F.max(F.struct("iou", (-F.col("gt_id")).alias("__ng"), "gt_id")).alias("b")).select(*own_t, "det_id", "b.gt_id")
+    suitor = left.groupBy(*own_t, "gt_id").agg(
+        F.min(F.struct((-F.col("confidence")).alias("__nc"), "det_id")).alias("s")).select(*own_t, "gt_id", "s.det_id")
+    return best.join(suitor, [*own_t, "gt_id", "det_id"])
+
+
+def _walked(pairs: DataFrame, own_t: list[str]) -> DataFrame:
+    """Greedy matches of whole groups: one shuffle by group, sorted, walked through batch by batch."""
+    ship_package(pairs.sparkSession)
+    order = [*own_t, F.col("confidence").desc(), "det_id", F.col("iou").desc(), "gt_id"]
+    rows = pairs.repartition(*own_t).sortWithinPartitions(*order).select(*own_t, "det_id", "gt_id")
+    return rows.mapInArrow(_walk, rows.schema)
+
+
+def _walk(batches):
+    """Rows ``(group..., det_id, gt_id)`` in the order of the walk -> the rows that match."""
+    group, det, done, taken = None, None, False, set()
+    for b in batches:
+        keep = []
+        for *key, d, g in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if key != group:
+                group, det, taken = key, None, set()
+            if d != det:
+                det, done = d, False
+            if not done and g not in taken:
+                taken.add(g)
+                done = True
+                keep.append(True)
+            else:
+                keep.append(False)
+        yield b.filter(pa.array(keep, pa.bool_()))
+
+
 def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, keys=(), matching=detection_matches) -> DataFrame:
     """AP per (keys, class, threshold) for classes with ground truth.
 
@@ -161,8 +198,8 @@ def ap_by_threshold(det: DataFrame, gt: DataFrame, thresholds=IOU_THRESHOLDS, ke
     k = len(thresholds)
     flags = matching(det, gt, thresholds, keys).withColumn("__one", F.lit(1))
     order = [F.col("confidence").desc(), F.col("image_id").asc(), F.col("det_id").asc()]
-    ranked = running(flags, [*keys, "class_id"], order,
-                     sums={"rank": "__one", **{f"ctp_{i}": f"tp_{i}" for i in range(k)}})
+    ranked = running_by_rank(flags, [*keys, "class_id"], -F.col("confidence").cast("double"), order,
+                             sums={"rank": "__one", **{f"ctp_{i}": f"tp_{i}" for i in range(k)}})
     n_gt = F.broadcast(gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt")))  # a row per class
     tp_rows = ranked.join(n_gt, "class_id").select(*keys, "class_id", F.explode(F.filter(F.array(*[
         F.when(F.col(f"tp_{i}") == 1, F.struct(

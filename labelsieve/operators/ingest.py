@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_order_key, normalised_box
@@ -63,12 +63,15 @@ def label_rejects(ann: DataFrame, categories: DataFrame, key: str = "videoName",
                  .select("frame_id", "box_pos", F.col("l.category").alias("category")))
 
 
+def convert_metrics() -> list[Column]:
+    """D7 as aggregates, for ``convert_counters`` or for ``observe`` on a write of the records."""
+    return [F.count_if(F.col("labels").isNotNull()).cast("long").alias("converted"),
+            F.count_if(F.col("labels").isNull()).cast("long").alias("skipped")]
+
+
 def convert_counters(ann: DataFrame) -> DataFrame:
     """Entries converted (labels present, ``[]`` included) and skipped (null)."""
-    return ann.agg(
-        F.count_if(F.col("labels").isNotNull()).cast("long").alias("converted"),
-        F.count_if(F.col("labels").isNull()).cast("long").alias("skipped"),
-    )
+    return ann.agg(*convert_metrics())
 
 
 def yolo_lines(boxes: DataFrame) -> DataFrame:
@@ -140,22 +143,18 @@ def split_invariants(manifest: DataFrame, inventory: DataFrame, id_col: str = "f
                  F.count_if(F.col("__k").isNull()).cast("long").alias("n_missing"))
 
 
-def image_inventory(spark, directory: str, source_set: str, extension: str = "jpg") -> DataFrame:
-    """A3: list ``*.jpg`` of a directory (non-recursive); reads only the path column.
+def image_inventory(spark, directory: str, source_set: str, extension: str = "jpg", prefixes=()) -> DataFrame:
+    """A3: ``(frame_id, path, source_set)`` of the ``*.jpg`` of a directory (non-recursive), listed by tasks.
 
-    The listing is held by the driver, so this is for folders of up to some
-    millions of files; larger collections come as a Parquet inventory
-    (``frame_id, path``), which every stage takes directly.
+    ``prefixes`` of names spread a large folder over a task each; files that start with none of them are
+    listed too.  A missing folder raises, an empty one gives no rows.
     """
-    from ..functions.columns import frame_id_from_path
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}")
-             .option("recursiveFileLookup", "false").load(directory).select("path"))
-    return files.select(frame_id_from_path("path", extension).alias("frame_id"), "path",
-                        F.lit(source_set).alias("source_set"))
+    from ..sources.listing import image_files
+    return image_files(spark, directory, source_set, extension, prefixes)
 
 
 __all__ = [
-    "latest_entries", "labeled_frames", "label_boxes", "label_rejects", "convert_counters",
+    "latest_entries", "labeled_frames", "label_boxes", "label_rejects", "convert_metrics", "convert_counters",
     "yolo_lines", "yolo_text", "cut_points", "split_frames", "split_sizes", "split_invariants",
     "image_inventory",
 ]

@@ -104,14 +104,25 @@ def frame_scores(pred: DataFrame, weights: dict[str, float] | None = None,
     return scored.select(frame_col, *names, *[n + "_norm" for n in names], "combined")
 
 
-def score_summary(scores: DataFrame, score_col: str = "combined") -> DataFrame:
+def summary_metrics(score_col: str = "combined") -> list[Column]:
+    """D4, D6 as aggregates, for ``score_summary`` or for ``observe`` on a write of the scores."""
+    return [F.count(F.lit(1)).alias("n_frames"), F.max(score_col).alias("max_combined")]
+
+
+def score_summary(scores: DataFrame, score_col: str = "combined", seen: dict | None = None) -> DataFrame:
     """Frame count, max and exact median of the combined score.
 
+    ``seen`` are the ``summary_metrics`` observed while the scores were written, which
+    spares a pass over them.
+
     The median comes from the counts of distinct values (``positions.median``),
     not from an aggregate that holds every value in one buffer.
     """
-    whole = scores.agg(F.count(F.lit(1)).alias("n_frames"), F.max(score_col).alias("max_combined"))
     middle = median(scores, score_col).withColumnRenamed("median", "median_combined")
+    if seen is not None:
+        known = {"n_frames": "long", "max_combined": "double"}
+        return middle.select(*[F.lit(seen[c]).cast(t).alias(c) for c, t in known.items()], "median_combined")
+    whole = scores.agg(*summary_metrics(score_col))
     one = F.lit(1).alias("__one")
     return (whole.select("*", one).join(F.broadcast(middle.select("*", one)), "__one")
             .select("n_frames", "max_combined", "median_combined"))

@@ -96,18 +96,20 @@ def running(df: DataFrame, group: list[str], order: list[Column], sums: dict[str
 
 
 BUCKETS = 1024
+# Rows that one task numbers.
+TASK_ROWS = 200_000
 
 
 def first_rows(df: DataFrame, keys: list[str], rank: Column, order: list[Column], budget: int,
-               name: str = "pick", partitions: int | None = None) -> DataFrame:
+               name: str = "pick", partitions: int | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """The first ``budget`` rows per ``keys`` in ``order`` with their 1-based ``name``.
 
     ``rank`` is a double that never falls along ``order``; rows without one come last.  Its range per key
     is cut into ``BUCKETS`` equal parts; the counts per part (a partial
     aggregate, ``BUCKETS`` rows per key at most) give the part in which the budget
-    is reached, all rows behind it are filtered out, and only the rest is
-    numbered, range partitioned.  No task sees more than its share of rows at
-    any budget.  ``keys`` are few (variants, seeds): their bounds are broadcast.
+    is reached, and all rows behind it are filtered out.  The rest is numbered by a window where
+    it has up to ``task_rows`` rows per key (the counts tell), else range partitioned, so no task sees
+    more than its share of rows at any budget.  ``keys`` are few (variants, seeds): their bounds are broadcast.
     """
     key = keys or ["__all"]
     rows = materialize((df if keys else df.withColumn("__all", F.lit(0))).withColumn("__rank", rank), "ranked")
@@ -118,14 +120,54 @@ def first_rows(df: DataFrame, keys: list[str], rank: Column, order: list[Column]
     placed = rows.join(bounds, key).withColumn("__part", part.cast("int")).drop("__lo", "__hi")
     counts = placed.groupBy(*key, "__part").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
-              .filter(F.col("__before") < budget).groupBy(*key).agg(F.max("__part").alias("__last")))
-    near = (placed.join(F.broadcast(wanted), key).filter(F.col("__part") <= F.col("__last"))
-            .drop("__last", "__part", "__rank").withColumn("__one", F.lit(1)))
-    out = running(near, key, order, sums={name: "__one"}, partitions=partitions)
+    wanted = materialize(counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+                         .filter(F.col("__before") < budget).groupBy(*key)
+                         .agg(F.max("__part").alias("__last"), F.sum("__n").alias("__n")), "wanted")
+    most = wanted.agg(F.max("__n")).first()[0] or 0
+    near = (placed.join(F.broadcast(wanted.drop("__n")), key).filter(F.col("__part") <= F.col("__last"))
+            .drop("__last", "__part", "__rank"))
+    if most <= task_rows:
+        out = near.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    else:
+        out = running(near.withColumn("__one", F.lit(1)), key, order, sums={name: "__one"}, partitions=partitions)
     return out.filter(F.col(name) <= budget).withColumn(name, F.col(name).cast("long")).drop("__one", "__all")
 
 
+def running_by_rank(df: DataFrame, group: list[str], rank: Column, order: list[Column], sums: dict[str, str],
+                    task_rows: int = TASK_ROWS) -> DataFrame:
+    """``running`` sums for groups that are few, without a range partition of all rows.
+
+    ``rank`` is a double that never falls along ``order`` (nulls last).  Its range per group is cut into
+    ``BUCKETS`` equal parts; sums per part (a partial aggregate, ``BUCKETS`` rows per group at
+    most, broadcast) give what stands before a part, and rows are added up inside their part only.  A part
+    of more than ``task_rows`` rows (many equal ranks) is added up by ``running``, over many tasks.
+    """
+    rows = materialize(df.withColumn("__rank", rank), "ranked")
+    bounds = F.broadcast(rows.groupBy(*group).agg(F.min("__rank").alias("__lo"), F.max("__rank").alias("__hi")))
+    span = F.col("__hi") - F.col("__lo")
+    part = F.when(F.col("__rank").isNull(), BUCKETS + 1).when(
+        span > 0, F.floor((F.col("__rank") - F.col("__lo")) / span * BUCKETS)).otherwise(0)
+    placed = rows.join(bounds, group).withColumn("__part", part.cast("int")).drop("__lo", "__hi", "__rank")
+    totals = placed.groupBy(*group, "__part").agg(F.count(F.lit(1)).alias("__n"),
+                                                  *[F.sum(c).alias(f"__t_{o}") for o, c in sums.items()])
+    upto = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(totals.select(*group, "__part", "__n", *[
+        F.coalesce(F.sum(f"__t_{o}").over(upto), F.lit(0)).alias(f"__o_{o}") for o in sums]), "offsets")
+    keys = [*group, "__part"]
+
+    def added(left: DataFrame) -> DataFrame:
+        return left.join(F.broadcast(offsets.drop("__n")), keys).select(
+            *df.columns, *[(F.col(f"__o_{o}") + F.col(f"__l_{o}")).alias(o) for o in sums])
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hot = offsets.filter(F.col("__n") > task_rows).select(*keys)
+    local = {f"__l_{o}": c for o, c in sums.items()}
+    if hot.isEmpty():
+        return added(placed.select("*", *[F.sum(c).over(inside).alias(o) for o, c in local.items()]))
+    few = placed.join(F.broadcast(hot), keys, "left_anti")
+    many = running(placed.join(F.broadcast(hot), keys, "left_semi"), keys, order, sums=local)
+    return added(few.select("*", *[F.sum(c).over(inside).alias(o) for o, c in local.items()])).unionByName(added(many))
+
+
 def median(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
     """One row ``(median)``: exact, from the distinct values and the rows before each."""
     ranks = value_ranks(df.filter(F.col(value).isNotNull()), value, partitions)

@@ -1,7 +1,7 @@
 """Inference over the unlabeled pool: shards, resume, model scoring, sentinels.
 
 The model runs inside ``mapInPandas`` tasks (Arrow batches in, Arrow out); it
-is built once per task by a user factory.  Work is committed by shard, in
+is built once per worker process by a user factory.  Work is committed by shard, in
 waves: each wave is one partitioned write followed by an append of its shard
 ids to ``shards_done``; only shards listed there count as complete, so a crash
 loses at most the wave in flight and re-running it overwrites its partitions.
@@ -9,10 +9,13 @@ loses at most the wave in flight and re-running it overwrites its partitions.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +47,33 @@ def pending_shards(assigned: DataFrame, done: DataFrame) -> DataFrame:
     return assigned.join(done_ids, "shard_id", "left_anti")
 
 
+# Models of this worker process by the key of their factory, the last ones used.
+_MODELS: dict[str, Predict] = {}
+MODELS_KEPT = 2
+
+
+def cached_model(key: str, model_factory: ModelFactory) -> Predict:
+    """The model of a factory, built once per worker process: tasks of later waves find it there."""
+    model = _MODELS.pop(key, None)
+    if model is None:
+        while len(_MODELS) >= MODELS_KEPT:
+            _MODELS.pop(next(iter(_MODELS)))
+        model = model_factory()
+    _MODELS[key] = model
+    return model
+
+
+def model_key(model_factory: ModelFactory) -> str:
+    """Equal factories (code and what it holds) have equal keys."""
+    return hashlib.sha256(cloudpickle.dumps(model_factory)).hexdigest()
+
+
 def _score_batches(model_factory: ModelFactory, batch: int, conf_threshold: float,
                    path_col: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    key = model_key(model_factory)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = model_factory()  # once per task
+        predict = cached_model(key, model_factory)
         for pdf in frames:
             rows = []  # one output batch per input Arrow batch
             for start in range(0, len(pdf), batch):
@@ -72,9 +98,14 @@ def _scores(detection: tuple) -> list[float] | None:
 
 
 def score_frames(frames: DataFrame, model_factory: ModelFactory, batch: int = 16,
-                 conf_threshold: float = 0.25, path_col: str = "path", tasks: int | None = None) -> DataFrame:
+                 conf_threshold: float = 0.25, path_col: str = "path", tasks: int | None = None,
+                 resources: ResourceProfile | None = None) -> DataFrame:
     """H1-H4: run the model over ``(frame_id, shard_id, path)`` rows.
 
+    A model is built once per worker process and must not keep state between calls.
+    ``resources`` is the profile of the scoring stage alone (GPUs or memory a task), where
+    the cluster manager has stage-level scheduling.
+
     Rows are dealt by hash to ``tasks`` partitions, a number that follows the
     frame count (a few bytes of path a row would make adaptive execution merge
     all of them into one task otherwise).
@@ -83,7 +114,7 @@ def score_frames(frames: DataFrame, model_factory: ModelFactory, batch: int = 16
     tasks = tasks or scoring_tasks(frames.sparkSession, frames.count())
     shards = (frames.select("frame_id", "shard_id", path_col).repartition(tasks, "frame_id")
                     .sortWithinPartitions("shard_id", path_col))
-    return shards.mapInPandas(_score_batches(model_factory, batch, conf_threshold, path_col), PREDICTION)
+    return shards.mapInPandas(_score_batches(model_factory, batch, conf_threshold, path_col), PREDICTION, profile=resources)
 
 
 def scoring_tasks(spark: SparkSession, n_frames: int) -> int:
@@ -133,7 +164,8 @@ def open_run(spark: SparkSession, manifest: DataFrame, out_dir: str, shard_size:
 
 def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: ModelFactory,
                    out_dir: str, shard_size: int, batch: int = 16, conf_threshold: float = 0.25,
-                   shards_per_wave: int | None = None, image_dir: str | None = None) -> dict:
+                   shards_per_wave: int | None = None, image_dir: str | None = None,
+                   resources: ResourceProfile | None = None) -> dict:
     """Resumable inference of ``manifest`` (``frame_id, pos[, path]``) into
     ``out_dir/predictions`` (partitioned by ``shard_id``).
 
@@ -170,7 +202,8 @@ def infer_to_table(spark: SparkSession, manifest: DataFrame, model_factory: Mode
         tasks = scoring_tasks(spark, shards_per_wave * shard_size)
         for w in waves:
             wave = spark.read.parquet(todo).filter(F.col("wave") == w["wave"]).drop("wave")
-            scored = score_frames(wave, model_factory, batch, conf_threshold, tasks=tasks).repartition("shard_id")
+            scored = score_frames(wave, model_factory, batch, conf_threshold, tasks=tasks,
+                                  resources=resources).repartition("shard_id")
             (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                    .partitionBy("shard_id").parquet(pred_dir))
             wave.select("shard_id").distinct().write.mode("append").parquet(done_dir)

@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import arms, evaluation, ingest, mining, scoring
 from ..params import Params
 from ..sources import files
+from .ledger import Ledger
 
 
 # Frames of a shard, the unit of commit and resume; apart from the model's batch.
@@ -42,10 +43,13 @@ def ingest_stage(spark: SparkSession, root: str, annotation_paths: list[str], ca
                  params: Params = Params()) -> dict:
     """Label boxes from annotation files, then exact splits of the image inventory."""
     params.check_fractions()
-    # A JSON array is parsed by one task: once, then everything reads Parquet.
-    files.read_annotations(spark, annotation_paths).write.mode("overwrite").parquet(_p(root, "annotations"))
+    # The JSON arrays are parsed once, then everything reads Parquet.
+    # The counters are gathered while the records go by.
+    seen = Observation("annotations")
+    read = files.read_annotations(spark, annotation_paths).observe(seen, *ingest.convert_metrics())
+    read.write.mode("overwrite").parquet(_p(root, "annotations"))
+    counters = seen.get
     ann = spark.read.parquet(_p(root, "annotations"))
-    counters = ingest.convert_counters(ann).first().asDict()
     boxes = ingest.label_boxes(ann, categories, params.image_width, params.image_height)
     boxes.write.mode("overwrite").parquet(_p(root, "labels", "boxes"))
     lines = ingest.yolo_lines(spark.read.parquet(_p(root, "labels", "boxes")))
@@ -71,12 +75,13 @@ def mine_stage(spark: SparkSession, root: str, params: Params = Params()) -> Dat
     """J3 + J4: scores, then both selections."""
     pred = files.read_predictions(spark, _p(root, "infer", "predictions"),
                                   spark.read.parquet(_p(root, "infer", "shards_done")))
+    seen = Observation("scores")
     scores = mining.frame_scores(pred, params.weights, params.band_low, params.band_high)
-    files.write_scores(scores, _p(root, "signals", "scores"))
-    scores = files.read_scores(spark, _p(root, "signals", "scores"))
+    files.write_scores(scores.observe(seen, *mining.summary_metrics()), _p(root, "signals", "scores"))
+    scores = spark.read.parquet(_p(root, "signals", "scores"))
     sel = mining.selections(scores, params.label_budget, params.max_per_scene, params.seed)
     files.write_selections(sel, _p(root, "selections"))
-    return mining.score_summary(scores)
+    return mining.score_summary(scores, seen=seen.get)
 
 
 def prepare_stage(spark: SparkSession, root: str, inventory: DataFrame) -> DataFrame:
@@ -93,15 +98,10 @@ def predict_test(spark: SparkSession, root: str, arm_models: dict, image_dir: st
                      params: Params = Params(), shard_size: int = SHARD_SIZE) -> DataFrame:
     """Each arm's model over the test split, resumable like J2: ``(arm, prediction columns)``."""
     test = files.read_manifest(spark, _p(root, "splits"), "test").select("frame_id", "pos")
-    out = None
     for arm, model_factory in arm_models.items():
-        folder = _p(root, "test", arm)
-        scoring.infer_to_table(spark, test, model_factory, folder, shard_size, params.batch,
+        scoring.infer_to_table(spark, test, model_factory, _p(root, "test", arm), shard_size, params.batch,
                                params.conf_threshold, image_dir=image_dir)
-        pred = files.read_predictions(spark, _p(folder, "predictions"), spark.read.parquet(_p(folder, "shards_done")))
-        pred = pred.select(F.lit(arm).alias("arm"), *[c for c in pred.columns])
-        out = pred if out is None else out.unionByName(pred)
-    return out
+    return stored_test_predictions(spark, root, arm_models)
 
 
 def evaluate_stage(spark: SparkSession, root: str, predictions: DataFrame, categories: DataFrame) -> DataFrame:
@@ -136,3 +136,57 @@ def run_pipeline(spark: SparkSession, root: str, *, annotation_paths, categories
     prepare_stage(spark, root, train_images)
     predictions = predict_test(spark, root, arm_models, test_image_dir, params, shard_size)
     return evaluate_stage(spark, root, predictions, categories)
+
+
+def resume_pipeline(spark: SparkSession, root: str, *, annotation_paths, categories, train_images, test_images,
+                    model_factory, model_id: str, image_dir, arm_models: dict, arm_model_ids: dict, test_image_dir,
+                    params: Params = Params(), shard_size: int = SHARD_SIZE,
+                    on_change: str = "rerun") -> tuple[DataFrame, list[str]]:
+    """J8 with a ledger: only stages whose inputs, parameters or tables changed run.
+
+    ``model_id`` and ``arm_model_ids`` (arm -> id) name the models, whose code and weights
+    cannot be looked into.  Returns the comparison summary and the stages that ran.
+    """
+    ledger = Ledger(spark, root, on_change)
+    p = params
+
+    def counted(work):
+        def run():
+            out = work()
+            return out if isinstance(out, dict) else None
+        return run
+    ledger.run("ingest", {"annotations": list(annotation_paths), "categories": categories, "train": train_images,
+                          **({"test": test_images} if test_images is not None else {})},
+               ["annotations", "labels", "splits"],
+               {"fractions": [p.seed_fraction, p.unlabeled_fraction, p.val_fraction], "seed": p.seed,
+                "size": [p.image_width, p.image_height]},
+               counted(lambda: ingest_stage(spark, root, annotation_paths, categories, train_images, test_images, p)))
+    scoring_params = {"batch": p.batch, "conf": p.conf_threshold, "shard_size": shard_size}
+    ledger.run("infer", {"splits": _p(root, "splits", "split=unlabeled")}, ["infer"],
+               {**scoring_params, "model": model_id, "images": image_dir},
+               counted(lambda: infer_stage(spark, root, model_factory, image_dir, p, shard_size)))
+    ledger.run("mine", {"predictions": [_p(root, "infer", "predictions"), _p(root, "infer", "shards_done")]},
+               ["signals", "selections"],
+               {"weights": p.weights, "band": [p.band_low, p.band_high], "budget": p.label_budget, "cap": p.max_per_scene,
+                "seed": p.seed}, counted(lambda: mine_stage(spark, root, p)))
+    ledger.run("prepare", {"splits": _p(root, "splits"), "selections": _p(root, "selections"), "train": train_images,
+                           "labels": _p(root, "labels", "frames")}, ["arms"], {},
+               counted(lambda: prepare_stage(spark, root, train_images)))
+    ledger.run("test", {"splits": _p(root, "splits", "split=test")}, ["test"],
+               {**scoring_params, "models": arm_model_ids, "images": test_image_dir},
+               counted(lambda: predict_test(spark, root, arm_models, test_image_dir, p, shard_size)))
+    ledger.run("evaluate", {"predictions": _p(root, "test"), "labels": _p(root, "labels", "boxes"),
+                            "splits": _p(root, "splits", "split=test"), "categories": categories}, ["report"], {},
+               counted(lambda: evaluate_stage(spark, root, stored_test_predictions(spark, root, arm_models), categories)))
+    return spark.read.json(_p(root, "report", "summary")), ledger.ran
+
+
+def stored_test_predictions(spark: SparkSession, root: str, arms_: dict) -> DataFrame:
+    """The committed test predictions of every arm: ``(arm, prediction columns)``."""
+    out = None
+    for arm in sorted(arms_):
+        folder = _p(root, "test", arm)
+        pred = files.read_predictions(spark, _p(folder, "predictions"), spark.read.parquet(_p(folder, "shards_done")))
+        pred = pred.select(F.lit(arm).alias("arm"), *pred.columns)
+        out = pred if out is None else out.unionByName(pred)
+    return out

@@ -3,7 +3,7 @@
 * ``materialize`` cuts lineage with a reliable ``checkpoint()`` into the shared
   folder named by ``spark.checkpoint.dir``.  A private folder is only created
   when the setting is absent *and* the master is local (tests, laptop runs).
-* ``checked_broadcast`` broadcasts a table only after looking at its bytes, so a
+* ``checked_broadcast`` broadcasts a table only after looking at the bytes of its rows, so a
   side whose size grows with the data falls back to a shuffle join (with AQE skew
   splitting) instead of blowing up executor memory.
 """
@@ -16,11 +16,14 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest size of a table's files to be broadcast by ``checked_broadcast``.
-DEFAULT_BROADCAST_BYTES = 16 << 20
+# Largest size of a table's rows in memory to be broadcast by ``checked_broadcast``.
+DEFAULT_BROADCAST_BYTES = 32 << 20
+# Bytes of a row, and of a value or reference in it, besides its contents.
+ROW_BYTES, VALUE_BYTES = 32, 8
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -102,6 +105,23 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def memory_bytes(column: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in memory, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(VALUE_BYTES) + F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((memory_bytes(column[f.name], f.dataType) for f in kind.fields), F.lit(VALUE_BYTES))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            return F.lit(VALUE_BYTES) + F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(0)) * VALUE_BYTES
+        inner = F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + memory_bytes(x, kind.elementType).cast("long"))
+        return F.lit(VALUE_BYTES) + F.coalesce(inner, F.lit(0))
+    if isinstance(kind, T.MapType):
+        return memory_bytes(F.map_keys(column), T.ArrayType(kind.keyType)) + memory_bytes(
+            F.map_values(column), T.ArrayType(kind.valueType))
+    return F.lit(VALUE_BYTES)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 
@@ -128,26 +148,20 @@ _SHIPPED: set[str] = set()
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Materialise an aggregated table and broadcast it if its files are small.
+    """Materialise an aggregated table and broadcast it if its rows are small.
 
-    Returns ``(table, broadcast?)``.  The bound is on the bytes of the files
-    written (compressed, columnar), so the table is computed once and not
-    counted; a larger one stays a shuffle join, which adaptive execution splits
-    where a key is hot.
+    Returns ``(table, broadcast?)``.  The rows are measured while they are written, as
+    they will stand in memory (files may be many times smaller: sorted ids, repeated
+    values), so the table is computed once and not counted; a larger one
+    stays a shuffle join, which adaptive execution splits where a key is hot.
     """
-    table = materialize(df)
-    size = sum(_file_sizes(table))
-    if size <= max_bytes:
+    seen = Observation()
+    row = sum((memory_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(ROW_BYTES))
+    table = materialize(df.observe(seen, F.sum(row.cast("long")).alias("bytes")))
+    if (seen.get["bytes"] or 0) <= max_bytes:
         return F.broadcast(table), True
     return table, False
 
 
-def _file_sizes(table: DataFrame) -> list[int]:
-    conf = table.sparkSession._jsc.hadoopConfiguration()
-    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path
-    root = path(os.path.dirname(table.inputFiles()[0])) if table.inputFiles() else None
-    return [f.getLen() for f in root.getFileSystem(conf).listStatus(root)] if root else []
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from labelsieve.operators import evaluation
 from labelsieve.params import IOU_THRESHOLDS
 
@@ -39,11 +41,13 @@ def crowd(rng, images, n):
     return det, gt
 
 
-def test_crowded_images_by_brute_force(spark):
+@pytest.mark.parametrize("walked", [evaluation.WALKED_PAIRS, 12])
+def test_crowded_images_by_brute_force(spark, walked):
+    """Walked through in tasks, and (images of over 12 pairs) settled by rounds."""
     det, gt = crowd(random.Random(1), 4, 14)
     det.append((7, 0, "alone", .9, .5, .5, .1, .1))
     gt.append((8, 0, 0, .5, .5, 0.0, .1))
-    got = evaluation.greedy_matches(spark.createDataFrame(det, DET), spark.createDataFrame(gt, GT)).collect()
+    got = evaluation.greedy_matches(spark.createDataFrame(det, DET), spark.createDataFrame(gt, GT), walked_pairs=walked).collect()
     want = plain(det, gt, IOU_THRESHOLDS)
     assert len(got) == len(det)
     for r in got:
