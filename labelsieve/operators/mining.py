@@ -170,8 +170,17 @@ def random_capped(scores: DataFrame, budget: int, cap: int, seed: int = SEED,
 
 
 def selections(scores: DataFrame, budget: int, cap: int, seed: int = SEED) -> DataFrame:
-    """Both arms in one table, partitionable by ``arm``."""
-    return select_capped(scores, budget, cap).unionByName(random_capped(scores, budget, cap, seed))
+    """Both arms in one table, partitionable by ``arm``: ``select_capped`` and ``random_capped`` in one pass."""
+    score, h = F.col("combined").cast("double"), hash_order_key(seed, "random", "frame_id")
+
+    def arm(name: str, rank: Column, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(name).alias("arm"), rank.alias("rank"), first.alias("first"), second.alias("second"))
+    both = F.array(arm("mined", -score, -score, F.lit("")), arm("random", hash_rank(h), F.lit(0.0), h))
+    rows = scores.select("frame_id", "combined", F.explode(both).alias("__a")).select("frame_id", "combined", "__a.*")
+    order = [F.col("first").asc_nulls_last(), F.col("second").asc(), F.col("frame_id").asc()]
+    few = capped(rows, order, video_key("frame_id"), cap, ["arm"])
+    return first_rows(few, ["arm"], F.col("rank"), order, budget).select(
+        "arm", "pick", "frame_id", "video_id", F.col("combined").alias("score"))
 
 
 __all__ = [
