@@ -79,11 +79,11 @@ def test_template_pages_make_few_candidates(spark, monkeypatch):
         seen.append((pairs.count(), crowded.count()))
         return pairs, crowded
     monkeypatch.setattr(superminhash, "rare_pairs", noted)
-    for n in (150, 300):
+    for n in (90, 180):
         texts = template_pages(n)
         out = got(superminhash.near_duplicates(documents(spark, texts).repartition(5), 3, 85))
         assert out == expected(range(len(texts)), texts, 3, 85)
-    assert all(pairs <= 30 * n and crowded == 0 for (pairs, crowded), n in zip(seen, (150, 300), strict=True)), seen
+    assert all(pairs <= 30 * n and crowded == 0 for (pairs, crowded), n in zip(seen, (90, 180), strict=True)), seen
 
 
 def test_crowded_rare_shingles_go_through_blocks(spark, monkeypatch):
