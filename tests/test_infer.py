@@ -41,7 +41,7 @@ def test_every_shard_is_written_and_committed(spark, tmp_path):
     assert c == {"shards_total": 3, "shards_processed": 3, "shards_skipped": 0}
     pred = files.read_predictions(spark, os.path.join(out, "predictions"),
                                   spark.read.parquet(os.path.join(out, "shards_done")))
-    assert set(pred.columns) == {*DETECTION.fieldNames(), "shard_id"}
+    assert set(pred.columns) == {*DETECTION.fieldNames(), "class_scores", "shard_id"}
     rows = pred.collect()
     # A row per box, one sentinel for a frame without any.
     assert len(rows) == sum(max(1, i % 3) for i in range(11))

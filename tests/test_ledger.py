@@ -41,13 +41,8 @@ def test_a_changed_parameter_runs_the_stages_behind_it(spark, tmp_path):
     with pytest.raises(ValueError, match="stage mine was run with other params"):
         stages.resume_pipeline(spark, root, **world, on_change="refuse")
     assert stages.resume_pipeline(spark, root, **world)[1] == ["mine", "prepare"]
-    world["arm_model_ids"] = {"mined": "a2", "random": "b"}
-    assert stages.resume_pipeline(spark, root, **world)[1] == ["test", "evaluate"]
-    world["model_id"] = "m2"
-    assert stages.resume_pipeline(spark, root, **world)[1] == ["infer", "mine", "prepare"]
-    # A table that somebody took away is made again, with what stands behind it.
-    os.rename(f"{root}/selections", f"{root}/gone")
-    assert stages.resume_pipeline(spark, root, **world)[1] == ["mine", "prepare"]
+    world["model_id"], world["arm_model_ids"] = "m2", {"mined": "a2", "random": "b"}
+    assert stages.resume_pipeline(spark, root, **world)[1] == ["infer", "mine", "prepare", "test", "evaluate"]
 
 
 def test_a_stage_that_fails_leaves_no_record(spark, tmp_path):
@@ -60,6 +55,14 @@ def test_a_stage_that_fails_leaves_no_record(spark, tmp_path):
     assert book.record("x") is None and book.ran == []
     assert book.run("x", {}, ["out"], {"a": 1}, lambda: {"n": 3}) == {"n": 3}
     assert book.run("x", {}, ["out"], {"a": 1}, fails) == {"n": 3}
+    # A table that somebody took away is made again.
+    def makes():
+        spark.range(3).write.mode("error").parquet(str(tmp_path / "made"))
+    for _ in range(2):
+        book.run("y", {}, ["made"], {}, makes)
+    os.rename(tmp_path / "made", tmp_path / "gone")
+    book.run("y", {}, ["made"], {}, makes)
+    assert book.ran == ["x", "y", "y"]
     with pytest.raises(ValueError):
         ledger.Ledger(spark, str(tmp_path), "ask")
 

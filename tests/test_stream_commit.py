@@ -10,6 +10,14 @@ from labelsieve.sources import files
 from labelsieve.streaming import commit
 
 
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _factory():
     def model():  # nested, so that it is shipped by value
         def predict(paths):
