@@ -211,8 +211,8 @@ def _rest(member: DataFrame, label: DataFrame, sets: DataFrame, percent: int, to
     rows = materialize(_still_open(_labelled(member, label), total), "open")
     mine = rows.select("u").distinct().join(sets, "u").select("u", F.explode("hashes").alias("h"))
     common = materialize(mine.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1"), "common")
-    # The shared shingles of each set, rarest first.
-    shared = materialize(heavy_join(mine, common, "h", "docs", common.agg(F.sum("docs")).first()[0] or 0).groupBy("u").agg(
+    # The shared shingles of each set, rarest first (adaptive execution splits the side of a common shingle).
+    shared = materialize(mine.join(common, "h").groupBy("u").agg(
         F.count(F.lit(1)).alias("r"), F.array_sort(F.collect_list(F.struct("docs", "h"))).alias("rare")), "shared")
     can = F.col("r") * 100 >= (F.col("n") + F.greatest("least_n", "r") - F.col("r")) * percent
     rows = materialize(_still_open(rows.join(shared.select("u", "r"), "u").filter(can), total), "open")
