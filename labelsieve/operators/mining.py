@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import exact_sum, hash_order_key, hash_rank, in_band, top_two_gap, video_key
 from ..params import AMBIGUOUS_HIGH, AMBIGUOUS_LOW, SEED
 from ..session import checked_broadcast, materialize
-from .positions import average_ranks, first_rows, median
+from .positions import TASK_ROWS, average_ranks, first_rows, median
 
 def class_counts(pred: DataFrame, class_col: str = "class_id") -> DataFrame:
     """Detections per class, sentinel class included."""
@@ -35,7 +35,9 @@ def frame_signals(pred: DataFrame, frame_col: str = "frame_id", class_col: str =
     (sentinel-only frames too) gets a row.
     """
     counts, _ = checked_broadcast(class_counts(pred.select(class_col), class_col))
-    per_class = (pred.select(frame_col, class_col, conf_col).repartition(frame_col)
+    # A task holds the groups of its frames in memory, so there are tasks by the rows, not by the bytes they are packed in.
+    rows = counts.agg(F.sum("class_count")).first()[0] or 0
+    per_class = (pred.select(frame_col, class_col, conf_col).repartition(1 + rows // TASK_ROWS, frame_col)
                  .groupBy(frame_col, class_col)
                  .agg(F.count(F.lit(1)).alias("__k"), F.count_if(in_band(conf_col, low, high)).alias("__u")))
     return rare_mass(per_class.join(counts, class_col), frame_col, class_col)
