@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from labelsieve.operators import evaluation
 from labelsieve.params import IOU_THRESHOLDS
+from labelsieve.session import materialize
+from labelsieve.sources import testdata as td
 
 from test_greedy import DET, GT, crowd
 
@@ -61,3 +63,44 @@ def test_flags_are_packed_for_the_ranks(spark):
     bits = [F.sum(F.getbit("__mask", F.lit(i)).cast("int")) for i in range(len(IOU_THRESHOLDS))]
     flags = evaluation.detection_matches(det, gt)
     assert list(packed.agg(*bits).first()) == list(flags.agg(*[F.sum(f"tp_{i}") for i in range(len(IOU_THRESHOLDS))]).first())
+
+
+def test_boxes_numbered_by_image_and_class_are_not_dealt_again(spark):
+    """The view's own shuffle is the one that the join needs."""
+    lines = materialize(td.lines_v(spark, "/root/testdata/sf0.001"), "lines")
+    for det, gt in ((td.detections_v, td.ground_truth_v), (td.crowded_detections_v, td.crowded_ground_truth_v)):
+        plan = evaluation.detection_matches(det(spark, "", lines=lines).hint("merge"), gt(spark, "", lines=lines))
+        assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_groups_are_counted_by_class_in_crowded_images_only(spark, monkeypatch):
+    det, gt = tables(spark)
+    counted = []
+    broadcast = evaluation.checked_broadcast
+    monkeypatch.setattr(evaluation, "checked_broadcast", lambda df: counted.append(df.columns) or broadcast(df))
+    want = rows(evaluation.detection_matches(det, gt))
+    assert counted == [["image_id"]]
+    monkeypatch.setattr(evaluation, "COMPARED_BOXES", 14)  # 28 boxes in an image, 14 of a class; another image holds fewer
+    assert rows(evaluation.detection_matches(det, gt)) == want
+    assert counted == [["image_id"], ["image_id"], ["image_id", "class_id"]]
+
+
+@pytest.mark.parametrize("matching", MATCHINGS)
+@pytest.mark.parametrize("boxes", [evaluation.COMPARED_BOXES, 12])
+def test_a_detection_of_several_sets_is_dealt_once(spark, monkeypatch, matching, boxes):
+    det, gt = tables(spark)
+    sets = F.when(F.col("det_id") < "d007", F.array(F.lit("a"), F.lit("b"))).when(
+        F.col("det_id") < "d009", F.array(F.lit("b"))).when(F.col("det_id") < "d010", F.array().cast("array<string>"))
+    folded = det.withColumn("arm", F.coalesce(sets, F.array(F.lit("a"))))
+    plain = folded.withColumn("arm", F.explode("arm"))
+    monkeypatch.setattr(evaluation, "COMPARED_BOXES", boxes)
+    assert rows(matching(folded, gt, keys=("arm",))) == rows(matching(plain, gt, keys=("arm",)))
+    ap = [rows(evaluation.ap_by_threshold(d, gt, keys=("arm",), matching=matching)) for d in (folded, plain)]
+    assert ap[0] == ap[1]
+
+
+def test_arms_share_their_detections(spark):
+    sf = "/root/testdata/sf0.001"
+    got = td.arm_detections_v(spark, sf, {"mined": 11, "random": 7}).withColumn("arm", F.explode("arm"))
+    for arm, mod in (("mined", 11), ("random", 7)):
+        assert rows(got.filter(F.col("arm") == arm).drop("arm")) == rows(td.detections_v(spark, sf, mod))
