@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from labelsieve.operators import evaluation
@@ -70,3 +71,24 @@ def test_nothing_to_match(spark):
     none = evaluation.greedy_matches(spark.createDataFrame([(1, 0, "a", .9, .5, .5, .2, .2)], DET), spark.createDataFrame([], GT))
     assert [r.tp_9 for r in none.collect()] == [0]
     assert evaluation.greedy_matches(spark.createDataFrame([], DET), spark.createDataFrame([], GT)).collect() == []
+
+
+@pytest.mark.parametrize("kind", [pa.int64(), pa.string()])
+def test_the_walk_takes_its_columns_as_arrays(monkeypatch, kind):
+    """Boxes of any kind of id, keys beyond 2^53 and rows without a box; no value is made one by one."""
+    ids = [str(1 << 60), str((1 << 60) + 1), None, str(1 << 60)]
+    batch = pa.RecordBatch.from_pydict({
+        "image_id": [1, 1, 1, 1], "class_id": [0, 0, 0, 0], "det_id": ["a", "a", "b", "c"], "__k": [1, 1, 2, 3], "__r": [1, 1, 2, 3],
+        "gt_id": pa.array(ids).cast(kind), "__mask": pa.array([1, 3, 0, 3], pa.int32())})
+    monkeypatch.setattr(evaluation, "_values", spy := Spy(evaluation._values))
+    got = pa.Table.from_batches(evaluation._walk_all(iter([batch]), 2)).to_pylist()
+    assert [(r["det_id"], r["__mask"]) for r in got] == [("a", 3), ("b", 0), ("c", 2)] and spy.calls == 2
+
+
+class Spy:
+    def __init__(self, f):
+        self.f, self.calls = f, 0
+
+    def __call__(self, column):
+        self.calls += 1
+        return self.f(column)
